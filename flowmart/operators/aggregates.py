@@ -101,19 +101,24 @@ def store_partials(partials: DataFrame, path: str) -> None:
     )
 
 
-def refresh_partials(events: DataFrame, touched: DataFrame, path: str) -> None:
-    """Recompute the zone partials of the touched days only.
+def on_days_of(events: DataFrame, touched: DataFrame) -> DataFrame:
+    """Events of the days that occur in another frame, both with a text column `date`.
 
-    events is the whole dated table; the semi join on its partition column lets Spark skip the other days.
-    touched has one column `date`, with as many rows as late batches brought: it is made distinct here.
+    The days are gathered in a subquery (at most as many as the calendar has) instead of joined: on a table with a
+    directory per day the condition is a partition filter, and Spark lists and reads the touched days only.
     """
-    days = touched.select("date").distinct()
-    store_partials(daily_zone_partials(events.join(days, "date", "left_semi")), path)
+    days = touched.agg(F.collect_set("date")).scalar()
+    return events.where(F.array_contains(days, F.col("date")))
+
+
+def refresh_partials(events: DataFrame, touched: DataFrame, path: str) -> None:
+    """Recompute the zone partials of the days that late events touched; events is the whole dated table."""
+    store_partials(daily_zone_partials(on_days_of(events, touched)), path)
 
 
 def merge_partials(spark: SparkSession, path: str) -> DataFrame:
     """All-time zone means from the stored partials: equal to a full recompute over the events."""
-    stored = spark.read.option("mergeSchema", "false").parquet(path)
+    stored = spark.read.parquet(path)
     sums = [column for metric in ZONE_METRICS for column in merged_sum(metric)]
     return (
         stored.groupBy("zone")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowmart.functions import bands
@@ -19,10 +19,14 @@ DASHBOARD_RANGE = timedelta(hours=6)
 
 
 def in_range(history: DataFrame, to: datetime, span: timedelta = DASHBOARD_RANGE) -> DataFrame:
-    """History rows of the last span up to and including `to`."""
+    """History rows of the last span up to and including `to`; a `to` without zone is a wall-clock time of the
+    session."""
     kind = history.schema["timestamp"].dataType
-    moment = F.col("timestamp")
-    return history.where((moment >= F.lit(to - span).cast(kind)) & (moment <= F.lit(to).cast(kind)))
+
+    def bound(moment: datetime) -> Column:
+        return F.lit(moment if moment.tzinfo else moment.isoformat(sep=" ")).cast(kind)
+
+    return history.where(F.col("timestamp").between(bound(to - span), bound(to)))
 
 
 def zone_table(traffic: DataFrame) -> DataFrame:

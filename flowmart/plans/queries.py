@@ -267,7 +267,7 @@ def typed_layer_roundtrip(spark, folder):
     root = _landed(spark, _as_message(sensor_events(spark, folder)))
     target = new_folder(spark, "typed")
     compaction.build_typed_layer(spark, root, target, "0000-01-01", AFTER_ALL_DAYS)
-    days = spark.read.parquet(target).groupBy(F.col("date").cast("string").alias("date"))
+    days = raw.read_typed(spark, target).groupBy("date")
     return days.agg(F.count("*").alias("events"), F.max("event_time").alias("last_event"))
 
 

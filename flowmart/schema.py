@@ -8,6 +8,9 @@ RAW_EVENT = (
     "average_speed double, occupancy_rate double, event_time string"
 )
 
+# Event of the typed layer: a naive local time, and the day as text (`undated` where there is no time).
+TYPED_EVENT = RAW_EVENT.replace("event_time string", "event_time timestamp_ntz") + ", date string"
+
 PROCESSED = {
     "traffic_by_zone": "zone string, avg_vehicle_count double, avg_occupancy_rate double, processed_date timestamp",
     "speed_by_road": "road_id string, road_type string, avg_speed double, processed_date timestamp",

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart.operators.marts import run_time
+from flowmart.operators.panels import DASHBOARD_RANGE, in_range
 from flowmart.schema import MART_KEYS
 
 
@@ -52,5 +53,7 @@ class JdbcTarget:
     def current(self, table: str) -> DataFrame:
         return self.read(table)
 
-    def history(self, table: str) -> DataFrame:
-        return self.read(f"{table}_ts")
+    def history(self, table: str, to: datetime | None = None, span: timedelta = DASHBOARD_RANGE) -> DataFrame:
+        """History rows, optionally of the dashboard range that ends at `to`; the database evaluates the range."""
+        rows = self.read(f"{table}_ts")
+        return rows if to is None else in_range(rows, to, span)

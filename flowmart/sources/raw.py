@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart.functions import events as ev
-from flowmart.schema import RAW_EVENT
+from flowmart.schema import RAW_EVENT, TYPED_EVENT
 
 LANDED = "landed"
 LANDED_LAYOUT = "value string, outcome string, date string, zone string"
@@ -75,17 +75,29 @@ def landed_lines(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(LANDED_LAYOUT).text(root)
 
 
-def read_landed(spark: SparkSession, root: str, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Events of the landing sink, optionally of a range of days; columns as read_raw plus date.
+def _decoded(lines: DataFrame) -> DataFrame:
+    """Events of landed lines. All fields come from the body, only `date` from the directory."""
+    landed = lines.where(F.col("outcome") == LANDED)
+    return landed.select(F.from_json("value", RAW_EVENT).alias("event"), "date").select("event.*", "date")
 
-    All fields come from the body, only `date` from the directory.
-    """
-    lines = landed_lines(spark, root).where(F.col("outcome") == LANDED)
+
+def read_landed(spark: SparkSession, root: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Events of the landing sink, optionally of a range of days; columns as read_raw plus date. Messages that could
+    not be routed are left out; read_raw on the same root would give them too."""
+    lines = landed_lines(spark, root)
     if first is not None:
         lines = lines.where(F.col("date") >= first)
     if last is not None:
         lines = lines.where(F.col("date") <= last)
-    return lines.select(F.from_json("value", RAW_EVENT).alias("event"), "date").select("event.*", "date")
+    return _decoded(lines)
+
+
+def landed_stream(spark: SparkSession, root: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The same events as a stream. New files are taken from the sink's commit log, not by listing the lake."""
+    reader = spark.readStream.schema(LANDED_LAYOUT)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return _decoded(reader.text(root))
 
 
 def typed(events: DataFrame) -> DataFrame:
@@ -96,3 +108,9 @@ def typed(events: DataFrame) -> DataFrame:
 def dated(events: DataFrame) -> DataFrame:
     """Typed events with their day as text; events without a time get the day `undated`."""
     return events.withColumn("date", F.coalesce(ev.event_day(F.col("event_time")), F.lit(ev.UNDATED)))
+
+
+def read_typed(spark: SparkSession, path: str) -> DataFrame:
+    """Typed layer: columnar events with one directory per day. Filters on date prune directories, and a query reads
+    only the columns it uses."""
+    return spark.read.schema(TYPED_EVENT).parquet(path)

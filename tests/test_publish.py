@@ -1,0 +1,206 @@
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from flowmart.operators import aggregates as agg
+from flowmart.operators import marts
+from flowmart.plans import batch
+from flowmart.plans.dashboard import dashboard
+from flowmart.schema import ANALYTICS, MART_KEYS
+from flowmart.sinks.jdbc import JdbcTarget
+from flowmart.sinks.lake import LakeTarget, replace_table
+from flowmart.sinks.publish import PublishError, export_rows, publish
+from flowmart.sources.sensor_table import sensor_events
+from flowmart.sources.tables import read_analytics, read_table
+from tests.conftest import SMALL, rows
+
+RUN = datetime(2024, 5, 1, 12, 0, tzinfo=timezone.utc)
+NEXT = RUN + timedelta(minutes=1)
+
+
+@pytest.fixture(scope="module")
+def mart_tables(spark, tmp_path_factory):
+    lake = str(tmp_path_factory.mktemp("lake"))
+    batch.write_processed(sensor_events(spark, SMALL), f"{lake}/processed", RUN)
+    batch.write_analytics(spark, f"{lake}/processed", f"{lake}/analytics", RUN)
+    return read_analytics(spark, f"{lake}/analytics")
+
+
+def empty(spark, name):
+    return spark.createDataFrame([], ANALYTICS[name])
+
+
+def test_exported_columns(mart_tables):
+    assert export_rows("mobility_summary", mart_tables["mobility_summary"], RUN).columns == [
+        "zone", "vehicle_count_avg", "occupancy_rate_avg", "traffic_level", "congestion_rate_pct",
+        "congestion_priority", "alert_status", "timestamp",
+    ]
+    for name, mart in mart_tables.items():
+        columns = export_rows(name, mart, RUN).columns
+        assert columns[-1] == "timestamp" and "processed_date" not in columns
+
+
+def test_speed_mart_has_a_directory_per_type_and_keeps_text_types(spark, tmp_path):
+    table = spark.createDataFrame([("r1", "02", 1.0), ("r2", "", 2.0), ("r3", None, 3.0)], "road_id string, road_type string, speed_avg_kmh double")
+    replace_table(table, str(tmp_path / "t"), partition_by=("road_type",))
+    back = read_table(spark, str(tmp_path / "t"), "road_id string, road_type string, speed_avg_kmh double")
+    assert rows(back.select("road_id", "road_type")) == [("r1", "02"), ("r2", None), ("r3", None)]
+
+
+def test_all_tables_under_one_time_and_no_run_twice(spark, tmp_path, mart_tables):
+    target = LakeTarget(spark, str(tmp_path))
+    written = publish(mart_tables, target, RUN)
+    assert written == [table for name in ANALYTICS for table in (name, f"{name}_ts")]
+    for _ in range(2):
+        publish(mart_tables, target, NEXT)
+    for name, mart in mart_tables.items():
+        assert target.current(name).count() == mart.count()
+        assert target.history(name).count() == 2 * mart.count()
+        assert target.history(name).select("timestamp").distinct().count() == 2
+        assert rows(target.current(name)) == rows(export_rows(name, mart, NEXT))
+
+
+def test_nothing_is_published_if_all_marts_are_empty(spark, tmp_path):
+    target = LakeTarget(spark, str(tmp_path))
+    assert publish({name: empty(spark, name) for name in ANALYTICS}, target, RUN) == []
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_one_empty_mart_empties_its_current_table_only(spark, tmp_path, mart_tables):
+    target = LakeTarget(spark, str(tmp_path))
+    publish(mart_tables, target, RUN)
+    publish({**mart_tables, "congestion_alerts": empty(spark, "congestion_alerts")}, target, NEXT)
+    assert target.current("congestion_alerts").isEmpty()
+    assert target.history("congestion_alerts").count() == mart_tables["congestion_alerts"].count()
+    assert not target.current("traffic_by_zone").isEmpty()
+
+
+def test_a_failure_is_raised_with_what_was_written(spark, tmp_path, mart_tables):
+    class Breaks(LakeTarget):
+        def append(self, table, *rest):
+            if table == "speed_by_road":
+                raise OSError("disk")
+            super().append(table, *rest)
+
+    with pytest.raises(PublishError, match="speed_by_road_ts") as caught:
+        publish(mart_tables, Breaks(spark, str(tmp_path)), RUN)
+    assert caught.value.written == ["traffic_by_zone", "traffic_by_zone_ts", "speed_by_road"]
+    assert isinstance(caught.value.__cause__, OSError)
+
+
+def test_a_failed_replacement_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3), path)
+    with pytest.raises(Exception, match="boom"):
+        replace_table(spark.range(5).select(F.raise_error(F.lit("boom")).cast("bigint").alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+    # A table may be replaced by rows read from itself.
+    replace_table(spark.read.parquet(path).union(spark.range(1)), path)
+    assert spark.read.parquet(path).count() == 4
+    assert [entry.name for entry in tmp_path.iterdir()] == ["t"]
+
+
+def test_history_range_reads_the_days_of_the_range(spark, tmp_path, mart_tables):
+    target = LakeTarget(spark, str(tmp_path))
+    for days in range(6):
+        publish({"traffic_by_zone": mart_tables["traffic_by_zone"]}, target, RUN + timedelta(days=days))
+    end = RUN.replace(tzinfo=None) + timedelta(days=3, hours=1)
+    ranged = target.history("traffic_by_zone", end)
+    assert ranged.select("timestamp").distinct().count() == 1
+    ranged.collect()
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "run_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(timestamp" in plan
+
+
+def test_dashboard_over_published_tables(spark, tmp_path, mart_tables):
+    target = LakeTarget(spark, str(tmp_path))
+    publish(mart_tables, target, RUN)
+    shown = dashboard(target, RUN.replace(tzinfo=None))
+    assert len(shown) == 8
+    assert shown["zone_table"].count() == shown["vehicle_series"].count() == 5
+    assert shown["speed_series"].columns == ["time", "road_type", "vitesse_moyenne"]
+    assert shown["alert_zones"].first()["count"] == 2
+
+
+class _Database:
+    """Stands for the JDBC calls of Spark: tables as lists of frames, so no database is needed."""
+
+    def __init__(self, spark):
+        self.spark, self.tables, self.calls = spark, {}, []
+
+    def read(self, url, table, properties=None):
+        frames = self.tables[table]
+        combined = frames[0]
+        for frame in frames[1:]:
+            combined = combined.union(frame)
+        return combined
+
+    def write(self, writer, url, table, mode=None, properties=None):
+        state = writer.state
+        self.calls.append((table, state["mode"], dict(state["options"]), properties))
+        frame = self.spark.createDataFrame(writer.frame.collect(), writer.frame.schema)
+        if state["mode"] == "overwrite":
+            self.tables[table] = [frame]
+        else:
+            self.tables.setdefault(table, []).append(frame)
+
+
+@pytest.fixture
+def database(spark, monkeypatch):
+    held = _Database(spark)
+
+    class Writer:
+        def __init__(self, frame):
+            self.frame, self.state = frame, {"mode": "error", "options": {}}
+
+        def mode(self, mode):
+            self.state["mode"] = mode
+            return self
+
+        def option(self, name, value):
+            self.state["options"][name] = value
+            return self
+
+        def jdbc(self, url, table, mode=None, properties=None):
+            held.write(self, url, table, mode, properties)
+
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.write", property(Writer))
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameReader.jdbc", lambda self, url, table, **rest: held.read(url, table))
+    return held
+
+
+def test_jdbc_calls_and_repeated_runs(spark, mart_tables, database, monkeypatch):
+    monkeypatch.setenv("FLOWMART_JDBC_USER", "u")
+    monkeypatch.setenv("FLOWMART_JDBC_PASSWORD", "p")
+    target = JdbcTarget(spark, "jdbc:somedb://host/traffic", {"driver": "d"})
+    for run in (RUN, NEXT, NEXT):
+        publish(mart_tables, target, run)
+    for name, mart in mart_tables.items():
+        assert rows(target.current(name)) == rows(export_rows(name, mart, NEXT))
+        assert target.history(name).count() == 2 * mart.count()
+    overwrites = [call for call in database.calls if call[1] == "overwrite"]
+    assert len(overwrites) == 3 * 4
+    assert all(options == {"truncate": "true"} for _, _, options, _ in overwrites)
+    assert all(properties == {"driver": "d", "user": "u", "password": "p"} for *_, properties in database.calls)
+    assert {call[0] for call in database.calls if call[1] == "append"} == {f"{name}_ts" for name in ANALYTICS}
+
+
+def test_jdbc_history_is_completed_after_a_break(spark, mart_tables, database):
+    target = JdbcTarget(spark, "jdbc:somedb://host/traffic")
+    name = "congestion_alerts"
+    half = export_rows(name, mart_tables[name], RUN).limit(2)
+    half = spark.createDataFrame(half.collect(), half.schema)
+    database.tables[f"{name}_ts"] = [half]
+    target.append(name, export_rows(name, mart_tables[name], RUN), RUN, "run")
+    assert rows(target.history(name)) == rows(export_rows(name, mart_tables[name], RUN))
+
+
+def test_null_keys_are_recognised_in_the_history(spark, database):
+    target = JdbcTarget(spark, "jdbc:somedb://host/traffic")
+    mart = spark.createDataFrame([(None, 1.0, 1.0, "FAIBLE", RUN), ("a", 1.0, 1.0, "FAIBLE", RUN)], ANALYTICS["traffic_by_zone"])
+    for _ in range(2):
+        target.append("traffic_by_zone", export_rows("traffic_by_zone", mart, RUN), RUN, "run")
+    assert target.history("traffic_by_zone").count() == 2
+    assert set(MART_KEYS) == set(ANALYTICS)
