@@ -58,9 +58,11 @@ def _parser() -> argparse.ArgumentParser:
     source = landing.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers")
     source.add_argument("--inbox")
-    landing.add_argument("--topic", default="traffic-events")
-    landing.add_argument("--min-messages", type=int, default=50)
-    landing.add_argument("--max-wait", default="30s")
+    landing.add_argument("--topic", default=raw.TOPIC)
+    landing.add_argument("--starting", default="latest")
+    landing.add_argument("--group")
+    landing.add_argument("--min-messages", type=int, default=raw.FLUSH_MESSAGES)
+    landing.add_argument("--max-wait", default=raw.FLUSH_TIME)
     landing.add_argument("--max-messages", type=int)
     reads_events(job("process", "raw", "processed"))
     job("analyze", "processed", "analytics")
@@ -88,6 +90,8 @@ def main(arguments: list[str] | None = None) -> None:
                     spark,
                     options.servers,
                     options.topic,
+                    options.starting,
+                    options.group,
                     min_messages=options.min_messages,
                     max_wait=options.max_wait,
                     max_messages=options.max_messages,

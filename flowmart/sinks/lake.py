@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,14 +57,34 @@ class LakeTarget:
             .parquet(f"{self.root}/{table}_ts")
         )
 
+    def compact_history(self, table: str, day: str) -> None:
+        """Bring the runs of a past day together: one directory instead of one per run. Only for days whose runs
+        will not be published again."""
+        rows = self._stored_history(table, [day]).drop("run_date", "run_id")
+        merged = rows.hint("rebalance").withColumn("run_id", F.lit("compacted"))
+        replace_table(merged, f"{self.root}/{table}_ts/run_date={day}", partition_by=("run_id",))
+
+    def _stored_history(self, table: str, days: list[str] | None = None) -> DataFrame:
+        """History with its directory keys, the day as text. With a list of days only their directories are listed."""
+        root = f"{self.root}/{table}_ts"
+        part = f"{root}/run_date={{{','.join(days)}}}" if days else root
+        stored = self.spark.read.option("basePath", root).parquet(part)
+        return stored.withColumn("run_date", F.col("run_date").cast("string"))
+
     def current(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{table}")
 
     def history(self, table: str, to: datetime | None = None, span: timedelta = DASHBOARD_RANGE) -> DataFrame:
         """History rows, optionally of the dashboard range that ends at `to`: other days are not listed or read."""
-        rows = self.spark.read.option("basePath", f"{self.root}/{table}_ts").parquet(f"{self.root}/{table}_ts")
-        if to is not None:
-            # A session in another time zone may name the day of a moment differently: one more day on either side.
-            days = [str((moment + timedelta(days=shift)).date()) for moment, shift in ((to - span, -1), (to, 1))]
-            rows = in_range(rows.where(F.col("run_date").cast("string").between(*days)), to, span)
-        return rows.drop("run_date", "run_id")
+        if to is None:
+            return self._stored_history(table).drop("run_date", "run_id")
+        # A session in another time zone may name the day of a moment differently: one more day on either side.
+        first, last = (to - span).date() - timedelta(days=1), to.date() + timedelta(days=1)
+        days = [str(first + timedelta(days=shift)) for shift in range((last - first).days + 1)]
+        try:
+            rows = self._stored_history(table, days)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = self._stored_history(table).limit(0)
+        return in_range(rows.drop("run_date", "run_id"), to, span)

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from flowmart.functions import events as ev
 from flowmart.schema import RAW_EVENT, TYPED_EVENT
 
+# The topic, and the flush rule of the landing: this many messages or this much time.
+TOPIC = "traffic-events"
+FLUSH_MESSAGES = 50
+FLUSH_TIME = "30s"
+
 LANDED = "landed"
 LANDED_LAYOUT = "value string, outcome string, date string, zone string"
 
@@ -15,18 +20,20 @@ LANDED_LAYOUT = "value string, outcome string, date string, zone string"
 def topic_lines(
     spark: SparkSession,
     servers: str,
-    topic: str = "traffic-events",
+    topic: str = TOPIC,
     starting: str = "latest",
-    min_messages: int | None = 50,
-    max_wait: str = "30s",
+    group: str | None = None,
+    min_messages: int | None = FLUSH_MESSAGES,
+    max_wait: str = FLUSH_TIME,
     max_messages: int | None = None,
 ) -> DataFrame:
     """Stream of message texts from a Kafka topic, starting at the latest offsets.
 
     A micro-batch starts once min_messages are waiting or max_wait has passed, whichever comes first. Raise
     min_messages on a busy topic: it also sets how large the landed files become. max_messages bounds one batch
-    after a long stop. Offsets live in the sink's checkpoint. Needs the spark-sql-kafka package on the cluster;
-    every consumer below takes any stream with a string column `value`, such as file_lines.
+    after a long stop. Offsets live in the sink's checkpoint, so a group only names the consumers for the broker.
+    Needs the spark-sql-kafka package on the cluster; every consumer below takes any stream with a text column
+    `value`, such as file_lines.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -34,6 +41,8 @@ def topic_lines(
         .option("subscribe", topic)
         .option("startingOffsets", starting)
     )
+    if group is not None:
+        reader = reader.option("groupIdPrefix", group)
     if min_messages is not None:
         reader = reader.option("minOffsetsPerTrigger", min_messages).option("maxTriggerDelay", max_wait)
     if max_messages is not None:

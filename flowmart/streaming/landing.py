@@ -24,18 +24,19 @@ def routed(lines: DataFrame) -> DataFrame:
     decoded = lines.select(body.alias("value")).withColumn(
         "event", F.from_json("value", _ROUTING, {"columnNameOfCorruptRecord": "broken"})
     )
-    zone = F.col("event.zone")
-    day = ev.event_day(ev.local_time(F.col("event.event_time")))
-    is_object = F.col("value").rlike(r"^\s*\{") & F.col("event.broken").isNull()
+    keys = decoded.select(
+        "value",
+        (F.ltrim("value", F.lit(" \t")).startswith("{") & F.col("event.broken").isNull()).alias("is_object"),
+        F.col("event.zone").alias("zone"),
+        ev.event_day(ev.local_time(F.col("event.event_time"))).alias("date"),
+    )
     outcome = (
-        F.when(~F.coalesce(is_object, F.lit(False)), "malformed")
-        .when(zone.isNull(), "no_zone")
-        .when(day.isNull(), "no_time")
+        F.when(~F.col("is_object"), "malformed")
+        .when(F.col("zone").isNull(), "no_zone")
+        .when(F.col("date").isNull(), "no_time")
         .otherwise(LANDED)
     )
-    return decoded.select(
-        "value", outcome.alias("outcome"), day.alias("date"), ev.zone_directory(zone).alias("zone")
-    )
+    return keys.select("value", outcome.alias("outcome"), "date", ev.zone_directory(F.col("zone")).alias("zone"))
 
 
 def land(lines: DataFrame, root: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -113,6 +113,21 @@ def test_compaction_of_closed_days(spark, lake, tmp_path):
     assert raw.read_raw(spark, target).count() == 9
 
 
+def test_a_directory_with_most_rows_is_split_over_tasks(spark, lake, tmp_path):
+    """Two thirds of the rows share one day and zone; the advisory size stands for the memory of a task."""
+    lake.arrive("one", *[event(sensor_id=f"{n * 7919:08x}", zone="hot" if n % 3 else f"z{n % 4}") for n in range(6000)])
+    for number in range(4):
+        lake.arrive(f"more{number}", *[event(sensor_id=f"{n * 104729:08x}", zone="hot") for n in range(2000)])
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+    try:
+        compaction.compact(spark, lake.root, str(tmp_path / "compacted"), "2024-01-02")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = list((tmp_path / "compacted" / "date=2024-01-01" / "zone=hot").glob("part-*"))
+    assert len(hot) > 1
+    assert raw.read_raw(spark, str(tmp_path / "compacted")).count() == 14000
+
+
 def test_typed_layer_replaces_days(spark, lake, tmp_path):
     target = str(tmp_path / "typed")
     lake.arrive("one", event(), event(event_time="2024-01-02T00:00:00"))

@@ -108,10 +108,24 @@ def test_history_range_reads_the_days_of_the_range(spark, tmp_path, mart_tables)
     end = RUN.replace(tzinfo=None) + timedelta(days=3, hours=1)
     ranged = target.history("traffic_by_zone", end)
     assert ranged.select("timestamp").distinct().count() == 1
-    ranged.collect()
+    days = {name.split("run_date=")[1][:10] for name in ranged.inputFiles()}
+    assert days == {"2024-05-03", "2024-05-04", "2024-05-05"}
     plan = ranged._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "run_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "GreaterThanOrEqual(timestamp" in plan
+    assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp" in plan
+    assert target.history("traffic_by_zone", end + timedelta(days=90)).isEmpty()
+
+
+def test_runs_of_a_past_day_are_brought_together(spark, tmp_path, mart_tables):
+    target = LakeTarget(spark, str(tmp_path))
+    for minutes in (0, 1, 2, 24 * 60):
+        publish({"traffic_by_zone": mart_tables["traffic_by_zone"]}, target, RUN + timedelta(minutes=minutes))
+    before = rows(target.history("traffic_by_zone"))
+    target.compact_history("traffic_by_zone", "2024-05-01")
+    assert rows(target.history("traffic_by_zone")) == before
+    days = tmp_path / "traffic_by_zone_ts"
+    assert [entry.name for entry in (days / "run_date=2024-05-01").glob("run_id=*")] == ["run_id=compacted"]
+    publish({"traffic_by_zone": mart_tables["traffic_by_zone"]}, target, RUN + timedelta(days=1, minutes=1))
+    assert target.history("traffic_by_zone").count() == 5 * 5
 
 
 def test_dashboard_over_published_tables(spark, tmp_path, mart_tables):
