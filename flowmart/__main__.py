@@ -70,6 +70,7 @@ def _parser() -> argparse.ArgumentParser:
     chain = job("chain", "raw", "lake")
     reads_events(chain)
     publishes(chain)
+    publishes(job("incremental", "typed", "partials", "first", "last"))
     refreshing = job("refresh", "raw", "checkpoint")
     refreshing.add_argument("--events-from", choices=("json", "landed"), default="landed")
     refreshing.add_argument("--files-per-trigger", type=int)
@@ -109,6 +110,10 @@ def main(arguments: list[str] | None = None) -> None:
             batch.publish_analytics(spark, options.analytics, _target(spark, options), run_ts)
         case "chain":
             batch.run_chain(_events(spark, options), options.lake, _target(spark, options), run_ts)
+        case "incremental":
+            events = raw.read_typed(spark, options.typed)
+            touched = events.where(events.date.between(options.first, options.last))
+            batch.run_incremental(events, touched, options.partials, _target(spark, options), run_ts)
         case "refresh":
             source = raw.landed_stream if options.events_from == "landed" else raw.raw_stream
             events = source(spark, options.raw, options.files_per_trigger)

@@ -6,7 +6,7 @@ they shuffle, so a zone with a third of all events still sends one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowmart.functions import bands
@@ -33,15 +33,18 @@ def road_means(events: DataFrame) -> DataFrame:
     return events.groupBy(*ROAD_KEYS).agg(round2(F.avg("average_speed")).alias("avg_speed"))
 
 
+def _grain():
+    return F.when(F.grouping_id() == _BY_ZONE, "zone").when(F.grouping_id() == _BY_ROAD, "road").alias("grain")
+
+
 def sweep(events: DataFrame) -> DataFrame:
     """Zone rows and road rows from a single scan; works on a batch and on a stream in complete mode.
 
     Each event counts once per grouping set. The second copy exists only between the scan and the partial
     aggregate of the same task, which is cheaper than reading and parsing the events twice.
     """
-    grain = F.when(F.grouping_id() == _BY_ZONE, "zone").when(F.grouping_id() == _BY_ROAD, "road")
     return events.groupingSets([["zone"], list(ROAD_KEYS)], "zone", *ROAD_KEYS).agg(
-        grain.alias("grain"),
+        _grain(),
         round2(F.avg("vehicle_count")).alias("avg_vehicle_count"),
         round2(F.avg("occupancy_rate")).alias("avg_occupancy_rate"),
         round2(F.avg("average_speed")).alias("avg_speed"),
@@ -90,6 +93,14 @@ def daily_road_partials(events: DataFrame) -> DataFrame:
     return daily_partials(events, ROAD_KEYS, ROAD_METRICS)
 
 
+def daily_sweep(events: DataFrame) -> DataFrame:
+    """Zone partials and road partials of each day from a single scan; the rows of one grain have its keys."""
+    sums = [column for metric in ZONE_METRICS + ROAD_METRICS for column in partial_sum(metric)]
+    return events.groupingSets(
+        [["date", "zone"], ["date", *ROAD_KEYS]], "date", "zone", *ROAD_KEYS
+    ).agg(_grain(), *sums, F.count("*").alias("measurements_count"))
+
+
 def store_partials(partials: DataFrame, path: str) -> None:
     """Write partials, replacing exactly the days they contain. Writing the same days again changes nothing."""
     (
@@ -112,21 +123,22 @@ def on_days_of(events: DataFrame, touched: DataFrame) -> DataFrame:
 
 
 def refresh_partials(events: DataFrame, touched: DataFrame, path: str) -> None:
-    """Recompute the zone partials of the days that late events touched; events is the whole dated table."""
-    store_partials(daily_zone_partials(on_days_of(events, touched)), path)
+    """Recompute the stored partials of the days that late events touched; events is the whole dated table."""
+    store_partials(daily_sweep(on_days_of(events, touched)), path)
 
 
-def merge_partials(spark: SparkSession, path: str) -> DataFrame:
-    """All-time zone means from the stored partials: equal to a full recompute over the events."""
-    stored = spark.read.parquet(path)
-    sums = [column for metric in ZONE_METRICS for column in merged_sum(metric)]
+def merge_partials(stored: DataFrame) -> DataFrame:
+    """All-time means from the stored partials of all days: the rows of a sweep over all events."""
+    sums = [column for metric in ZONE_METRICS + ROAD_METRICS for column in merged_sum(metric)]
+    keys = ("grain", "zone", *ROAD_KEYS)
     return (
-        stored.groupBy("zone")
+        stored.groupBy(*keys)
         .agg(*sums, F.sum("measurements_count").alias("measurements_count"))
         .select(
-            "zone",
+            *keys,
             round2(partial_mean("vehicle_count")).alias("avg_vehicle_count"),
             round2(partial_mean("occupancy_rate")).alias("avg_occupancy_rate"),
+            round2(partial_mean("average_speed")).alias("avg_speed"),
             "measurements_count",
         )
     )

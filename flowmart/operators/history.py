@@ -3,6 +3,8 @@
 The history tables grow by one row per key and run, holding the mean over everything seen up to that run. The
 replay rebuilds them for daily cut-offs from daily partials. It takes the time of an event for the time it
 arrived: an event that came late is counted from its own day on, not from the day it came.
+
+Give it partials that are stored (store_partials, workspace.written): they are read twice, once for the last day.
 """
 
 from __future__ import annotations

@@ -273,5 +273,6 @@ UNION ALL {_MART}, '2024-02-01 00:01:00' FROM congestion""",
         _ZONES,
     ),
     "continuous_refresh": _sql("SELECT * FROM summary", _ZONES),
+    "incremental_chain": _sql("SELECT *, '2024-02-01 00:01:00' AS \"timestamp\" FROM speed", _ROADS),
     "batch_chain": _sql("SELECT *, '2024-02-01 00:00:00' AS \"timestamp\" FROM summary", _ZONES),
 }

@@ -26,7 +26,11 @@ def routed(lines: DataFrame) -> DataFrame:
     )
     keys = decoded.select(
         "value",
-        (F.ltrim("value", F.lit(" \t")).startswith("{") & F.col("event.broken").isNull()).alias("is_object"),
+        (
+            F.is_valid_utf8("value")
+            & F.ltrim("value", F.lit(" \t")).startswith("{")
+            & F.col("event.broken").isNull()
+        ).alias("is_object"),
         F.col("event.zone").alias("zone"),
         ev.event_day(ev.local_time(F.col("event.event_time"))).alias("date"),
     )

@@ -14,7 +14,7 @@ _local_roots: dict[str, str] = {}
 def working_root(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir. Executors must all see it, so a machine-local folder
     is only made up for a local master."""
-    named = spark.conf.get(_SETTING, None)
+    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):

@@ -80,6 +80,8 @@ def test_line_breaks_and_missing_bodies(spark):
     assert got[0]["outcome"] == "landed" and "\n" not in got[0]["value"]
     assert json.loads(got[0]["value"]) == json.loads(event())
     assert got[1]["outcome"] == "malformed"
+    bytes_of = spark.createDataFrame([(bytearray(event().encode().replace(b"Centre", b"C\xffntre")),)], "value binary")
+    assert routed(bytes_of.select(F.col("value").cast("string"))).first()["outcome"] == "malformed"
 
 
 def test_land_and_scan_give_the_events_back(spark, lake, write_lines):
