@@ -18,6 +18,8 @@ from flowmart.sources import raw
 from flowmart.streaming.landing import land
 from flowmart.streaming.refresh import refresh
 
+_OPEN_FILES = 64
+
 
 def _events(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     """Only the columns a job uses are read from the typed layer; JSON text is parsed as a whole either way."""
@@ -75,7 +77,7 @@ def _parser() -> argparse.ArgumentParser:
     refreshing.add_argument("--events-from", choices=("json", "landed"), default="landed")
     refreshing.add_argument("--files-per-trigger", type=int)
     publishes(refreshing)
-    job("compact", "lake", "target", "before")
+    job("compact", "lake", "target", "before").add_argument("--first")
     job("type", "lake", "target", "first", "last")
     return parser
 
@@ -86,6 +88,8 @@ def main(arguments: list[str] | None = None) -> None:
     run_ts = datetime.now(timezone.utc)
     match options.job:
         case "land":
+            # A batch touches few directories: keep them open instead of sorting. Spark sorts if there are more.
+            spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", _OPEN_FILES)
             if options.servers:
                 lines = raw.topic_lines(
                     spark,
@@ -119,7 +123,7 @@ def main(arguments: list[str] | None = None) -> None:
             events = source(spark, options.raw, options.files_per_trigger)
             refresh(events, _target(spark, options), options.checkpoint).awaitTermination()
         case "compact":
-            compaction.compact(spark, options.lake, options.target, options.before)
+            compaction.compact(spark, options.lake, options.target, options.before, options.first)
         case "type":
             compaction.build_typed_layer(spark, options.lake, options.target, options.first, options.last)
 

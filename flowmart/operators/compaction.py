@@ -10,21 +10,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmart.sinks.lake import replace_table
 from flowmart.sources.raw import LANDED, dated, landed_lines, read_landed, typed
 
 
-def closed_lines(spark: SparkSession, landed_root: str, before: str) -> DataFrame:
-    """Landed lines of the days before a given one; later directories are not read."""
-    lines = landed_lines(spark, landed_root)
-    return lines.where((F.col("outcome") == LANDED) & (F.col("date") < before)).drop("outcome")
+def closed_lines(spark: SparkSession, landed_root: str, first: str | None, before: str) -> DataFrame:
+    """Landed lines of the days from `first` up to, without, `before`; other directories are not read."""
+    lines = landed_lines(spark, landed_root).where((F.col("outcome") == LANDED) & (F.col("date") < before))
+    if first is not None:
+        lines = lines.where(F.col("date") >= first)
+    return lines.drop("outcome")
 
 
-def compact(spark: SparkSession, landed_root: str, target: str, before: str) -> None:
-    """Write the closed days to a new tree of JSON lines in the same date/zone layout and publish it as a whole.
-    The landed lake itself is not touched."""
-    lines = closed_lines(spark, landed_root, before).hint("rebalance", "date", "zone")
-    replace_table(lines, target, form="text", partition_by=("date", "zone"))
+def compact(spark: SparkSession, landed_root: str, target: str, before: str, first: str | None = None) -> None:
+    """Write closed days to a second tree of JSON lines in the plain date/zone layout.
+
+    The landed lake is not touched. New directories appear when the whole job has succeeded; those of the same days
+    written before are replaced, other days stay, so a daily run rewrites one day, and a day that got late events is
+    simply compacted again.
+    """
+    (
+        closed_lines(spark, landed_root, first, before)
+        .hint("rebalance", "date", "zone")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "zone")
+        .text(target)
+    )
 
 
 def build_typed_layer(spark: SparkSession, landed_root: str, target: str, first: str, last: str) -> None:

@@ -9,6 +9,8 @@ Give it partials that are stored (store_partials, workspace.written): they are r
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,9 @@ from flowmart.functions.numbers import merged_sum, partial_mean, round2
 from flowmart.operators.aggregates import ROAD_KEYS, ROAD_METRICS, ZONE_METRICS
 
 
-def _cumulative(partials: DataFrame, keys: tuple, metrics: tuple) -> DataFrame:
+def _cumulative(
+    partials: DataFrame, keys: tuple, metrics: tuple, first: date | None, through: date | None
+) -> DataFrame:
     """Running sums per key with one row for each calendar day from the key's first day to the last day of all.
 
     Running sums exist for days with events; each is then repeated up to the day before the next one. So days
@@ -25,22 +29,28 @@ def _cumulative(partials: DataFrame, keys: tuple, metrics: tuple) -> DataFrame:
     number bounded by the calendar. Events without a day sort first and count in every cut-off.
     """
     daily = partials.withColumn("day", F.col("date").try_cast("date"))
-    last_day = daily.agg(F.max("day")).scalar()
+    last_day = daily.agg(F.max("day")).scalar() if through is None else F.lit(through)
     in_order = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("day"))
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = [column for metric in metrics for column in merged_sum(metric, so_far)]
     running = daily.select(*keys, "day", *sums, F.lead("day").over(in_order).alias("next_day"))
-    until = F.coalesce(F.date_sub("next_day", 1), last_day)
-    return running.withColumn("cutoff_day", F.explode(F.sequence("day", until))).withColumn(
+    start = F.col("day") if first is None else F.greatest("day", F.lit(first))
+    until = F.least(F.date_sub("next_day", 1), last_day)
+    shown = running.where(F.col("day").isNotNull() & (start <= until))
+    return shown.withColumn("cutoff_day", F.explode(F.sequence(start, until))).withColumn(
         "timestamp", F.date_add("cutoff_day", 1).cast("timestamp_ntz")
     )
 
 
-def replay_zones(partials: DataFrame) -> DataFrame:
-    """Rows of traffic_by_zone_ts at the end of each day, from daily_zone_partials."""
+def replay_zones(partials: DataFrame, first: date | None = None, through: date | None = None) -> DataFrame:
+    """Rows of traffic_by_zone_ts at the end of each day, from daily_zone_partials.
+
+    first and through limit the cut-offs that are shown, not what they count; give them where a single event with an
+    absurd year would stretch the calendar.
+    """
     occupancy = F.col("occupancy_rate_avg")
     return (
-        _cumulative(partials, ("zone",), ZONE_METRICS)
+        _cumulative(partials, ("zone",), ZONE_METRICS, first, through)
         .select(
             "zone",
             round2(partial_mean("vehicle_count")).alias("vehicle_count_avg"),
@@ -51,11 +61,11 @@ def replay_zones(partials: DataFrame) -> DataFrame:
     )
 
 
-def replay_roads(partials: DataFrame) -> DataFrame:
-    """Rows of speed_by_road_ts at the end of each day, from daily_road_partials."""
+def replay_roads(partials: DataFrame, first: date | None = None, through: date | None = None) -> DataFrame:
+    """Rows of speed_by_road_ts at the end of each day, from daily_road_partials; limits as in replay_zones."""
     speed = F.col("speed_avg_kmh")
     return (
-        _cumulative(partials, ROAD_KEYS, ROAD_METRICS)
+        _cumulative(partials, ROAD_KEYS, ROAD_METRICS, first, through)
         .select(*ROAD_KEYS, round2(partial_mean("average_speed")).alias("speed_avg_kmh"), "timestamp")
         .select(*ROAD_KEYS, speed, bands.speed_category(speed).alias("speed_category"), "timestamp")
     )

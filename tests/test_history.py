@@ -9,7 +9,7 @@ from flowmart.sources.sensor_table import sensor_events
 from tests.conftest import SMALL, rows
 
 
-def small_history(spark):
+def small_history(spark, **limits):
     events = spark.createDataFrame(
         [
             ("a", 10, 10.0, date(2024, 1, 1)),
@@ -20,7 +20,7 @@ def small_history(spark):
         ],
         "zone string, vehicle_count bigint, occupancy_rate double, event_time date",
     )
-    return history.replay_zones(agg.daily_zone_partials(dated(events)))
+    return history.replay_zones(agg.daily_zone_partials(dated(events)), **limits)
 
 
 def test_every_zone_seen_has_a_row_at_every_later_cutoff(spark):
@@ -39,6 +39,17 @@ def test_every_zone_seen_has_a_row_at_every_later_cutoff(spark):
     )
 
 
+def test_limits_cut_the_calendar_and_not_the_sums(spark):
+    whole = small_history(spark)
+    for first, through in ((2, 3), (4, 9), (None, 1), (5, None)):
+        limits = {name: day and date(2024, 1, day) for name, day in (("first", first), ("through", through))}
+        got = rows(small_history(spark, **limits))
+        days = range(first or 1, (through or 5) + 1)
+        inside = [row for row in rows(whole) if row[-1].day - 1 in days]
+        # A calendar that goes on after the last event repeats the last means.
+        assert [row for row in got if row[-1].day - 1 <= 5] == inside
+
+
 def test_the_last_cutoff_is_the_current_table(spark):
     events = dated(sensor_events(spark, SMALL))
     replayed = history.replay_zones(agg.daily_zone_partials(events))

@@ -110,9 +110,12 @@ def test_compaction_of_closed_days(spark, lake, tmp_path):
     assert len(list(Path(target).rglob("part-*"))) == 2 < len(lake.files())
     closed = raw.read_raw(spark, target)
     assert rows(closed) == rows(raw.read_landed(spark, lake.root, last="2024-01-04").drop("date"))
-    # Publishing again replaces the tree.
+    # Once more after a late event, from its day on: days are replaced, nothing is there twice.
+    lake.arrive("late", event(zone="Aeroport"))
+    compaction.compact(spark, lake.root, target, "2024-01-02", first="2024-01-01")
+    assert raw.read_raw(spark, target).count() == 7
     compaction.compact(spark, lake.root, target, "2024-01-06")
-    assert raw.read_raw(spark, target).count() == 9
+    assert raw.read_raw(spark, target).count() == 10
 
 
 def test_a_directory_with_most_rows_is_split_over_tasks(spark, lake, tmp_path):
