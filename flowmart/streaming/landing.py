@@ -10,7 +10,7 @@ from flowmart.functions import events as ev
 from flowmart.sources.raw import LANDED
 
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}
-_ROUTING = "zone string, event_time string, broken string"
+_ROUTING = "array<struct<zone: string, event_time: string>>"
 
 
 def routed(lines: DataFrame) -> DataFrame:
@@ -21,21 +21,21 @@ def routed(lines: DataFrame) -> DataFrame:
     no_zone, no_time) instead of ending the job.
     """
     body = ev.one_line(F.coalesce(F.col("value"), F.lit("")))
+    # A JSON parser stops after the first value of a text. Between brackets, anything but a single object shows: two
+    # objects in one message, or text after the object, do not pass for one event.
+    bracketed = F.concat(F.lit("["), F.col("value"), F.lit("]"))
     decoded = lines.select(body.alias("value")).withColumn(
-        "event", F.from_json("value", _ROUTING, {"columnNameOfCorruptRecord": "broken"})
+        "objects", F.from_json(bracketed, _ROUTING, {"allowSingleQuotes": "false"})
     )
+    event = F.get("objects", F.lit(0))
     keys = decoded.select(
         "value",
-        (
-            F.is_valid_utf8("value")
-            & F.ltrim("value", F.lit(" \t")).startswith("{")
-            & F.col("event.broken").isNull()
-        ).alias("is_object"),
-        F.col("event.zone").alias("zone"),
-        ev.event_day(ev.local_time(F.col("event.event_time"))).alias("date"),
+        (F.is_valid_utf8("value") & (F.size("objects") == 1) & event.isNotNull()).alias("is_object"),
+        event["zone"].alias("zone"),
+        ev.event_day(ev.local_time(event["event_time"])).alias("date"),
     )
     outcome = (
-        F.when(~F.col("is_object"), "malformed")
+        F.when(~F.coalesce("is_object", F.lit(False)), "malformed")
         .when(F.col("zone").isNull(), "no_zone")
         .when(F.col("date").isNull(), "no_time")
         .otherwise(LANDED)

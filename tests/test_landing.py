@@ -84,6 +84,25 @@ def test_line_breaks_and_missing_bodies(spark):
     assert routed(bytes_of.select(F.col("value").cast("string"))).first()["outcome"] == "malformed"
 
 
+@pytest.mark.parametrize("text, outcome", [
+    ("%s", "landed"),
+    ("  %s ", "landed"),
+    ("%s %s", "malformed"),
+    ("%s, %s", "malformed"),
+    ("%s trailing", "malformed"),
+    ("%s}", "malformed"),
+    ("[%s]", "malformed"),
+    ("null", "malformed"),
+    ("5", "malformed"),
+    ("   ", "malformed"),
+    ("{'zone': 'a', 'event_time': '2024-01-01T00:00:00'}", "malformed"),
+    ("{}", "no_zone"),
+])
+def test_a_message_is_one_object(spark, text, outcome):
+    message = text.replace("%s", event())
+    assert routed(spark.createDataFrame([(message,)], "value string")).first()["outcome"] == outcome
+
+
 def test_land_and_scan_give_the_events_back(spark, lake, write_lines):
     lines = [event(sensor_id=f"s{n}", zone=zone, vehicle_count=n) for n, zone in enumerate(["a b", "c", "", "é/è", "a=b"] * 3)]
     lake.arrive("one", *lines)

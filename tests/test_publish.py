@@ -201,6 +201,16 @@ def test_jdbc_calls_and_repeated_runs(spark, mart_tables, database, monkeypatch)
     assert {call[0] for call in database.calls if call[1] == "append"} == {f"{name}_ts" for name in ANALYTICS}
 
 
+def test_dashboard_over_jdbc_tables(spark, mart_tables, database):
+    base = JdbcTarget(spark, "jdbc:somedb://host/traffic")
+    publish(mart_tables, base, RUN)
+    publish(mart_tables, base, RUN - timedelta(hours=7))
+    publish(mart_tables, base, NEXT)
+    shown = dashboard(base, NEXT.replace(tzinfo=None))
+    assert shown["occupancy_series"].count() == 10 and dashboard(base)["occupancy_series"].count() == 15
+    assert shown["zone_table"].count() == 5
+
+
 def test_jdbc_history_is_completed_after_a_break(spark, mart_tables, database):
     target = JdbcTarget(spark, "jdbc:somedb://host/traffic")
     name = "congestion_alerts"
