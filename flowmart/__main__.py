@@ -76,6 +76,7 @@ def _parser() -> argparse.ArgumentParser:
     refreshing = job("refresh", "raw", "checkpoint")
     refreshing.add_argument("--events-from", choices=("json", "landed"), default="landed")
     refreshing.add_argument("--files-per-trigger", type=int)
+    refreshing.add_argument("--state-partitions", type=int, default=8)
     publishes(refreshing)
     job("compact", "lake", "target", "before").add_argument("--first")
     job("type", "lake", "target", "first", "last")
@@ -119,6 +120,8 @@ def main(arguments: list[str] | None = None) -> None:
             touched = events.where(events.date.between(options.first, options.last))
             batch.run_incremental(events, touched, options.partials, _target(spark, options), run_ts)
         case "refresh":
+            # One state row per zone and road needs few partitions. The first start fixes their number.
+            spark.conf.set("spark.sql.shuffle.partitions", options.state_partitions)
             source = raw.landed_stream if options.events_from == "landed" else raw.raw_stream
             events = source(spark, options.raw, options.files_per_trigger)
             refresh(events, _target(spark, options), options.checkpoint).awaitTermination()

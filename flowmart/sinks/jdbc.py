@@ -21,10 +21,11 @@ class JdbcTarget:
     FLOWMART_JDBC_PASSWORD. Each partition is one transaction; the tables of a run have no common one.
     """
 
-    def __init__(self, spark: SparkSession, url: str, properties: dict[str, str] | None = None):
+    def __init__(self, spark: SparkSession, url: str, properties: dict[str, str] | None = None, connections: int = 8):
         self.spark = spark
         self.url = url
-        self.properties = dict(properties or {})
+        # Spark opens a connection per partition written; this is the most it may have open.
+        self.properties = {"numPartitions": str(connections), **(properties or {})}
         for name, variable in (("user", "FLOWMART_JDBC_USER"), ("password", "FLOWMART_JDBC_PASSWORD")):
             if name not in self.properties and variable in os.environ:
                 self.properties[name] = os.environ[variable]

@@ -21,17 +21,19 @@ def refresh(events: DataFrame, target, checkpoint: str, trigger: dict | None = N
     is repeated after a failure carries the same one and does not add to the history twice.
     """
 
+    spark = events.sparkSession
+    path = f"{checkpoint.rstrip('/')}_sweep"
+
     def publish_batch(batch: DataFrame, batch_id: int) -> None:
-        # A few rows; without the cache each of the eight writes would run the streaming aggregate again.
-        swept = batch.persist()
-        try:
-            newest = swept.select("run_ts").first()
-            if newest is not None:
-                run_ts = newest["run_ts"]
-                marts = analytics_tables(processed_tables(swept), run_ts)
-                publish(marts, target, run_ts, f"{run_ts:%Y%m%dT%H%M%S%f}-{batch_id}")
-        finally:
-            swept.unpersist()
+        # A few rows. Written once, they are not derived again from the state for each of the eight tables, also
+        # not after lost executors, and the marts are planned adaptively, which Spark does not do inside a stream.
+        batch.write.mode("overwrite").parquet(path)
+        swept = spark.read.schema(batch.schema).parquet(path)
+        newest = swept.select("run_ts").first()
+        if newest is not None:
+            run_ts = newest["run_ts"]
+            marts = analytics_tables(processed_tables(swept), run_ts)
+            publish(marts, target, run_ts, f"{run_ts:%Y%m%dT%H%M%S%f}-{batch_id}")
 
     return (
         sweep(events)

@@ -197,7 +197,7 @@ def test_jdbc_calls_and_repeated_runs(spark, mart_tables, database, monkeypatch)
     overwrites = [call for call in database.calls if call[1] == "overwrite"]
     assert len(overwrites) == 3 * 4
     assert all(options == {"truncate": "true"} for _, _, options, _ in overwrites)
-    assert all(properties == {"driver": "d", "user": "u", "password": "p"} for *_, properties in database.calls)
+    assert all(properties == {"numPartitions": "8", "driver": "d", "user": "u", "password": "p"} for *_, properties in database.calls)
     assert {call[0] for call in database.calls if call[1] == "append"} == {f"{name}_ts" for name in ANALYTICS}
 
 
