@@ -26,11 +26,13 @@ def working_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the working folder; it is removed when the driver ends."""
-    path = f"{working_root(spark)}/flowmart/{label}-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(jvm_path)
-    return path
+    """A fresh path below the working folder, not yet existing. It is removed when the driver ends."""
+    parent = f"{working_root(spark)}/flowmart/{label}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{parent}/data"
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:
