@@ -59,13 +59,21 @@ def merged_sum(metric: str, over=None) -> list[Column]:
     ]
 
 
+def _quotient(units: Column, rest: Column, n: Column) -> Column:
+    """Without inexact values a mean is one correctly rounded division of whole numbers, so a mean that lies exactly
+    between two roundings is seen as such. NULL when there is no value, as avg gives."""
+    mixed = (F.coalesce(units.cast("double"), F.lit(0.0)) / _UNITS + rest) / n
+    return F.when(n > 0, F.when(rest.isNull(), units.cast("double") / (n * _UNITS)).otherwise(mixed))
+
+
 def partial_mean(metric: str) -> Column:
-    """Mean from the three columns; NULL when the group has no value, as avg gives.
+    """Mean from the three columns."""
+    return _quotient(F.col(f"{metric}_units"), F.col(f"{metric}_rest"), F.col(f"{metric}_n"))
 
-    Without inexact values the mean is one correctly rounded division of whole numbers, so a mean that lies exactly
-    between two roundings is seen as such.
-    """
-    units = F.col(f"{metric}_units").cast("double")
-    rest, n = F.col(f"{metric}_rest"), F.col(f"{metric}_n")
-    mixed = (F.coalesce(units, F.lit(0.0)) / _UNITS + rest) / n
-    return F.when(n > 0, F.when(rest.isNull(), units / (n * _UNITS)).otherwise(mixed))
+
+def mean(metric: str) -> Column:
+    """Aggregate: the mean of a metric. As avg, but the same for every partitioning of the rows, every retry, and
+    every merge of partial sums; it costs the same."""
+    value = F.col(metric).cast("double")
+    units = _units(value)
+    return _quotient(F.sum(units), F.sum(F.when(units.isNull(), value)), F.count(value))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowmart.functions import bands
-from flowmart.functions.numbers import numeric2
+from flowmart.functions.numbers import mean, numeric2
 
 ALERT_RATE = 50
 DASHBOARD_RANGE = timedelta(hours=6)
@@ -87,9 +87,9 @@ def alert_zones(congestion: DataFrame) -> DataFrame:
 def weighted_means(events: DataFrame) -> DataFrame:
     """Global means over all measurements: large zones count more, unlike in global_mean."""
     return events.agg(
-        numeric2(F.avg("vehicle_count")).alias("vehicles"),
-        numeric2(F.avg("occupancy_rate")).alias("occupancy"),
-        numeric2(F.avg("average_speed")).alias("speed"),
+        numeric2(mean("vehicle_count")).alias("vehicles"),
+        numeric2(mean("occupancy_rate")).alias("occupancy"),
+        numeric2(mean("average_speed")).alias("speed"),
         F.count("*").alias("measurements"),
     )
 

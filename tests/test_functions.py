@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from flowmart.functions import bands
 from flowmart.functions import events as ev
-from flowmart.functions.numbers import merged_sum, numeric2, partial_mean, partial_sum, round2
+from flowmart.functions.numbers import mean, merged_sum, numeric2, partial_mean, partial_sum, round2
 
 NAN = float("nan")
 LABELS = {
@@ -100,7 +100,8 @@ def test_event_times_and_directories(spark):
 def test_merged_partials_give_the_mean_of_all_values(spark, values):
     frame = spark.createDataFrame([(position % 2, value) for position, value in enumerate(values)], "day int, m double")
     merged = frame.groupBy("day").agg(*partial_sum("m")).agg(*merged_sum("m")).select(partial_mean("m")).first()[0]
-    whole = frame.agg(F.avg("m")).first()[0]
+    whole, direct = frame.agg(F.avg("m"), mean("m")).first()
+    assert repr(direct) == repr(merged)
     if whole is None:
         assert merged is None
     elif math.isnan(whole):
@@ -114,12 +115,11 @@ def test_exact_means_do_not_depend_on_the_order_of_partials(spark):
     values = [49.9, 50.05, 49.95, 50.0] * 25
     frame = spark.createDataFrame([(position, value) for position, value in enumerate(values)], "n int, m double")
     for parts in (1, 3, 7, 50):
+        assert frame.repartition(parts).agg(round2(mean("m"))).first()[0] == 49.98
         partials = frame.groupBy((F.col("n") % parts).alias("day")).agg(*partial_sum("m"))
-        mean = partials.agg(*merged_sum("m")).select(round2(partial_mean("m"))).first()[0]
-        assert mean == 49.98
+        assert partials.agg(*merged_sum("m")).select(round2(partial_mean("m"))).first()[0] == 49.98
 
 
 def test_partials_of_very_many_large_values_do_not_overflow(spark):
     huge = spark.sql("SELECT 9000000000000000000L AS m_units, CAST(NULL AS double) AS m_rest, 9000000000000L AS m_n FROM range(10)")
-    mean = huge.agg(*merged_sum("m")).select(partial_mean("m")).first()[0]
-    assert mean == pytest.approx(100.0)
+    assert huge.agg(*merged_sum("m")).select(partial_mean("m")).first()[0] == pytest.approx(100.0)

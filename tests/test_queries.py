@@ -63,7 +63,7 @@ def plan_of(frame):
 def test_the_sweep_scans_once_and_aggregates_before_the_shuffle(spark):
     plan = plan_of(agg.sweep(sensor_events(spark, SMALL)))
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
-    assert "partial_avg" in plan.split("Exchange")[1]
+    assert "partial_sum" in plan.split("Exchange")[1]
     assert "event_type" not in plan and "props" not in plan
 
 
