@@ -56,6 +56,27 @@ def test_restart_adds_nothing_twice(lake):
     assert lake.counts() == [("landed", "2024-01-01", "Centre_Ville", 3)]
 
 
+def test_a_stop_between_batches_loses_and_repeats_nothing(spark, tmp_path, write_lines):
+    for number in range(5):
+        inbox = write_lines([event(sensor_id=f"{number}-{n}") for n in range(20)], f"inbox/{number}.jsonl", "inbox")
+    root, state = str(tmp_path / "lake"), str(tmp_path / "state")
+    query = land(raw.file_lines(spark, inbox, files_per_trigger=1), root, state, {"processingTime": "0 seconds"})
+    while not query.recentProgress:
+        query.awaitTermination(1)
+    query.stop()
+    land(raw.file_lines(spark, inbox, files_per_trigger=2), root, state, ONCE).awaitTermination()
+    assert raw.read_landed(spark, root).select("sensor_id").distinct().count() == 100
+    assert raw.read_landed(spark, root).count() == 100
+
+
+def test_leftovers_of_failed_tasks_are_not_read(spark, lake):
+    lake.arrive("one", event())
+    folder = Path(lake.root) / "outcome=landed" / "date=2024-01-01" / "zone=Centre_Ville"
+    (folder / "part-00000-lost.txt").write_text(event() + "\n")
+    assert raw.read_landed(spark, lake.root).count() == 1
+    assert raw.read_raw(spark, lake.root).count() == 1
+
+
 def test_late_events_go_to_their_own_day(spark, lake):
     lake.arrive("one", event(event_time="2024-01-03T10:00:00", occupancy_rate=10.0))
     first = lake.files()
