@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -28,52 +28,49 @@ _UNITS = 10_000
 _EXACT_SIZE = 1_000
 
 
-def _units(value: Column) -> Column:
-    scaled = F.rint(value * _UNITS)
-    fits = (F.abs(value) <= _EXACT_SIZE) & (scaled / _UNITS == value)
-    return F.when(fits, scaled.try_cast("bigint"))
+def _sums(metric: str) -> dict[str, str]:
+    """Aggregates over the values of a metric: exact units, the rest, and their number."""
+    value = f"CAST({metric} AS double)"
+    scaled = f"rint({value} * {_UNITS})"
+    fits = f"abs({value}) <= {_EXACT_SIZE} AND {scaled} / {_UNITS} = {value}"
+    return {
+        "units": f"sum(CASE WHEN {fits} THEN try_cast({scaled} AS bigint) END)",
+        "rest": f"sum(CASE WHEN NOT ({fits}) THEN {value} END)",
+        "n": f"count({value})",
+    }
 
 
-def partial_sum(metric: str) -> list[Column]:
-    """Aggregates <metric>_units, <metric>_rest and <metric>_n of one double or bigint metric."""
-    value = F.col(metric).cast("double")
-    units = _units(value)
-    return [
-        F.sum(units).alias(f"{metric}_units"),
-        F.sum(F.when(units.isNull(), value)).alias(f"{metric}_rest"),
-        F.count(value).alias(f"{metric}_n"),
-    ]
+def _quotient(units: str, rest: str, n: str) -> Column:
+    """Without inexact values a mean is one correctly rounded division of whole numbers, so a mean that lies exactly
+    between two roundings is seen as such. NULL when there is no value, as avg gives."""
+    whole = f"CAST({units} AS double)"
+    return F.expr(
+        f"CASE WHEN {n} > 0 AND {rest} IS NULL THEN {whole} / ({n} * {_UNITS}) "
+        f"WHEN {n} > 0 THEN (coalesce({whole}, 0D) / {_UNITS} + {rest}) / {n} END"
+    )
 
 
-def merged_sum(metric: str, over=None) -> list[Column]:
-    """The same three columns added up over partial rows, as aggregates or over a window."""
+def mean(metric: str) -> Column:
+    """Aggregate: the mean of a metric. As avg, but the same for every partitioning of the rows, every retry, and
+    every merge of partial sums; it costs the same."""
+    return _quotient(**_sums(metric))
 
-    def total(column: Column) -> Column:
-        added = F.sum(column)
-        return added.over(over) if over is not None else added
 
-    return [
-        total(F.col(f"{metric}_units").cast("decimal(38,0)")).alias(f"{metric}_units"),
-        total(F.col(f"{metric}_rest")).alias(f"{metric}_rest"),
-        total(F.col(f"{metric}_n")).alias(f"{metric}_n"),
-    ]
+def partial_sum(metric: str) -> list[Column]:
+    """Aggregates <metric>_units, <metric>_rest and <metric>_n of one double or bigint metric."""
+    return [F.expr(total).alias(f"{metric}_{part}") for part, total in _sums(metric).items()]
 
 
-def _quotient(units: Column, rest: Column, n: Column) -> Column:
-    """Without inexact values a mean is one correctly rounded division of whole numbers, so a mean that lies exactly
-    between two roundings is seen as such. NULL when there is no value, as avg gives."""
-    mixed = (F.coalesce(units.cast("double"), F.lit(0.0)) / _UNITS + rest) / n
-    return F.when(n > 0, F.when(rest.isNull(), units.cast("double") / (n * _UNITS)).otherwise(mixed))
+def merged_sum(metric: str, over: WindowSpec | None = None) -> list[Column]:
+    """The same three columns added up over partial rows, as aggregates or over a window."""
+    totals = {
+        "units": F.expr(f"sum(CAST({metric}_units AS decimal(38,0)))"),
+        "rest": F.sum(f"{metric}_rest"),
+        "n": F.sum(f"{metric}_n"),
+    }
+    return [(total.over(over) if over else total).alias(f"{metric}_{part}") for part, total in totals.items()]
 
 
 def partial_mean(metric: str) -> Column:
     """Mean from the three columns."""
-    return _quotient(F.col(f"{metric}_units"), F.col(f"{metric}_rest"), F.col(f"{metric}_n"))
-
-
-def mean(metric: str) -> Column:
-    """Aggregate: the mean of a metric. As avg, but the same for every partitioning of the rows, every retry, and
-    every merge of partial sums; it costs the same."""
-    value = F.col(metric).cast("double")
-    units = _units(value)
-    return _quotient(F.sum(units), F.sum(F.when(units.isNull(), value)), F.count(value))
+    return _quotient(**{part: f"{metric}_{part}" for part in ("units", "rest", "n")})

@@ -6,35 +6,33 @@ arithmetic and one division, chosen so that every label of every classification
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from flowmart.schema import ROADS, ZONES
 
+EVENT_TABLE = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
 # Offsets per road and per zone, in the order of schema.ROADS and schema.ZONES.
 SPEED_BASE = (900, 700, 400, 150, 450)
 OCCUPANCY_BASE = (8400, 6200, 3900, 1000, 2500)
 
 
-def _pick(values, remainder: Column) -> Column:
-    chosen = F
-    for position, value in enumerate(values):
-        chosen = chosen.when(remainder == position, value)
-    return chosen
+def _pick(number: str, values) -> str:
+    """SQL choice of the value at the position a number gives."""
+    return f"CASE {number} " + " ".join(f"WHEN {at} THEN {value!r}" for at, value in enumerate(values)) + " END"
 
 
 def sensor_events(spark: SparkSession, folder: str) -> DataFrame:
-    event_id, user_id = F.col("event_id"), F.col("user_id")
-    zone_no, road_no = user_id % 5, event_id % 5
-    return spark.read.parquet(f"{folder}/events.parquet").select(
-        event_id,
-        F.concat(F.lit("s"), (user_id % 25).cast("string")).alias("sensor_id"),
-        _pick(ROADS, road_no).alias("road_id"),
-        _pick(ROADS.values(), road_no).alias("road_type"),
-        _pick(ZONES, zone_no).alias("zone"),
-        ((event_id * 37 + user_id * 11) % 101).alias("vehicle_count"),
-        ((_pick(SPEED_BASE, road_no) + event_id * 53 % 101).cast("double") / 10).alias("average_speed"),
-        ((_pick(OCCUPANCY_BASE, zone_no) + event_id * 7919 % 1601).cast("double") / 100).alias("occupancy_rate"),
-        F.col("ts").cast("timestamp_ntz").alias("event_time"),
+    zone, road = "user_id % 5", "event_id % 5"
+    return spark.read.schema(EVENT_TABLE).parquet(f"{folder}/events.parquet").selectExpr(
+        "event_id",
+        "'s' || CAST(user_id % 25 AS string) AS sensor_id",
+        f"{_pick(road, ROADS)} AS road_id",
+        f"{_pick(road, ROADS.values())} AS road_type",
+        f"{_pick(zone, ZONES)} AS zone",
+        "(event_id * 37 + user_id * 11) % 101 AS vehicle_count",
+        f"CAST({_pick(road, SPEED_BASE)} + event_id * 53 % 101 AS double) / 10 AS average_speed",
+        f"CAST({_pick(zone, OCCUPANCY_BASE)} + event_id * 7919 % 1601 AS double) / 100 AS occupancy_rate",
+        "ts AS event_time",
         "event_type",
     )
