@@ -34,7 +34,8 @@ def separate(spark, path, out):
     """The plain way: each table on its own."""
     events = spark.read.option("recursiveFileLookup", "true").json(path)
     means = agg.zone_means(events)
-    for name, table in (("t", agg.traffic_by_zone(means)), ("s", agg.road_means(events)), ("c", agg.congestion_by_zone(means))):
+    tables = {"t": agg.traffic_by_zone(means), "s": agg.road_means(events), "c": agg.congestion_by_zone(means)}
+    for name, table in tables.items():
         table.write.mode("overwrite").parquet(f"{out}/{name}")
 
 
@@ -57,7 +58,8 @@ def main() -> None:
     iso = F.translate(F.col("event_time").cast("string"), " ", "T")
     lines, typed, stored = f"{scratch}/json", f"{scratch}/typed", f"{scratch}/partials"
     events.withColumn("event_time", iso).select(encode(columns_of(RAW_EVENT))).write.text(lines)
-    raw.dated(events.drop("event_id", "event_type", "copy")).hint("rebalance", "date").write.partitionBy("date").parquet(typed)
+    layer = raw.dated(events.drop("event_id", "event_type", "copy")).hint("rebalance", "date")
+    layer.write.partitionBy("date").parquet(typed)
     agg.store_partials(agg.daily_sweep(raw.read_typed(spark, typed)), stored)
 
     def days():

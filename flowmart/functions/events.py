@@ -34,6 +34,6 @@ def one_line(body: Column) -> Column:
     return F.when(broken, F.regexp_replace(body, r"[\r\n]+", " ")).otherwise(body)
 
 
-def encode(columns: list[str]) -> Column:
+def encode(columns: list[str | Column]) -> Column:
     """JSON text of some columns; NULL fields are kept as null."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

@@ -57,7 +57,13 @@ def replay_zones(partials: DataFrame, first: date | None = None, through: date |
             round2(partial_mean("occupancy_rate")).alias("occupancy_rate_avg"),
             "timestamp",
         )
-        .select("zone", "vehicle_count_avg", occupancy, bands.traffic_level(occupancy).alias("traffic_level"), "timestamp")
+        .select(
+            "zone",
+            "vehicle_count_avg",
+            "occupancy_rate_avg",
+            bands.traffic_level(occupancy).alias("traffic_level"),
+            "timestamp",
+        )
     )
 
 

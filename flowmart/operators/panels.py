@@ -110,11 +110,11 @@ def _figure(frame: DataFrame, kpi: str, label, value, band) -> DataFrame:
 
 def kpi_bands(traffic: DataFrame, speed: DataFrame, congestion: DataFrame) -> DataFrame:
     """All coloured figures of the dashboard with their severity: the zone table and the stat panels."""
-    occupancy, overall, count = F.col("occupancy_rate_avg"), F.col("avg"), F.col("count")
+    occupancy, overall, count = numeric2(F.col("occupancy_rate_avg")), F.col("avg"), F.col("count")
     everywhere = F.lit("all")
     figures = [
-        _figure(traffic, "zone_occupancy", F.col("zone"), numeric2(occupancy), bands.occupancy_band(numeric2(occupancy))),
-        _figure(traffic, "zone_level", F.col("zone"), numeric2(occupancy), bands.level_colour(F.col("traffic_level"))),
+        _figure(traffic, "zone_occupancy", F.col("zone"), occupancy, bands.occupancy_band(occupancy)),
+        _figure(traffic, "zone_level", F.col("zone"), occupancy, bands.level_colour(F.col("traffic_level"))),
         _figure(
             global_mean(traffic, "occupancy_rate_avg"), "congestion", everywhere, overall, bands.occupancy_band(overall)
         ),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart.functions import events as ev
@@ -202,10 +202,14 @@ def contract_violations(spark, folder):
 # --- landing and files
 
 
+def _message() -> Column:
+    """An event as JSON text, its time in ISO form."""
+    iso = F.translate(F.col("event_time").cast("string"), " ", "T").alias("event_time")
+    return ev.encode([iso if name == "event_time" else name for name in columns_of(RAW_EVENT)])
+
+
 def _as_message(events: DataFrame) -> DataFrame:
-    """Events as JSON messages, times in ISO form."""
-    iso = F.translate(F.col("event_time").cast("string"), " ", "T")
-    return events.withColumn("event_time", iso).select(ev.encode(columns_of(RAW_EVENT)).alias("value"))
+    return events.select(_message().alias("value"))
 
 
 def _landed(spark: SparkSession, *inboxes: DataFrame) -> str:
@@ -243,16 +247,15 @@ def late_event_roundtrip(spark, folder):
 
 def quarantine_split(spark, folder):
     """Error events lose their zone, signups their time, views their closing brace; the others are sound."""
-    events = sensor_events(spark, folder)
-    kind = F.col("event_type")
-    broken = _as_message(
-        events.where(kind.isin("error", "signup"))
-        .withColumn("zone", F.when(kind != "error", F.col("zone")))
-        .withColumn("event_time", F.when(kind != "signup", F.col("event_time")))
+
+    def unless(kind: str, value: Column) -> Column:
+        return F.when(~F.col("event_type").eqNullSafe(kind), value)
+
+    spoiled = sensor_events(spark, folder).withColumns(
+        {"zone": unless("error", F.col("zone")), "event_time": unless("signup", F.col("event_time"))}
     )
-    cut = _as_message(events.where(kind == "view")).select(F.regexp_replace("value", r"\}$", "").alias("value"))
-    sound = _as_message(events.where(~kind.isin("error", "signup", "view")))
-    root = _landed(spark, broken.unionByName(cut).unionByName(sound))
+    cut = F.regexp_replace(_message(), r"\}$", "")
+    root = _landed(spark, spoiled.select(F.coalesce(unless("view", _message()), cut).alias("value")))
     return raw.landed_lines(spark, root).groupBy("outcome").agg(F.count("*").alias("events"))
 
 

@@ -3,8 +3,6 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from flowmart.operators import aggregates as agg
-from flowmart.operators import marts
 from flowmart.plans import batch
 from flowmart.plans.dashboard import dashboard
 from flowmart.schema import ANALYTICS, MART_KEYS

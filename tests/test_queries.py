@@ -4,7 +4,6 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from flowmart.operators import aggregates as agg
