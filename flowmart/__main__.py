@@ -66,6 +66,7 @@ def _parser() -> argparse.ArgumentParser:
     landing.add_argument("--min-messages", type=int, default=raw.FLUSH_MESSAGES)
     landing.add_argument("--max-wait", default=raw.FLUSH_TIME)
     landing.add_argument("--max-messages", type=int)
+    landing.add_argument("--min-partitions", type=int)
     reads_events(job("process", "raw", "processed"))
     job("analyze", "processed", "analytics")
     publishes(job("publish", "analytics"))
@@ -78,8 +79,10 @@ def _parser() -> argparse.ArgumentParser:
     refreshing.add_argument("--files-per-trigger", type=int)
     refreshing.add_argument("--state-partitions", type=int, default=8)
     publishes(refreshing)
-    job("compact", "lake", "target", "before").add_argument("--first")
-    job("type", "lake", "target", "first", "last")
+    compacting = job("compact", "lake", "target", "before")
+    compacting.add_argument("--first")
+    for rewriting in (compacting, job("type", "lake", "target", "first", "last")):
+        rewriting.add_argument("--task-size", default="256m", help="shuffled bytes per written file")
     return parser
 
 
@@ -101,6 +104,7 @@ def main(arguments: list[str] | None = None) -> None:
                     min_messages=options.min_messages,
                     max_wait=options.max_wait,
                     max_messages=options.max_messages,
+                    min_partitions=options.min_partitions,
                 )
                 # The source itself waits for enough messages, so the next batch may start at once.
                 query = land(lines, options.lake, options.checkpoint, {"processingTime": "0 seconds"})
@@ -126,8 +130,10 @@ def main(arguments: list[str] | None = None) -> None:
             events = source(spark, options.raw, options.files_per_trigger)
             refresh(events, _target(spark, options), options.checkpoint).awaitTermination()
         case "compact":
+            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", options.task_size)
             compaction.compact(spark, options.lake, options.target, options.before, options.first)
         case "type":
+            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", options.task_size)
             compaction.build_typed_layer(spark, options.lake, options.target, options.first, options.last)
 
 

@@ -134,11 +134,12 @@ def test_topic_reader_waits_for_messages_or_time(spark):
     class Session:
         readStream = _Reader(spark)
 
-    lines = raw.topic_lines(Session, "broker:9092", group="g", max_messages=1000)
+    lines = raw.topic_lines(Session, "broker:9092", group="g", max_messages=1000, min_partitions=24)
     assert Session.readStream.kind == "kafka"
     assert Session.readStream.options == {
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "traffic-events", "startingOffsets": "latest",
         "groupIdPrefix": "g",
         "minOffsetsPerTrigger": 50, "maxTriggerDelay": "30s", "maxOffsetsPerTrigger": 1000,
+        "minPartitions": 24,
     }
     assert lines.first()["value"] == "é{}"
