@@ -79,6 +79,7 @@ def _parser() -> argparse.ArgumentParser:
     refreshing.add_argument("--files-per-trigger", type=int)
     refreshing.add_argument("--state-partitions", type=int, default=8)
     publishes(refreshing)
+    job("compact-history", "published", "table", "day")
     compacting = job("compact", "lake", "target", "before")
     compacting.add_argument("--first")
     for rewriting in (compacting, job("type", "lake", "target", "first", "last")):
@@ -129,6 +130,8 @@ def main(arguments: list[str] | None = None) -> None:
             source = raw.landed_stream if options.events_from == "landed" else raw.raw_stream
             events = source(spark, options.raw, options.files_per_trigger)
             refresh(events, _target(spark, options), options.checkpoint).awaitTermination()
+        case "compact-history":
+            LakeTarget(spark, options.published).compact_history(options.table, options.day)
         case "compact":
             spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", options.task_size)
             compaction.compact(spark, options.lake, options.target, options.before, options.first)

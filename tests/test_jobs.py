@@ -1,5 +1,9 @@
 """The command line jobs, one after the other, on a small lake."""
 
+from datetime import datetime, timezone
+
+import pytest
+
 from flowmart import __main__ as jobs
 from flowmart.sinks.lake import LakeTarget
 from tests.conftest import rows
@@ -7,7 +11,21 @@ from tests.test_landing import ONCE
 from tests.test_sources import event
 
 
-def test_jobs_in_order(spark, tmp_path, write_lines, monkeypatch):
+@pytest.fixture
+def own_settings(spark):
+    """Jobs set up the session for themselves; the other tests get theirs back."""
+    names = (
+        "spark.sql.shuffle.partitions",
+        "spark.sql.maxConcurrentOutputFileWriters",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    )
+    before = {name: spark.conf.get(name, None) for name in names}
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_jobs_in_order(own_settings, spark, tmp_path, write_lines, monkeypatch):
     # Streams end when their input is used up, so that the test ends too.
     for name in ("land", "refresh"):
         start = getattr(jobs, name)
@@ -32,3 +50,5 @@ def test_jobs_in_order(spark, tmp_path, write_lines, monkeypatch):
     for name in ("mobility_summary", "speed_by_road", "congestion_alerts", "traffic_by_zone"):
         results = [rows(LakeTarget(spark, str(tmp_path / f"p{n}")).current(name).drop("timestamp")) for n in range(1, 6)]
         assert results[0] and all(result == results[0] for result in results)
+    run("compact-history", published=tmp_path / "p1", table="speed_by_road", day=datetime.now(timezone.utc).date())
+    assert LakeTarget(spark, str(tmp_path / "p1")).history("speed_by_road").count() == 1
