@@ -14,10 +14,10 @@ from flowmart.sources.tables import read_analytics, read_processed
 
 
 def write_processed(events: DataFrame, root: str, run_ts: datetime) -> None:
-    """The three processed tables. The events are read once, into a table of one row per zone and road that lies
-    hidden beside the others; unlike a cached frame it outlives lost executors and has as few files as it needs."""
+    """The three processed tables. The events are read once, into a fourth table with one row per zone and road;
+    unlike a cached frame it outlives lost executors and has as few files as it needs."""
     spark = events.sparkSession
-    swept = f"{root}/_sweep"
+    swept = f"{root}/group_means"
     replace_table(sweep(events), swept)
     for name, table in processed_tables(spark.read.parquet(swept)).items():
         replace_table(stamped(table, run_ts), f"{root}/{name}")
