@@ -7,6 +7,7 @@ range: the filter is applied before everything else and reaches the source.
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,7 +122,4 @@ def kpi_bands(traffic: DataFrame, speed: DataFrame, congestion: DataFrame) -> Da
         _figure(global_mean(speed, "speed_avg_kmh"), "speed", everywhere, overall, bands.speed_band(overall)),
         _figure(alert_zones(congestion), "alert_zones", everywhere, count, bands.alert_count_band(count)),
     ]
-    combined = figures[0]
-    for figure in figures[1:]:
-        combined = combined.unionByName(figure)
-    return combined
+    return reduce(DataFrame.unionByName, figures)

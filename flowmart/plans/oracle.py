@@ -272,6 +272,18 @@ UNION ALL SELECT 'exported_if_one_empty', 4""",
 UNION ALL {_MART}, '2024-02-01 00:01:00' FROM congestion""",
         _ZONES,
     ),
+    "dashboard_published": _sql(
+        f"""SELECT 'zone_table' AS panel, zone AS label, {_round2('vehicle_count_avg')} AS "value" FROM traffic
+UNION ALL SELECT 'speed_series', road_type, speed_avg_kmh FROM speed, range(2)
+UNION ALL SELECT 'vehicle_series', zone, vehicle_count_avg FROM traffic, range(2)
+UNION ALL SELECT 'occupancy_series', zone, occupancy_rate_avg FROM traffic, range(2)
+UNION ALL SELECT 'vehicles', 'all', {_round2('avg(vehicle_count_avg)')} FROM traffic
+UNION ALL SELECT 'occupancy', 'all', {_round2('avg(occupancy_rate_avg)')} FROM traffic
+UNION ALL SELECT 'speed', 'all', {_round2('avg(speed_avg_kmh)')} FROM speed
+UNION ALL SELECT 'alert_zones', 'all', CAST(count(*) AS double) FROM congestion WHERE congestion_rate_pct > 50""",
+        _ZONES,
+        _ROADS,
+    ),
     "continuous_refresh": _sql("SELECT * FROM summary", _ZONES),
     "incremental_chain": _sql("SELECT *, '2024-02-01 00:01:00' AS \"timestamp\" FROM speed", _ROADS),
     "batch_chain": _sql("SELECT *, '2024-02-01 00:00:00' AS \"timestamp\" FROM summary", _ZONES),

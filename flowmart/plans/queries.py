@@ -8,6 +8,7 @@ results do not depend on the clock.
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from flowmart.functions import events as ev
 from flowmart.operators import aggregates as agg
 from flowmart.operators import compaction, history, marts, panels, quality
 from flowmart.plans import batch
+from flowmart.plans.dashboard import dashboard
 from flowmart.schema import ANALYTICS, PROCESSED, RAW_EVENT, ZONES, columns_of
 from flowmart.sinks.lake import LakeTarget
 from flowmart.sinks.publish import publish
@@ -351,6 +353,31 @@ def publish_history_roundtrip(spark, folder):
     return target.history("congestion_alerts").withColumn("timestamp", _utc_text("timestamp"))
 
 
+def dashboard_published(spark, folder):
+    """The eight panels over published tables, as one list of points."""
+    target = LakeTarget(spark, new_folder(spark, "published"))
+    for run in (FIRST_RUN - 2 * panels.DASHBOARD_RANGE, FIRST_RUN, SECOND_RUN):
+        publish(_all_marts(spark, folder, run), target, run)
+    shown = dashboard(target, SECOND_RUN)
+    labels = {"zone_table": "zone", "speed_series": "road_type", "vehicle_series": "zone", "occupancy_series": "zone"}
+    values = {
+        "zone_table": "vehicules_moyens",
+        "speed_series": "vitesse_moyenne",
+        "vehicle_series": "vehicules_moyens",
+        "occupancy_series": "taux_occupation",
+        "alert_zones": "count",
+    }
+    points = [
+        panel.select(
+            F.lit(name).alias("panel"),
+            (F.col(labels[name]) if name in labels else F.lit("all")).alias("label"),
+            F.col(values.get(name, "avg")).cast("double").alias("value"),
+        )
+        for name, panel in shown.items()
+    ]
+    return reduce(DataFrame.unionByName, points)
+
+
 def continuous_refresh(spark, folder):
     """Events as JSON files, streamed through the refresh; the published summary comes back."""
     inbox = new_folder(spark, "raw")
@@ -424,6 +451,7 @@ REGISTERED = (
     read_or_empty,
     publish_current_roundtrip,
     publish_history_roundtrip,
+    dashboard_published,
     continuous_refresh,
     batch_chain,
     incremental_chain,

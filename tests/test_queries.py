@@ -40,8 +40,10 @@ def test_query_equals_sql(spark, database, name):
 
 @pytest.mark.parametrize(
     "name",
-    ["panel_range_filter", "publish_history_roundtrip", "landing_partitions", "time_band_profile", "typed_layer_roundtrip",
-     "processed_roundtrip"],
+    [
+        "panel_range_filter", "publish_history_roundtrip", "dashboard_published", "landing_partitions",
+        "time_band_profile", "typed_layer_roundtrip", "processed_roundtrip",
+    ],
 )
 def test_results_do_not_depend_on_the_session_time_zone(spark, database, name):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
