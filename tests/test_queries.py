@@ -68,6 +68,20 @@ def test_the_sweep_scans_once_and_aggregates_before_the_shuffle(spark):
     assert "event_type" not in plan and "props" not in plan
 
 
+@pytest.mark.parametrize(
+    "aggregate",
+    [agg.zone_means, agg.road_means, agg.sweep, agg.daily_sweep, agg.daily_zone_partials, panels.weighted_means,
+     quality.time_band_profile, quality.flow_regime_profile, quality.contract_violations],
+    ids=lambda aggregate: aggregate.__name__,
+)
+def test_hot_groups_are_reduced_before_the_shuffle(spark, aggregate):
+    plan = plan_of(aggregate(raw.dated(sensor_events(spark, SMALL))))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    before_shuffle = plan.split("Exchange")[1].splitlines()[1]
+    assert "HashAggregate" in before_shuffle and "partial_" in before_shuffle
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
 def test_scans_read_the_columns_they_need(spark):
     plan = plan_of(agg.road_means(sensor_events(spark, SMALL)))
     assert "ReadSchema: struct<event_id:bigint>" in plan
