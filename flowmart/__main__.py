@@ -37,8 +37,14 @@ def _target(spark: SparkSession, options: argparse.Namespace):
     return LakeTarget(spark, options.published)
 
 
+def _moment(text: str) -> datetime:
+    moment = datetime.fromisoformat(text)
+    return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="flowmart")
+    parser.add_argument("--run-time", type=_moment, help="ISO time of the run; a retry with the same one adds nothing")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     def job(name: str, *folders: str) -> argparse.ArgumentParser:
@@ -90,7 +96,7 @@ def _parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> None:
     options = _parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"flowmart {options.job}").getOrCreate()
-    run_ts = datetime.now(timezone.utc)
+    run_ts = options.run_time or datetime.now(timezone.utc)
     match options.job:
         case "land":
             # A batch touches few directories: keep them open instead of sorting. Spark sorts if there are more.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 
@@ -25,6 +25,11 @@ def export_rows(name: str, mart: DataFrame, run_ts: datetime) -> DataFrame:
     return mart.select(*kept, run_time(run_ts).alias("timestamp"))
 
 
+def run_name(run_ts: datetime) -> str:
+    """Name of a run: its moment in UTC, however the time was written."""
+    return f"{run_ts.astimezone(timezone.utc):%Y%m%dT%H%M%S%f}"
+
+
 def publish(marts: dict[str, DataFrame], target, run_ts: datetime, run_id: str | None = None) -> list[str]:
     """Write current and history tables of all marts under one run time; returns the tables written.
 
@@ -33,7 +38,7 @@ def publish(marts: dict[str, DataFrame], target, run_ts: datetime, run_id: str |
     """
     if all(mart.isEmpty() for mart in marts.values()):
         return []
-    run_id = run_id or f"{run_ts:%Y%m%dT%H%M%S%f}"
+    run_id = run_id or run_name(run_ts)
     written: list[str] = []
     for name, mart in marts.items():
         rows = export_rows(name, mart, run_ts)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowmart.operators.aggregates import processed_tables, sweep
 from flowmart.operators.marts import analytics_tables
-from flowmart.sinks.publish import publish
+from flowmart.sinks.publish import publish, run_name
 
 EVERY_60_SECONDS = {"processingTime": "60 seconds"}
 
@@ -33,7 +33,7 @@ def refresh(events: DataFrame, target, checkpoint: str, trigger: dict | None = N
         if newest is not None:
             run_ts = newest["run_ts"]
             marts = analytics_tables(processed_tables(swept), run_ts)
-            publish(marts, target, run_ts, f"{run_ts:%Y%m%dT%H%M%S%f}-{batch_id}")
+            publish(marts, target, run_ts, f"{run_name(run_ts)}-{batch_id}")
 
     return (
         sweep(events)

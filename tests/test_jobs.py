@@ -43,6 +43,11 @@ def test_jobs_in_order(own_settings, spark, tmp_path, write_lines, monkeypatch):
     run("process", raw=tmp_path / "compacted", processed=tmp_path / "processed")
     run("analyze", processed=tmp_path / "processed", analytics=tmp_path / "analytics")
     run("publish", analytics=tmp_path / "analytics", published=tmp_path / "p1")
+    for moment in ("2024-05-01T12:00:00", "2024-05-01T14:00+02:00"):
+        places = ["--analytics", f"{tmp_path}/analytics", "--published", f"{tmp_path}/p0"]
+        jobs.main(["--run-time", moment, "publish", *places])
+    repeated = LakeTarget(spark, str(tmp_path / "p0"))
+    assert repeated.history("traffic_by_zone").count() == repeated.current("traffic_by_zone").count() == 2
     run("chain", raw=tmp_path / "typed", events_from="typed", lake=tmp_path / "l2", published=tmp_path / "p2")
     run("chain", raw=lake, events_from="landed", lake=tmp_path / "l3", published=tmp_path / "p3")
     run("refresh", raw=lake, checkpoint=tmp_path / "c2", published=tmp_path / "p4")
