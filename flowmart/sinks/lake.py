@@ -18,7 +18,9 @@ def replace_table(frame: DataFrame, path: str, form: str = "parquet", partition_
     The swap is two renames of a directory: quick on HDFS, a copy on object stores.
     """
     parent, _, name = path.rstrip("/").rpartition("/")
-    following, previous = f"{parent}/_{name}.next", f"{parent}/_{name}.previous"
+    # Scans pass over names with a leading underscore, but not if they hold an equals sign.
+    hidden = f"{parent}/_{name.replace('=', '-')}"
+    following, previous = f"{hidden}.next", f"{hidden}.previous"
     frame.write.mode("overwrite").format(form).partitionBy(*partition_by).save(following)
 
     spark = frame.sparkSession
