@@ -6,7 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowmart.operators.aggregates import merge_partials, processed_tables, refresh_partials, sweep
+from flowmart.operators.aggregates import (
+    daily_sweep,
+    merge_partials,
+    processed_tables,
+    refresh_partials,
+    sweep,
+)
 from flowmart.operators.marts import analytics_tables, stamped
 from flowmart.sinks.lake import replace_table
 from flowmart.sinks.publish import publish
@@ -42,8 +48,9 @@ def run_incremental(events: DataFrame, touched: DataFrame, partials: str, target
     """
     spark = events.sparkSession
     refresh_partials(events, touched, partials)
+    stored = spark.read.schema(daily_sweep(events).schema).parquet(partials)
     swept = f"{partials}_merged"
-    replace_table(merge_partials(spark.read.parquet(partials)), swept)
+    replace_table(merge_partials(stored), swept)
     return publish(analytics_tables(processed_tables(spark.read.parquet(swept)), run_ts), target, run_ts)
 
 

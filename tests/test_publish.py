@@ -65,6 +65,27 @@ def test_nothing_is_published_if_all_marts_are_empty(spark, tmp_path):
     assert list(tmp_path.iterdir()) == []
 
 
+def test_an_incremental_run_without_events_publishes_nothing(spark, tmp_path):
+    from flowmart.sources.raw import dated
+
+    events = dated(sensor_events(spark, SMALL))
+    target = LakeTarget(spark, str(tmp_path / "published"))
+    none = events.where("zone = 'nowhere'")
+    assert batch.run_incremental(none, none, str(tmp_path / "partials"), target, RUN) == []
+    assert len(batch.run_incremental(events, events, str(tmp_path / "partials"), target, RUN)) == 8
+    # Nothing new: the marts stay as they are.
+    assert len(batch.run_incremental(events, none, str(tmp_path / "partials"), target, NEXT)) == 8
+    assert target.current("speed_by_road").count() == 5
+
+
+def test_a_chain_without_events_leaves_the_published_tables(spark, tmp_path):
+    events = sensor_events(spark, SMALL)
+    target = LakeTarget(spark, str(tmp_path / "published"))
+    assert len(batch.run_chain(events, str(tmp_path / "lake"), target, RUN)) == 8
+    assert batch.run_chain(events.where("zone = 'nowhere'"), str(tmp_path / "lake"), target, NEXT) == []
+    assert target.current("mobility_summary").count() == 5
+
+
 def test_one_empty_mart_empties_its_current_table_only(spark, tmp_path, mart_tables):
     target = LakeTarget(spark, str(tmp_path))
     publish(mart_tables, target, RUN)
