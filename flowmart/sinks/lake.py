@@ -21,11 +21,14 @@ def replace_table(frame: DataFrame, path: str, form: str = "parquet", partition_
     # Scans pass over names with a leading underscore, but not if they hold an equals sign.
     hidden = f"{parent}/_{name.replace('=', '-')}"
     following, previous = f"{hidden}.next", f"{hidden}.previous"
-    frame.write.mode("overwrite").format(form).partitionBy(*partition_by).save(following)
-
     spark = frame.sparkSession
     as_path = spark._jvm.org.apache.hadoop.fs.Path
     files = as_path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if files.exists(as_path(previous)) and not files.exists(as_path(path)):
+        # A driver was lost between the two renames: the old table counts until the new one is written.
+        files.rename(as_path(previous), as_path(path))
+
+    frame.write.mode("overwrite").format(form).partitionBy(*partition_by).save(following)
     files.delete(as_path(previous), True)
     replaced = files.exists(as_path(path))
     if replaced and not files.rename(as_path(path), as_path(previous)):

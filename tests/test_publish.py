@@ -120,6 +120,17 @@ def test_a_failed_replacement_leaves_the_old_table(spark, tmp_path):
     assert [entry.name for entry in tmp_path.iterdir()] == ["t"]
 
 
+def test_a_driver_lost_between_the_renames_loses_no_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3), path)
+    (tmp_path / "t").rename(tmp_path / "_t.previous")
+    with pytest.raises(Exception, match="boom"):
+        replace_table(spark.range(5).select(F.raise_error(F.lit("boom")).cast("bigint").alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+    replace_table(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5
+
+
 def test_history_range_reads_the_days_of_the_range(spark, tmp_path, mart_tables):
     target = LakeTarget(spark, str(tmp_path))
     for days in range(6):
