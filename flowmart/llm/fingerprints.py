@@ -10,8 +10,7 @@ lane by lane, modulo powers of two:
 
 Sums do not depend on the order of pieces, so equal multisets have equal fingerprints, and adding or taking away a piece
 is one addition or subtraction (`added`, `removed`). The wide lanes tell different multisets apart (128 bits). The narrow
-lanes also estimate how far two are apart: a random bit lane differs by a sum of signs whose mean square is the number of
-pieces that only one text has.
+lanes also estimate how much two have in common (`likeness`).
 
 NULL texts count as empty, their fingerprint is the zero vector; two empty texts are alike (1.0). Repeated rows get equal
 results. Everything is a built-in expression: no user functions.
@@ -100,16 +99,26 @@ def encoded(vector: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """1 - (estimated number of pieces that only one text has) / (number of pieces of both), within 0 and 1."""
-    half, count = _LANE // 2, (a["n"] + b["n"]).cast("double")
-    # The signed difference of a lane, doubled, less the difference of counts, is a sum of random signs.
-    sign = lambda x, y: (F.pmod(x - y + half, F.lit(_LANE)) - half) * 2 - (a["n"] - b["n"])
-    square = lambda total, d: total + d.cast("double") * d
-    apart = F.aggregate(F.zip_with(a["lanes"], b["lanes"], sign), F.lit(0.0), square) / F.lit(float(LANES))
+    """1 for equal vectors, else the estimated cosine of the two multisets' piece counts, within 0 and 1.
+
+    Twice a narrow lane less the number of pieces is a sum of random signs, one a piece. Products of such sums, averaged
+    over the lanes, estimate inner products of the counts. Sums stay far below half the modulus, so it does no harm.
+    """
+    half = F.lit(_LANE // 2)
+
+    def signs(vector: Column) -> Column:
+        return F.transform(vector["lanes"], lambda c: (F.pmod(c * 2 - vector["n"] + half, F.lit(_LANE)) - half).cast("double"))
+
+    def dot(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda total, product: total + product)
+
+    def cosine(both: Column) -> Column:
+        lengths = F.sqrt(dot(both["x"], both["x"]) * dot(both["y"], both["y"]))
+        return F.when(lengths > 0, dot(both["x"], both["y"]) / lengths).otherwise(F.lit(0.0))
+
     equal = (a["n"] == b["n"]) & (a["sums"] == b["sums"]) & (a["lanes"] == b["lanes"])
-    return F.when(equal, F.lit(1.0)).otherwise(
-        F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(1.0) - apart / F.greatest(count, F.lit(1.0))))
-    )
+    near = let(F.struct(signs(a).alias("x"), signs(b).alias("y")), cosine)
+    return F.when(equal, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), near)))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
