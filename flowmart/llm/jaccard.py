@@ -42,7 +42,8 @@ PERCENT = 80
 RARE = 32
 FLUSH = 1 << 21  # tokens that a task gathers before it sends them
 _PER_BUCKET = 1 << 21  # tokens of a bucket of the first step
-_CENTRES = 8
+_CENTRES = 32
+_BITS = [f"b{k}" for k in range(8)]
 
 
 def required(n: np.ndarray) -> np.ndarray:
@@ -215,60 +216,75 @@ def described(docs: DataFrame) -> DataFrame:
     return done
 
 
+def _parity(tokens: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray:
+    """For each text 64 bits a column: whether an odd number of its tokens fall on the bit. Where two sets differ in a
+    bit they differ in at least one token of their own, so the number of such bits never exceeds that of tokens."""
+    size = 64 * len(_BITS)
+    at = (tokens >> np.uint64(7)) % np.uint64(size)
+    odd = (np.bincount(doc * size + at.astype(np.int64), minlength=texts * size) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(texts, size), axis=1).view("<i8")
+
+
 def token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set_id, n, tokens): the sorted tokens of the wanted (set_id, doc_id, key), read from one row each; written."""
+    """(set_id, n, tokens, b0, b1, ...): the sorted tokens of the wanted (set_id, doc_id, key), read from one row each, and
+    their parity bits; written."""
 
     def build(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
             texts = _texts(batch.column("text"))
             for a, b in batches(texts):
-                tokens, _, counts = _sets(texts[a:b])
+                tokens, doc, counts = _sets(texts[a:b])
                 offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("set_id").slice(a, b - a),
                         pa.array(counts),
                         pa.ListArray.from_arrays(offsets, pa.array(tokens.view(np.int64))),
+                        *[pa.array(bits) for bits in _parity(tokens, doc, b - a).T],
                     ],
-                    names=["set_id", "n", "tokens"],
+                    names=["set_id", "n", "tokens", *_BITS],
                 )
 
     same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["key"] == wanted["key"])
     rows = docs.join(wanted, same).select(wanted["set_id"], docs["text"])
-    built = rows.mapInArrow(build, "set_id bigint, n bigint, tokens array<bigint>")
+    bits = ", ".join(f"{name} bigint" for name in _BITS)
+    built = rows.mapInArrow(build, f"set_id bigint, n bigint, tokens array<bigint>, {bits}")
     sets = written(built, "sets")
     # Copies of a row bring their set again.
     again = sets.groupBy("set_id").count().where("count > 1").limit(1).count()
     return written(sets.dropDuplicates(["set_id"]), "sets") if again else sets
 
 
-def index_lists(sets: DataFrame) -> DataFrame:
-    """(token, second, set_id): the members of every index list with two or more members; written. `second` is NULL for
-    lists of a single rare token, else the other token of a combination."""
-    prefix = _first(sets, "n - required + 1")
-    counts = prefix.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
-    counts = written(counts, "counts")
-    held = written(prefix.join(counts, "token"), "prefix")
-    rare = held.where(F.col("times") <= RARE).select("token", F.lit(None).cast("bigint").alias("second"), "set_id")
-    frequent = held.where(F.col("times") > RARE).select("set_id").distinct()
-    extended = sets.join(frequent, "set_id", "left_semi").withColumn("required", _required())
-    reach = F.ceil(F.col("n") * 0.45 + 2).cast("int")
-    near = extended.select("set_id", F.slice("tokens", F.lit(1), reach).alias("t"))
-    pair = F.transform(F.sequence(F.lit(0), F.size("t") - 2), lambda i: F.struct(F.get("t", i).alias("token"), F.get("t", i + 1).alias("second")))
-    # A set of one token that is frequent: equal sets are one set, so it has no partner by this way.
-    combined = near.where(F.size("t") > 1).select(F.inline(pair), "set_id")
-    combined = written(combined, "combinations")
-    twice = combined.groupBy("token", "second").count().where("count > 1").select("token", "second")
-    return written(rare.unionByName(combined.join(twice, ["token", "second"]).select("token", "second", "set_id")), "lists")
-
-
 def _required():
     return F.ceil(F.col("n") * PERCENT / 100)
 
 
-def _first(sets: DataFrame, count: str) -> DataFrame:
-    ready = sets.withColumn("required", _required())
-    return ready.select("set_id", F.explode(F.slice("tokens", F.lit(1), F.expr(count).cast("int"))).alias("token"))
+def index_lists(sets: DataFrame) -> DataFrame:
+    """(token, second, set_id, n, c): the members of every index list with two or more members; written. `second` is NULL
+    for lists of a single rare token, else the other token of a combination; c is the number of common tokens of the set.
+
+    The order of tokens is now by how many candidates hold them, then by hash. Tokens that one candidate holds come first
+    and are never shared, so a set needs as many common ones as a partner must share at least.
+    """
+    each = sets.select("set_id", F.explode("tokens").alias("token"))
+    counts = each.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
+    common = each.join(counts, "token").groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("times", "token"))).alias("t"))
+    able = common.join(sets.select("set_id", "n"), "set_id").withColumn("required", _required())
+    able = able.where(F.size("t") >= F.col("required")).withColumn("alone", F.col("n") - F.size("t"))
+    head = F.slice("t", F.lit(1), (F.size("t") - F.col("required") + 1).cast("int"))
+    reach = F.greatest(F.lit(2), F.ceil(F.col("n") * 0.45 + 2) - 2 * F.col("alone")).cast("int")
+    pair = lambda i: F.struct(F.get("near", i)["token"].alias("token"), F.get("near", i + 1)["token"].alias("second"))
+    none = F.lit(None).cast("bigint")
+    rare = F.filter("head", lambda x: x["times"] <= RARE)
+    single = F.transform(rare, lambda x: F.struct(x["token"].alias("token"), none.alias("second")))
+    pairs = F.when(
+        (F.size(rare) < F.size("head")) & (F.size("near") > 1), F.transform(F.sequence(F.lit(0), F.size("near") - 2), pair)
+    ).otherwise(F.array().cast("array<struct<token: bigint, second: bigint>>"))
+    ready = able.select("set_id", "n", F.size("t").alias("c"), head.alias("head"), F.slice("t", F.lit(1), reach).alias("near"))
+    keys = written(ready.select(F.inline(F.concat(single, pairs)), "set_id", "n", "c"), "keys")
+    twice = keys.groupBy("token", "second").count().where("count > 1").select("token", "second")
+    same = (F.col("k.token") == F.col("t.token")) & F.col("k.second").eqNullSafe(F.col("t.second"))
+    return written(keys.alias("k").join(twice.alias("t"), same, "left_semi"), "lists")
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -289,17 +305,9 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 good[k] = 100 * both >= PERCENT * (len(x) + len(y) - both)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    left = sets.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    sizes = sets.select("set_id", "n")
-    alike = (F.col("na") * 100 >= F.col("nb") * PERCENT) & (F.col("nb") * 100 >= F.col("na") * PERCENT)
-    near = (
-        pairs.join(sizes.select(F.col("set_id").alias("a"), F.col("n").alias("na")), "a")
-        .join(sizes.select(F.col("set_id").alias("b"), F.col("n").alias("nb")), "b")
-        .where(alike)
-        .select("a", "b")
-    )
-    both = near.join(left.select("a", "ta"), "a").join(right.select("b", "tb"), "b")
+    left = sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("ta"))
+    right = sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("tb"))
+    both = pairs.join(left, "a").join(right, "b")
     return written(both.select("a", "b", "ta", "tb").mapInArrow(verify, "a bigint, b bigint"), "links")
 
 
@@ -331,15 +339,31 @@ def components(links: DataFrame, labels: DataFrame) -> DataFrame:
     return written(renamed.select("set_id", F.coalesce("root", "label").alias("label")), "labels")
 
 
+def _alike(x: str, y: str):
+    """Sizes and numbers of common tokens that leave a link possible: two sets share common tokens at most."""
+    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
+    shared = F.least(F.col(f"{x}.c"), F.col(f"{y}.c"))
+    return shared * (100 + PERCENT) >= (nx + ny) * PERCENT
+
+
+def _near(x: str, y: str):
+    """Linked sets differ in at most a ninth of their tokens, added up; parity bits show a part of the difference."""
+    apart = sum(F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in _BITS)
+    return apart * (100 + PERCENT) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - PERCENT)
+
+
+def _same_list(x: str, y: str):
+    return (F.col(f"{x}.token") == F.col(f"{y}.token")) & F.col(f"{x}.second").eqNullSafe(F.col(f"{y}.second"))
+
+
 def _star_pairs(lists: DataFrame) -> DataFrame:
     """Every member of a list with its least member."""
-    key = [F.col("l.token") == F.col("c.token"), F.col("l.second").eqNullSafe(F.col("c.second"))]
-    centre = lists.groupBy("token", "second").agg(F.min("set_id").alias("a"))
+    centre = lists.groupBy("token", "second").agg(F.min(F.struct("set_id", "n", "c")).alias("first")).select("token", "second", "first.*")
+    apart = F.col("l.set_id") > F.col("c.set_id")
     return (
         lists.alias("l")
-        .join(centre.alias("c"), key[0] & key[1])
-        .where("l.set_id > c.a")
-        .select(F.col("c.a").alias("a"), F.col("l.set_id").alias("b"))
+        .join(centre.alias("c"), _same_list("l", "c") & apart & _alike("l", "c"))
+        .select(F.col("c.set_id").alias("a"), F.col("l.set_id").alias("b"))
         .distinct()
     )
 
@@ -361,20 +385,18 @@ def joined_sets(sets: DataFrame) -> DataFrame:
             F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("members")
         )
         open_lists = mixed_lists.where("least < most AND members > 1")
-        same = (F.col("l.token") == F.col("o.token")) & F.col("l.second").eqNullSafe(F.col("o.second"))
-        kept = current.alias("l").join(open_lists.alias("o"), same, "left_semi").drop("label")
+        kept = current.alias("l").join(open_lists.alias("o"), _same_list("l", "o"), "left_semi").drop("label")
         if placed is None:
             kept = kept.withColumn("place", F.row_number().over(by_key) - 1)
-        placed = written(kept.select("token", "second", "set_id", "place"), "open")
+        placed = written(kept.select("token", "second", "set_id", "n", "c", "place"), "open")
         if placed.isEmpty():
             return labels
-        now = placed.join(labels, "set_id")
+        now = placed.join(labels, "set_id").join(sets.select("set_id", *_BITS), "set_id")
         centre = now.where((F.col("place") >= start) & (F.col("place") < start + centres))
-        same = (F.col("c.token") == F.col("l.token")) & F.col("c.second").eqNullSafe(F.col("l.second"))
         apart = (F.col("c.place") < F.col("l.place")) & (F.col("c.label") != F.col("l.label"))
         pairs = (
             centre.alias("c")
-            .join(now.alias("l"), same & apart)
+            .join(now.alias("l"), _same_list("c", "l") & apart & _alike("c", "l") & _near("c", "l"))
             .select(F.col("c.set_id").alias("a"), F.col("l.set_id").alias("b"))
             .distinct()
             .join(compared, ["a", "b"], "left_anti")
@@ -383,7 +405,7 @@ def joined_sets(sets: DataFrame) -> DataFrame:
         compared = compared.unionByName(pairs)
         labels = components(linked(pairs, sets), labels)
         released(spark)
-        start, centres = start + centres, centres * 2
+        start, centres = start + centres, centres * 4
 
 
 def similarity_classes(docs: DataFrame) -> DataFrame:
