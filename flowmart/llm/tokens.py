@@ -13,12 +13,42 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_REMEMBERED = 300_000
+_REMEMBERED = 400_000
 # The pre-tokenizer's own pattern, for lower-case Latin-1 text (fixed value: its letters and numbers spelled out).
 _LATIN = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+"
 )
-_WORD = re.compile("[^\t-\r ]+")
+_CALL = 200  # pieces that are encoded as one text
+_GROUP = 1 << 20  # bytes of text that are split together
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 stands for itself, the other
+    bytes are numbered from 256."""
+    itself = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in itself]
+    return {b: chr(b) for b in itself} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class _Memory(dict):
+    """A dict of at most _REMEMBERED entries, and as many of the last generation: what is used again stays."""
+
+    def __init__(self):
+        super().__init__()
+        self._before: dict = {}
+
+    def __missing__(self, key):
+        value = self._before[key]
+        self[key] = value
+        return value
+
+    def unknown(self, keys: set) -> set:
+        return {key for key in keys if key not in self and key not in self._before}
+
+    def make_room(self, entries: int) -> None:
+        if len(self) + entries > _REMEMBERED:
+            self._before = dict(self)
+            self.clear()
 
 
 class WordTokenizer:
@@ -33,53 +63,62 @@ class WordTokenizer:
         return cls._by_path[path]
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # The same model behind a plain split at blanks, for pieces that are normalised and cut already.
+        self._model = Tokenizer(self._tokenizer.model)
+        self._model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self._letters = _byte_letters()
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self._words: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._words, self._pieces = _Memory(), _Memory()
 
     def encoded(self, texts: pa.Array) -> Iterator[bytes]:
         group, size = [], 0
-        for text in texts:
-            group.append(_WORD.findall(text.as_py() or ""))
+        for text in texts.cast(pa.binary()):
+            group.append(text.as_py() or b"")
             size += len(group[-1])
-            if size > 1 << 17:
+            if size > _GROUP:
                 yield from self._group(group)
                 group, size = [], 0
         yield from self._group(group)
 
-    def _group(self, texts: list[list[str]]) -> list[bytes]:
-        new = {word for words in texts for word in words if word not in self._words}
-        if len(self._words) + len(new) > _REMEMBERED:
-            self._words.clear()
-            new = {word for words in texts for word in words}
-        self._learn(new)
-        known = self._words
-        return [b"".join([known[word] for word in words]) for words in texts]
-
-    def _learn(self, words: set[str]) -> None:
-        latin = [word for word in words if word.isascii() or max(word) < "Ā"]
-        cut = {word: _LATIN.findall(word.lower()) for word in latin}
-        new = list({piece for pieces in cut.values() for piece in pieces if piece not in self._pieces})
-        if len(self._pieces) + len(new) > _REMEMBERED:
-            self._pieces.clear()
-            new = list({piece for pieces in cut.values() for piece in pieces})
+    def _group(self, texts: list[bytes]) -> list[bytes]:
+        split = [text.split() for text in texts]
+        different = set().union(*split)
+        self._words.make_room(len(different))
+        self._learn(self._words.unknown(different))
+        known = self._words.__getitem__
+        return [b"".join(map(known, words)) for words in split]
+
+    def _learn(self, words: set[bytes]) -> None:
+        texts = {word: word.decode() for word in words}
+        cut = {w: _LATIN.findall(t.lower()) for w, t in texts.items() if t.isascii() or max(t) < "Ā"}
+        different = {piece for pieces in cut.values() for piece in pieces}
+        self._pieces.make_room(len(different))
+        new = list(self._pieces.unknown(different))
         if new:
-            # Each piece ends with a token that ends a word, so the ids of all fall apart again.
-            ids = np.array(self._tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
-            cuts = np.append(0, np.flatnonzero(self._ends[ids]) + 1).tolist()
-            if len(cuts) != len(new) + 1:
-                raise ValueError("the tokenizer cuts words elsewhere than expected")
-            data = ids.tobytes()
-            self._pieces.update({p: data[4 * a : 4 * b] for p, a, b in zip(new, cuts, cuts[1:], strict=False)})
-        known = self._pieces
-        for word, pieces in cut.items():
-            self._words[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
-        other = [word for word in words if word not in cut]
-        for word, code in zip(other, self._tokenizer.encode_batch(other, add_special_tokens=False), strict=True):
-            self._words[word] = np.array(code.ids, "<u4").tobytes()
+            self._pieces.update(zip(new, self._encoded_pieces(new), strict=True))
+        known = self._pieces.__getitem__
+        self._words.update({word: b"".join(map(known, pieces)) for word, pieces in cut.items()})
+        other = [word for word in texts if word not in cut]
+        codes = self._tokenizer.encode_batch([texts[word] for word in other], add_special_tokens=False)
+        self._words.update({word: np.array(c.ids, "<u4").tobytes() for word, c in zip(other, codes, strict=True)})
+
+    def _encoded_pieces(self, pieces: list[str]) -> list[bytes]:
+        plain = [p if p.isascii() and p.isprintable() else self._lettered(p) for p in pieces]
+        calls = [" ".join(plain[k : k + _CALL]) for k in range(0, len(plain), _CALL)]
+        codes = self._model.encode_batch_fast(calls, add_special_tokens=False)
+        ids = np.array([i for code in codes for i in code.ids], "<u4")
+        # Each piece ends with a token that ends a word, so the ids of all fall apart again.
+        cuts = [0, *(np.flatnonzero(self._ends[ids]) + 1).tolist()]
+        if len(cuts) != len(pieces) + 1:
+            raise ValueError("the tokenizer cuts words elsewhere than expected")
+        data = ids.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _lettered(self, piece: str) -> str:
+        return piece.encode().decode("latin-1").translate(self._letters)
