@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flowmart.functions.events import UNDATED
 from flowmart.operators import compaction
 from flowmart.plans import batch
 from flowmart.sinks.jdbc import JdbcTarget
@@ -128,7 +129,8 @@ def main(arguments: list[str] | None = None) -> None:
             batch.run_chain(_events(spark, options), options.lake, _target(spark, options), run_ts)
         case "incremental":
             events = raw.read_typed(spark, options.typed)
-            touched = events.where(events.date.between(options.first, options.last))
+            # Events without a day belong to no range, so their partials are recomputed by every run.
+            touched = events.where(events.date.between(options.first, options.last) | (events.date == UNDATED))
             batch.run_incremental(events, touched, options.partials, _target(spark, options), run_ts)
         case "refresh":
             # One state row per zone and road needs few partitions. The first start fixes their number.

@@ -1,4 +1,4 @@
-"""Rounding, and means that do not depend on the order in which values are added."""
+"""Rounding, and means as aggregates and from partial sums."""
 
 from __future__ import annotations
 
@@ -20,57 +20,28 @@ def numeric2(value: Column) -> Column:
     return F.coalesce(exact, value)
 
 
-# Exact sums. A metric with at most four decimals and a moderate size is added as a whole number of 1/10000 units,
-# which is exact and so the same for every order, partitioning, retry and merge. Any other value (more decimals,
-# huge, NaN, infinite) is added as a double beside it: no value is left out. The size limit keeps a bigint sum safe
-# for 9 * 10^11 rows per group; merges of partial sums use decimal(38,0).
-_UNITS = 10_000
-_EXACT_SIZE = 1_000
-
-
-def _sums(metric: str) -> dict[str, str]:
-    """Aggregates over the values of a metric: exact units, the rest, and their number."""
-    value = f"CAST({metric} AS double)"
-    scaled = f"rint({value} * {_UNITS})"
-    fits = f"abs({value}) <= {_EXACT_SIZE} AND {scaled} / {_UNITS} = {value}"
-    return {
-        "units": f"sum(CASE WHEN {fits} THEN try_cast({scaled} AS bigint) END)",
-        "rest": f"sum(CASE WHEN NOT ({fits}) THEN {value} END)",
-        "n": f"count({value})",
-    }
-
-
-def _quotient(units: str, rest: str, n: str) -> Column:
-    """Without inexact values a mean is one correctly rounded division of whole numbers, so a mean that lies exactly
-    between two roundings is seen as such. NULL when there is no value, as avg gives."""
-    whole = f"CAST({units} AS double)"
-    return F.expr(
-        f"CASE WHEN {n} > 0 AND {rest} IS NULL THEN {whole} / ({n} * {_UNITS}) "
-        f"WHEN {n} > 0 THEN (coalesce({whole}, 0D) / {_UNITS} + {rest}) / {n} END"
-    )
-
-
 def mean(metric: str) -> Column:
-    """Aggregate: the mean of a metric. As avg, but the same for every partitioning of the rows, every retry, and
-    every merge of partial sums; it costs the same."""
-    return _quotient(**_sums(metric))
+    """Aggregate: the mean of a metric, NULL without values. Every value takes the same way, a sum of doubles. Such a sum
+    may differ in its last bits with the order of the rows; numeric2, which looks at ten decimals, rounds it alike as
+    long as the mean has not been moved across the edge of the tenth decimal."""
+    return F.avg(F.col(metric).cast("double"))
 
 
 def partial_sum(metric: str) -> list[Column]:
-    """Aggregates <metric>_units, <metric>_rest and <metric>_n of one double or bigint metric."""
-    return [F.expr(total).alias(f"{metric}_{part}") for part, total in _sums(metric).items()]
+    """Aggregates <metric>_sum and <metric>_n of one double or bigint metric."""
+    value = F.col(metric).cast("double")
+    return [F.sum(value).alias(f"{metric}_sum"), F.count(value).alias(f"{metric}_n")]
 
 
 def merged_sum(metric: str, over: WindowSpec | None = None) -> list[Column]:
-    """The same three columns added up over partial rows, as aggregates or over a window."""
-    totals = {
-        "units": F.expr(f"sum(CAST({metric}_units AS decimal(38,0)))"),
-        "rest": F.sum(f"{metric}_rest"),
-        "n": F.sum(f"{metric}_n"),
-    }
-    return [(total.over(over) if over else total).alias(f"{metric}_{part}") for part, total in totals.items()]
+    """The same two columns added up over partial rows, as aggregates or over a window."""
+    totals = [F.sum(f"{metric}_{part}") for part in ("sum", "n")]
+    return [
+        (total.over(over) if over else total).alias(f"{metric}_{part}")
+        for total, part in zip(totals, ("sum", "n"), strict=True)
+    ]
 
 
 def partial_mean(metric: str) -> Column:
-    """Mean from the three columns."""
-    return _quotient(**{part: f"{metric}_{part}" for part in ("units", "rest", "n")})
+    """Mean from the two columns."""
+    return F.when(F.col(f"{metric}_n") > 0, F.col(f"{metric}_sum") / F.col(f"{metric}_n"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowmart.functions import bands
-from flowmart.functions.numbers import mean, merged_sum, partial_mean, partial_sum, round2
+from flowmart.functions.numbers import mean, merged_sum, numeric2, partial_mean, partial_sum
 
 # grouping_id of (zone, road_id, road_type): a set bit marks a column that is not part of the group.
 _BY_ZONE, _BY_ROAD = 0b011, 0b100
@@ -23,14 +23,14 @@ ROAD_KEYS = ("road_id", "road_type")
 def zone_means(events: DataFrame) -> DataFrame:
     """Everything the zone tables need from one aggregate."""
     return events.groupBy("zone").agg(
-        round2(mean("vehicle_count")).alias("avg_vehicle_count"),
-        round2(mean("occupancy_rate")).alias("avg_occupancy_rate"),
+        numeric2(mean("vehicle_count")).alias("avg_vehicle_count"),
+        numeric2(mean("occupancy_rate")).alias("avg_occupancy_rate"),
         F.count("*").alias("measurements_count"),
     )
 
 
 def road_means(events: DataFrame) -> DataFrame:
-    return events.groupBy(*ROAD_KEYS).agg(round2(mean("average_speed")).alias("avg_speed"))
+    return events.groupBy(*ROAD_KEYS).agg(numeric2(mean("average_speed")).alias("avg_speed"))
 
 
 def _grain():
@@ -45,9 +45,9 @@ def sweep(events: DataFrame) -> DataFrame:
     """
     return events.groupingSets([["zone"], list(ROAD_KEYS)], "zone", *ROAD_KEYS).agg(
         _grain(),
-        round2(mean("vehicle_count")).alias("avg_vehicle_count"),
-        round2(mean("occupancy_rate")).alias("avg_occupancy_rate"),
-        round2(mean("average_speed")).alias("avg_speed"),
+        numeric2(mean("vehicle_count")).alias("avg_vehicle_count"),
+        numeric2(mean("occupancy_rate")).alias("avg_occupancy_rate"),
+        numeric2(mean("average_speed")).alias("avg_speed"),
         F.count("*").alias("measurements_count"),
     )
 
@@ -80,7 +80,7 @@ def processed_tables(swept: DataFrame) -> dict[str, DataFrame]:
 
 
 def daily_partials(events: DataFrame, keys: tuple, metrics: tuple) -> DataFrame:
-    """Sums and counts per day and key, from which means over any set of days follow exactly."""
+    """Sums and counts per day and key, from which means over any set of days follow."""
     sums = [column for metric in metrics for column in partial_sum(metric)]
     return events.groupBy("date", *keys).agg(*sums, F.count("*").alias("measurements_count"))
 
@@ -136,9 +136,9 @@ def merge_partials(stored: DataFrame) -> DataFrame:
         .agg(*sums, F.sum("measurements_count").alias("measurements_count"))
         .select(
             *keys,
-            round2(partial_mean("vehicle_count")).alias("avg_vehicle_count"),
-            round2(partial_mean("occupancy_rate")).alias("avg_occupancy_rate"),
-            round2(partial_mean("average_speed")).alias("avg_speed"),
+            numeric2(partial_mean("vehicle_count")).alias("avg_vehicle_count"),
+            numeric2(partial_mean("occupancy_rate")).alias("avg_occupancy_rate"),
+            numeric2(partial_mean("average_speed")).alias("avg_speed"),
             "measurements_count",
         )
     )

@@ -13,15 +13,20 @@ from pyspark.sql import functions as F
 from flowmart.sources.raw import LANDED, dated, landed_lines, read_landed, typed
 
 
-def closed_lines(spark: SparkSession, landed_root: str, first: str | None, before: str) -> DataFrame:
-    """Landed lines of the days from `first` up to, without, `before`; other directories are not read."""
-    lines = landed_lines(spark, landed_root).where((F.col("outcome") == LANDED) & (F.col("date") < before))
+def closed_lines(spark: SparkSession, landed_root: str, first: str | None, before: str | None) -> DataFrame:
+    """Landed lines of the days from `first` up to, without, `before` (all without a limit); other directories are not
+    read."""
+    lines = landed_lines(spark, landed_root).where(F.col("outcome") == LANDED)
+    if before is not None:
+        lines = lines.where(F.col("date") < before)
     if first is not None:
         lines = lines.where(F.col("date") >= first)
     return lines.drop("outcome")
 
 
-def compact(spark: SparkSession, landed_root: str, target: str, before: str, first: str | None = None) -> None:
+def compact(
+    spark: SparkSession, landed_root: str, target: str, before: str | None = None, first: str | None = None
+) -> None:
     """Write closed days to a second tree of JSON lines in the plain date/zone layout.
 
     The landed lake is not touched. New directories appear when the whole job has succeeded; those of the same days
@@ -38,7 +43,9 @@ def compact(spark: SparkSession, landed_root: str, target: str, before: str, fir
     )
 
 
-def build_typed_layer(spark: SparkSession, landed_root: str, target: str, first: str, last: str) -> None:
+def build_typed_layer(
+    spark: SparkSession, landed_root: str, target: str, first: str | None = None, last: str | None = None
+) -> None:
     """Typed Parquet events of a range of days, one directory per day, zone as data.
 
     JSON is parsed once here instead of in every query; days written before are replaced, others stay.

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmart.functions import bands
-from flowmart.functions.numbers import merged_sum, partial_mean, round2
+from flowmart.functions.numbers import merged_sum, numeric2, partial_mean
 from flowmart.operators.aggregates import ROAD_KEYS, ROAD_METRICS, ZONE_METRICS
 
 
@@ -26,11 +26,15 @@ def _cumulative(
 
     Running sums exist for days with events; each is then repeated up to the day before the next one. So days
     without events get their row without joining days with keys. The window sorts one row per day and key, a
-    number bounded by the calendar. Events without a day sort first and count in every cut-off.
+    number bounded by the calendar. Events without a day count in every cut-off, as if they were of the first day
+    of all: a key that has no others is seen from then on.
     """
-    daily = partials.withColumn("day", F.col("date").try_cast("date"))
-    last_day = daily.agg(F.max("day")).scalar() if through is None else F.lit(through)
-    in_order = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("day"))
+    dated = partials.withColumn("day", F.col("date").try_cast("date"))
+    last_day = dated.agg(F.max("day")).scalar() if through is None else F.lit(through)
+    first_day = dated.agg(F.min("day")).scalar()
+    added = [column for metric in metrics for column in merged_sum(metric)]
+    daily = dated.groupBy(*keys, F.coalesce("day", first_day).alias("day")).agg(*added)
+    in_order = Window.partitionBy(*keys).orderBy("day")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = [column for metric in metrics for column in merged_sum(metric, so_far)]
     running = daily.select(*keys, "day", *sums, F.lead("day").over(in_order).alias("next_day"))
@@ -53,8 +57,8 @@ def replay_zones(partials: DataFrame, first: date | None = None, through: date |
         _cumulative(partials, ("zone",), ZONE_METRICS, first, through)
         .select(
             "zone",
-            round2(partial_mean("vehicle_count")).alias("vehicle_count_avg"),
-            round2(partial_mean("occupancy_rate")).alias("occupancy_rate_avg"),
+            numeric2(partial_mean("vehicle_count")).alias("vehicle_count_avg"),
+            numeric2(partial_mean("occupancy_rate")).alias("occupancy_rate_avg"),
             "timestamp",
         )
         .select(
@@ -72,6 +76,6 @@ def replay_roads(partials: DataFrame, first: date | None = None, through: date |
     speed = F.col("speed_avg_kmh")
     return (
         _cumulative(partials, ROAD_KEYS, ROAD_METRICS, first, through)
-        .select(*ROAD_KEYS, round2(partial_mean("average_speed")).alias("speed_avg_kmh"), "timestamp")
+        .select(*ROAD_KEYS, numeric2(partial_mean("average_speed")).alias("speed_avg_kmh"), "timestamp")
         .select(*ROAD_KEYS, speed, bands.speed_category(speed).alias("speed_category"), "timestamp")
     )

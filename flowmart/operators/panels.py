@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from flowmart.functions import bands
 from flowmart.functions.numbers import mean, numeric2
 
+# Fixed values of the dashboard.
 ALERT_RATE = 50
 DASHBOARD_RANGE = timedelta(hours=6)
 
@@ -98,9 +99,10 @@ def weighted_means(events: DataFrame) -> DataFrame:
 def last_not_null(history: DataFrame, metric: str, *labels: str) -> DataFrame:
     """Latest value of a metric that is not NULL, per series. Of several values at one time the greatest counts,
     so the result does not depend on row order."""
-    value, moment = F.col(metric), F.col("timestamp")
-    newest = F.max(F.when(value.isNotNull(), F.struct(moment.alias("time"), value.alias("value"))))
-    return history.groupBy(*labels).agg(newest.alias("newest")).select(*labels, "newest.time", "newest.value")
+    # First one value per time, then the last time: both steps aggregate by hash, before and after their shuffle.
+    moments = history.groupBy(*labels, F.col("timestamp").alias("_time")).agg(F.max(metric).alias("_value"))
+    filled = F.when(F.col("_value").isNotNull(), F.col("_time"))
+    return moments.groupBy(*labels).agg(F.max(filled).alias("time"), F.max_by("_value", filled).alias("value"))
 
 
 def _figure(frame: DataFrame, kpi: str, label, value, band) -> DataFrame:

@@ -6,15 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowmart.functions import bands
+from flowmart.functions.numbers import mean
 from flowmart.schema import ROAD_TYPES, ROADS, ZONES
 
 
 def time_band_profile(events: DataFrame) -> DataFrame:
     """Means and counts per zone in peak, medium and calm hours."""
     return events.groupBy("zone", bands.time_band(F.col("event_time")).alias("time_band")).agg(
-        F.avg("vehicle_count").alias("avg_vehicle_count"),
-        F.avg("occupancy_rate").alias("avg_occupancy_rate"),
-        F.avg("average_speed").alias("avg_speed"),
+        mean("vehicle_count").alias("avg_vehicle_count"),
+        mean("occupancy_rate").alias("avg_occupancy_rate"),
+        mean("average_speed").alias("avg_speed"),
         F.count("*").alias("measurements_count"),
     )
 
@@ -22,7 +23,7 @@ def time_band_profile(events: DataFrame) -> DataFrame:
 def flow_regime_profile(events: DataFrame) -> DataFrame:
     """Counts and mean speed per road type in critical, dense and free flow."""
     return events.groupBy("road_type", bands.flow_regime(F.col("occupancy_rate")).alias("regime")).agg(
-        F.avg("average_speed").alias("avg_speed"),
+        mean("average_speed").alias("avg_speed"),
         F.count("*").alias("measurements_count"),
     )
 

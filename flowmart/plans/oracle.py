@@ -14,7 +14,7 @@ traffic_events AS (
     (event_id * 37 + user_id * 11) % 101 AS vehicle_count,
     CAST(CASE event_id % 5 WHEN 0 THEN 900 WHEN 1 THEN 700 WHEN 2 THEN 400 WHEN 3 THEN 150 ELSE 450 END
       + (event_id * 53) % 101 AS double) / 10 AS average_speed,
-    CAST(CASE user_id % 5 WHEN 0 THEN 8400 WHEN 1 THEN 6200 WHEN 2 THEN 3900 WHEN 3 THEN 1000 ELSE 2500 END
+    CAST(CASE user_id % 5 WHEN 0 THEN 8400 WHEN 1 THEN 6200 WHEN 2 THEN 3900 WHEN 3 THEN 1000 WHEN 4 THEN 2500 END
       + (event_id * 7919) % 1601 AS double) / 100 AS occupancy_rate,
     ts AS event_time, event_type
   FROM events)"""
@@ -66,7 +66,7 @@ days AS (
   FROM traffic_events),
 replayed AS (
   SELECT {listed}, {means}, CAST(day + INTERVAL 1 DAY AS timestamp) AS "timestamp"
-  FROM days JOIN traffic_events e ON e.event_time::date <= day GROUP BY {listed}, day)"""
+  FROM days JOIN traffic_events e ON e.event_time::date <= day OR e.event_time IS NULL GROUP BY {listed}, day)"""
 
 
 _ZONE_HISTORY = _replay("zone", {"vehicle_count": "vehicle_count_avg", "occupancy_rate": "occupancy_rate_avg"})
@@ -79,8 +79,9 @@ def _sql(select: str, *parts: str) -> str:
 
 _CENSUS = f"""SELECT zone, count(*) AS events, {_round2('avg(occupancy_rate)')} AS avg_occupancy_rate
 FROM traffic_events GROUP BY zone"""
-_PARTITIONS = """SELECT strftime(event_time, '%Y-%m-%d') AS date, replace(zone, ' ', '_') AS zone, count(*) AS events
-FROM traffic_events GROUP BY 1, 2"""
+# Events without a zone or a time are kept under another outcome and are not among the landed ones.
+_LANDED = "FROM traffic_events WHERE zone IS NOT NULL AND event_time IS NOT NULL"
+_PARTITIONS = """SELECT strftime(event_time, '%Y-%m-%d') AS date, replace(zone, ' ', '_') AS zone, count(*) AS events"""
 _BAND = "CASE WHEN {0} >= 80 THEN 'red' WHEN {0} >= 60 THEN 'orange' WHEN {0} >= 30 THEN 'yellow' ELSE 'green' END"
 _TIME_BAND = """CASE WHEN hour(event_time) BETWEEN 7 AND 9 OR hour(event_time) BETWEEN 17 AND 19 THEN 'peak'
   WHEN hour(event_time) BETWEEN 10 AND 16 THEN 'medium' ELSE 'calm' END"""
@@ -89,11 +90,11 @@ _CAPACITY = "CASE road_type WHEN 'Autoroute' THEN 100 WHEN 'Avenue' THEN 50 WHEN
 _MAX_SPEED = "CASE road_type WHEN 'Autoroute' THEN 130 WHEN 'Avenue' THEN 60 WHEN 'Rue' THEN 30 END"
 _TOP_SPEED = "CASE road_type WHEN 'Autoroute' THEN 140 WHEN 'Avenue' THEN 60 WHEN 'Rue' THEN 30 END"
 _BREACHES = {
-    "occupancy_range": "occupancy_rate < 0 OR occupancy_rate > 100",
-    "vehicle_capacity": f"vehicle_count < 0 OR vehicle_count > {_CAPACITY}",
+    "occupancy_range": "occupancy_rate IS NULL OR occupancy_rate < 0 OR occupancy_rate > 100",
+    "vehicle_capacity": f"vehicle_count IS NULL OR vehicle_count < 0 OR vehicle_count > {_CAPACITY}",
     "speed_limit": f"average_speed < 0 OR average_speed > {_TOP_SPEED}",
     "known_zone": (
-        "zone NOT IN ('Centre Ville', 'Zone Industrielle', 'Quartier Residentiel', 'Aeroport', 'Quartier Commercial')"
+        "zone IS NULL OR zone NOT IN ('Centre Ville', 'Zone Industrielle', 'Quartier Residentiel', 'Aeroport', 'Quartier Commercial')"
     ),
     "known_road": (
         "road_id NOT IN ('A1', 'A86', 'Av. des Champs', 'Rue de la Republique', 'Bd de la Resistance')"
@@ -204,8 +205,9 @@ WHERE "timestamp" >= TIMESTAMP '2024-01-20 03:00:00' - INTERVAL 6 HOUR
         _ZONE_HISTORY,
     ),
     "kpi_last_not_null": _sql(
-        """SELECT zone, max("timestamp") AS "time", arg_max(occupancy_rate_avg, "timestamp") AS "value"
-FROM replayed WHERE occupancy_rate_avg IS NOT NULL GROUP BY zone""",
+        """SELECT zone, max("timestamp") FILTER (WHERE occupancy_rate_avg IS NOT NULL) AS "time",
+  arg_max(occupancy_rate_avg, "timestamp") FILTER (WHERE occupancy_rate_avg IS NOT NULL) AS "value"
+FROM replayed GROUP BY zone""",
         _ZONE_HISTORY,
     ),
     "incremental_zone_means": _sql(
@@ -236,18 +238,18 @@ FROM traffic_events GROUP BY road_type"""
             for rule, breach in _BREACHES.items()
         )
     ),
-    "landing_partitions": _sql(_PARTITIONS),
+    "landing_partitions": _sql(f"{_PARTITIONS} FROM traffic_events GROUP BY 1, 2"),
     "landing_stream_roundtrip": _sql(_CENSUS),
-    "late_event_roundtrip": _sql(_CENSUS),
+    "late_event_roundtrip": _sql(_CENSUS.replace("FROM traffic_events", _LANDED)),
     "quarantine_split": _sql(
-        """SELECT CASE event_type WHEN 'error' THEN 'no_zone' WHEN 'signup' THEN 'no_time' WHEN 'view' THEN 'malformed'
-  ELSE 'landed' END AS outcome, count(*) AS events
+        """SELECT CASE WHEN event_type = 'view' THEN 'malformed' WHEN event_type = 'error' OR zone IS NULL THEN 'no_zone'
+  WHEN event_type = 'signup' OR event_time IS NULL THEN 'no_time' ELSE 'landed' END AS outcome, count(*) AS events
 FROM traffic_events GROUP BY 1"""
     ),
-    "compacted_counts": _sql(_PARTITIONS),
+    "compacted_counts": _sql(f"{_PARTITIONS} {_LANDED} GROUP BY 1, 2"),
     "typed_layer_roundtrip": _sql(
-        """SELECT strftime(event_time, '%Y-%m-%d') AS date, count(*) AS events, max(event_time) AS last_event
-FROM traffic_events GROUP BY 1"""
+        f"""SELECT strftime(event_time, '%Y-%m-%d') AS date, count(*) AS events, max(event_time) AS last_event
+{_LANDED} GROUP BY 1"""
     ),
     "processed_roundtrip": _sql(
         """SELECT zone, congestion_rate_pct AS global_congestion_rate, measurements_count, status,

@@ -14,11 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart.functions import events as ev
+from flowmart.functions.numbers import numeric2
 from flowmart.operators import aggregates as agg
 from flowmart.operators import compaction, history, marts, panels, quality
 from flowmart.plans import batch
 from flowmart.plans.dashboard import dashboard
-from flowmart.schema import ANALYTICS, PROCESSED, RAW_EVENT, ZONES, columns_of
+from flowmart.schema import ANALYTICS, PROCESSED, RAW_EVENT, columns_of
 from flowmart.sinks.lake import LakeTarget
 from flowmart.sinks.publish import publish
 from flowmart.sources import raw, tables
@@ -30,7 +31,6 @@ from flowmart.workspace import new_folder, written
 FIRST_RUN = datetime(2024, 2, 1, 0, 0, tzinfo=timezone.utc)
 SECOND_RUN = datetime(2024, 2, 1, 0, 1, tzinfo=timezone.utc)
 RANGE_END = datetime(2024, 1, 20, 3, 0)
-AFTER_ALL_DAYS = "9999-12-31"
 ONCE = {"availableNow": True}
 
 
@@ -147,7 +147,9 @@ def panel_occupancy_ts(spark, folder):
 
 
 def panel_occupancy_wide(spark, folder):
-    return panels.occupancy_wide(history_replay_zone(spark, folder), ZONES)
+    """The labels come from the data, events without a zone under their own."""
+    replayed = written(history_replay_zone(spark, folder), "replayed")
+    return panels.occupancy_wide(replayed.fillna("no zone", ["zone"]))
 
 
 def panel_speed_by_type(spark, folder):
@@ -168,7 +170,7 @@ def kpi_last_not_null(spark, folder):
 def incremental_zone_means(spark, folder):
     """Partials of the events without errors first; then the error events arrive and their days are recomputed."""
     events = raw.dated(sensor_events(spark, folder))
-    late = F.col("event_type") == "error"
+    late = F.col("event_type").eqNullSafe("error")
     stored = new_folder(spark, "partials")
     agg.store_partials(agg.daily_sweep(events.where(~late)), stored)
     agg.refresh_partials(events, events.where(late).select("date"), stored)
@@ -189,7 +191,7 @@ def flow_regime_profile(spark, folder):
 
 def _rounded(profile: DataFrame) -> DataFrame:
     means = [name for name in profile.columns if name.startswith("avg_")]
-    return profile.withColumns({name: F.round(name, 2) for name in means})
+    return profile.withColumns({name: numeric2(F.col(name)) for name in means})
 
 
 def road_load_ratio(spark, folder):
@@ -242,7 +244,7 @@ def landing_stream_roundtrip(spark, folder):
 def late_event_roundtrip(spark, folder):
     """The second half of the month lands first, the older days come in a second run."""
     events = sensor_events(spark, folder)
-    older = F.col("event_time") < F.lit("2024-01-16").cast("timestamp_ntz")
+    older = F.coalesce(F.col("event_time") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit(False))
     root = _landed(spark, _as_message(events.where(~older)), _as_message(events.where(older)))
     return _zone_census(raw.read_landed(spark, root))
 
@@ -264,7 +266,7 @@ def quarantine_split(spark, folder):
 def compacted_counts(spark, folder):
     root = _landed(spark, _as_message(sensor_events(spark, folder)))
     target = new_folder(spark, "compacted")
-    compaction.compact(spark, root, target, AFTER_ALL_DAYS)
+    compaction.compact(spark, root, target)
     lines = spark.read.schema("value string, date string, zone string").text(target)
     return lines.groupBy("date", "zone").agg(F.count("*").alias("events"))
 
@@ -272,7 +274,7 @@ def compacted_counts(spark, folder):
 def typed_layer_roundtrip(spark, folder):
     root = _landed(spark, _as_message(sensor_events(spark, folder)))
     target = new_folder(spark, "typed")
-    compaction.build_typed_layer(spark, root, target, "0000-01-01", AFTER_ALL_DAYS)
+    compaction.build_typed_layer(spark, root, target)
     days = raw.read_typed(spark, target).groupBy("date")
     return days.agg(F.count("*").alias("events"), F.max("event_time").alias("last_event"))
 
@@ -332,32 +334,31 @@ def read_or_empty(spark, folder):
 # --- publishing
 
 
-def _all_marts(spark, folder, run_ts) -> dict[str, DataFrame]:
-    swept = written(agg.sweep(sensor_events(spark, folder)), "sweep")
-    return marts.analytics_tables(agg.processed_tables(swept), run_ts)
+def _publish_runs(spark, folder, target, runs) -> None:
+    """The events are swept once; every run publishes marts of its own time from that."""
+    processed = agg.processed_tables(written(agg.sweep(sensor_events(spark, folder)), "sweep"))
+    for run in runs:
+        publish(marts.analytics_tables(processed, run), target, run)
 
 
 def publish_current_roundtrip(spark, folder):
     """Published twice: the current table holds the mart once."""
     target = LakeTarget(spark, new_folder(spark, "published"))
-    for run in (FIRST_RUN, SECOND_RUN):
-        publish(_all_marts(spark, folder, run), target, run)
+    _publish_runs(spark, folder, target, (FIRST_RUN, SECOND_RUN))
     return target.current("congestion_alerts").withColumn("timestamp", _utc_text("timestamp"))
 
 
 def publish_history_roundtrip(spark, folder):
     """Two runs, the second published twice: the history holds each run once."""
     target = LakeTarget(spark, new_folder(spark, "published"))
-    for run in (FIRST_RUN, SECOND_RUN, SECOND_RUN):
-        publish(_all_marts(spark, folder, run), target, run)
+    _publish_runs(spark, folder, target, (FIRST_RUN, SECOND_RUN, SECOND_RUN))
     return target.history("congestion_alerts").withColumn("timestamp", _utc_text("timestamp"))
 
 
 def dashboard_published(spark, folder):
     """The eight panels over published tables, as one list of points."""
     target = LakeTarget(spark, new_folder(spark, "published"))
-    for run in (FIRST_RUN - 2 * panels.DASHBOARD_RANGE, FIRST_RUN, SECOND_RUN):
-        publish(_all_marts(spark, folder, run), target, run)
+    _publish_runs(spark, folder, target, (FIRST_RUN - 2 * panels.DASHBOARD_RANGE, FIRST_RUN, SECOND_RUN))
     shown = dashboard(target, SECOND_RUN)
     labels = {"zone_table": "zone", "speed_series": "road_type", "vehicle_series": "zone", "occupancy_series": "zone"}
     values = {
@@ -404,7 +405,7 @@ def incremental_chain(spark, folder):
     target = LakeTarget(spark, new_folder(spark, "published"))
     older = F.col("date") < "2024-01-16"
     for arrived, run in ((events.where(~older), FIRST_RUN), (events.where(older), SECOND_RUN)):
-        arrived.write.mode("append").partitionBy("date").parquet(typed)
+        arrived.hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(typed)
         batch.run_incremental(raw.read_typed(spark, typed), arrived, partials, target, run)
     return target.current("speed_by_road").withColumn("timestamp", _utc_text("timestamp"))
 

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from flowmart.operators.panels import DASHBOARD_RANGE, in_range
 
@@ -52,10 +53,15 @@ class LakeTarget:
         replace_table(rows, f"{self.root}/{table}")
 
     def append(self, table: str, rows: DataFrame, run_ts: datetime, run_id: str) -> None:
-        """Add the rows of a run to the history. A run that is published again replaces its own rows only."""
+        """Add the rows of a run to the history. A run that is published again replaces its own rows only, also from
+        a session in another time zone: the day is that of the moment in UTC."""
+        moment = F.col("timestamp")
+        if isinstance(rows.schema["timestamp"].dataType, TimestampType):
+            moment = F.to_utc_timestamp(moment, F.current_timezone())
         (
-            rows.withColumn("run_date", F.col("timestamp").cast("date").cast("string"))
+            rows.withColumn("run_date", moment.cast("date").cast("string"))
             .withColumn("run_id", F.lit(run_id))
+            .hint("rebalance", "run_date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("run_date", "run_id")
@@ -83,7 +89,7 @@ class LakeTarget:
         """History rows, optionally of the dashboard range that ends at `to`: other days are not listed or read."""
         if to is None:
             return self._stored_history(table).drop("run_date", "run_id")
-        # A session in another time zone may name the day of a moment differently: one more day on either side.
+        # `to` may be a wall-clock time of the session, directories are named by UTC: one more day on either side.
         first, last = (to - span).date() - timedelta(days=1), to.date() + timedelta(days=1)
         days = [str(first + timedelta(days=shift)) for shift in range((last - first).days + 1)]
         try:
