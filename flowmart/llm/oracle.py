@@ -1,3 +1,60 @@
 """The same results as DuckDB SQL, for the queries that SQL can state."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from flowmart.llm.licences import KNOWN, SPELLINGS
+from flowmart.llm.quality import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS
+
+_WORDS = r"list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _quality() -> str:
+    stops = ", ".join(f"'{w}'" for w in STOP_WORDS)
+    rules = []
+    for rule in RULES:
+        if rule.low is not None:
+            rules.append(f"CAST({rule.numerator} AS double) >= CAST({rule.denominator} AS double) * {rule.low}::double")
+        if rule.high is not None:
+            rules.append(f"CAST({rule.numerator} AS double) <= CAST({rule.denominator} AS double) * {rule.high}::double")
+    return f"""WITH texts AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
+split AS (SELECT *, {_WORDS} AS ws,
+    list_filter(string_split(t, chr(10)), lambda l: translate(l, {_WHITE}, '') <> '') AS ls FROM texts),
+grams AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+    FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM split)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams) WHERE n > 1),
+repeated AS (SELECT r, count(DISTINCT i + k) AS n FROM again, range(3) x(k) GROUP BY r),
+counted AS (SELECT doc_id, len(ws) AS n_words, CAST(length(translate(t, {_WHITE}, '')) AS bigint) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS bigint) AS n_symbols,
+    CAST(len(ls) AS bigint) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS bigint) AS n_dup_lines,
+    CAST(len(list_filter(ls, lambda l: l LIKE '%...' OR l LIKE '%…')) AS bigint) AS n_ellipsis_lines,
+    coalesce(n, 0) AS n_repeat_words,
+    CAST(len(list_filter(ws, lambda w: lower(trim(w, '.,;:!?"''()')) IN ({stops}))) AS bigint) AS n_stop_words,
+    CAST(len(list_filter(ws, lambda w: regexp_matches(w, '\\p{{L}}'))) AS bigint) AS n_letter_words
+  FROM split LEFT JOIN repeated USING (r)),
+base AS (SELECT *, n_words < {MIN_WORDS} OR n_repeat_words * 100 > n_words * {MAX_REPEAT_PERCENT} AS base_failed FROM counted)
+SELECT *, NOT base_failed AND {' AND '.join(rules)} AS kept FROM base"""
+
+
+def _licences() -> str:
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+
+    def canonical(text: str) -> str:
+        kept = f"list_filter(string_split(lower({text}), chr(10)), lambda l: NOT regexp_matches(l, '^[^\\p{{L}}\\p{{N}}©]*(copyright|©|\\(c\\) |all rights reserved)'))"
+        level = f"' ' || regexp_replace(array_to_string({kept}, ' '), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' '"
+        for variant, usual in SPELLINGS:
+            level = f"replace({level}, ' {variant} ', ' {usual} ')"
+        return f"trim(regexp_replace({level}, ' +', ' ', 'g'))"
+
+    known = " UNION ALL ".join(f"SELECT {quoted(name)} AS licence, {quoted(text)} AS t" for name, text in KNOWN)
+    return f"""WITH known AS (SELECT c, min(licence) AS licence FROM (SELECT licence, {canonical('t')} AS c FROM ({known}))
+  WHERE c <> '' GROUP BY c),
+texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+whole AS (SELECT r, doc_id, {canonical('t')} AS c FROM texts),
+lines AS (SELECT r, {canonical('l')} AS c FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM texts)),
+found AS (SELECT r, list_sort(list_distinct(list(licence))) AS notices FROM lines JOIN known USING (c) GROUP BY r)
+SELECT doc_id, CASE WHEN w.c <> '' THEN sha256(w.c) END AS digest, licence, coalesce(notices, []) AS notices
+FROM whole w LEFT JOIN known USING (c) LEFT JOIN found USING (r)"""
+
+
+ORACLE: dict[str, str] = {"op2_quality_rules": _quality(), "op9_license_scans": _licences()}
