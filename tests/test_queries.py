@@ -128,7 +128,7 @@ def test_filters_reach_the_scan(spark, tmp_path):
 def test_only_the_fixed_dimension_is_broadcast_and_nothing_runs_in_python(spark):
     assert "BroadcastHashJoin" in plan_of(quality.road_load(sensor_events(spark, SMALL)))
     for name in ("mobility_summary", "history_replay_zone", "contract_violations", "single_sweep", "kpi_bands"):
-        plan = plan_of(queries()[name](spark, SMALL))
+        plan = plan_of(QUERIES[name](spark, SMALL))
         assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
