@@ -41,7 +41,8 @@ SHINGLE = 5
 PERCENT = 80
 RARE = 32
 FLUSH = 1 << 20  # tokens that a task gathers before it sends them
-_PER_BUCKET = 1 << 22  # tokens of a bucket of the first step
+_PER_BUCKET = 1 << 21  # tokens of a bucket of the first step
+_LEAST_BITS = 6
 _CENTRES = 32
 _BITS = [f"b{k}" for k in range(8)]
 
@@ -173,36 +174,57 @@ def _rows(**columns) -> pa.RecordBatch:
 
 
 def _credits(rows: DataFrame) -> DataFrame:
-    """(ref, credit): for documents, tokens that other documents of other tasks hold. A bucket gets each token at most
-    once from a task, so its size follows the number of tasks, not that of a token's documents."""
+    """(ref, more): for documents, tokens that other documents of other tasks hold. A bucket gets each token at most
+    once from a task, so its size follows the number of tasks, not that of a token's documents. What buckets find goes
+    back packed, one row for the documents that were sent together, and is added up there."""
 
     def count(group: pa.Table) -> pa.Table:
-        tokens = np.frombuffer(b"".join(group.column("tokens").to_pylist()), np.uint8).reshape(-1, 5)
+        packs = group.column("tokens").to_pylist()
+        tokens = np.frombuffer(b"".join(packs), np.uint8).reshape(-1, 5)
         wide = np.zeros((len(tokens), 8), np.uint8)
         wide[:, :5] = tokens
         value = wide.view("<u8").ravel()
-        parts = [np.frombuffer(x, np.int32).astype(np.int64) for x in group.column("refs").to_pylist()]
-        bases = np.repeat(group.column("ref").to_numpy(), [len(p) for p in parts])
-        local = np.concatenate(parts)
-        ref = np.where(local < 0, -1, local + bases)
+        bases = group.column("ref").to_numpy()
+        local = np.frombuffer(b"".join(group.column("refs").to_pylist()), np.int32)
+        pack = np.repeat(np.arange(len(packs), dtype=np.int32), [len(p) // 5 for p in packs])
+        del tokens, packs
         order = np.argsort(value, kind="stable")
-        value, ref = value[order], ref[order]
+        value = value[order]
         same = np.zeros(len(value), bool)
         equal = value[1:] == value[:-1]
         same[1:] |= equal
         same[:-1] |= equal
-        who, times = np.unique(ref[same & (ref >= 0)], return_counts=True)
-        return pa.table({"ref": pa.array(who, pa.int64()), "credit": pa.array(times, pa.int64())})
+        found = order[same]
+        found = found[local[found] >= 0]
+        who, times = np.unique(bases[pack[found]] + local[found], return_counts=True)
+        starts = np.unique(bases)
+        cuts = np.append(np.searchsorted(who, starts), len(who))
+        sent = [(base, who[a:b], times[a:b]) for base, a, b in zip(starts, cuts, cuts[1:], strict=False) if b > a]
+        return pa.table(
+            {
+                "base": pa.array([base for base, _, _ in sent], pa.int64()),
+                "places": pa.array([(w - base).astype(np.int32).tobytes() for base, w, _ in sent], pa.binary()),
+                "times": pa.array([t.astype(np.int32).tobytes() for _, _, t in sent], pa.binary()),
+            }
+        )
+
+    def add(group: pa.Table) -> pa.Table:
+        places = np.frombuffer(b"".join(group.column("places").to_pylist()), np.int32)
+        times = np.frombuffer(b"".join(group.column("times").to_pylist()), np.int32)
+        total = np.bincount(places, times).astype(np.int64)
+        held = np.flatnonzero(total)
+        return pa.table({"ref": pa.array(held + group.column("base")[0].as_py()), "more": pa.array(total[held])})
 
     packs = rows.where("bucket >= 0").select("bucket", "ref", "tokens", "refs")
-    counted = packs.groupBy("bucket").applyInArrow(count, "ref bigint, credit bigint")
-    return counted.groupBy("ref").agg(F.sum("credit").alias("more"))
+    counted = packs.groupBy("bucket").applyInArrow(count, "base bigint, places binary, times binary")
+    return counted.groupBy("base").applyInArrow(add, "ref bigint, more bigint")
 
 
 def described(docs: DataFrame) -> DataFrame:
     """(doc_id, key, n, s1, s2, candidate) per row of docs; written. s1 and s2 stand for the set."""
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    bits = max(0, int(size / 14 / _PER_BUCKET).bit_length())  # a shingle per six characters, 0.4 of them in the prefix
+    # A shingle per six characters, 0.4 of them in the prefix.
+    bits = max(_LEAST_BITS, int(size / 14 / _PER_BUCKET).bit_length())
     rows = stored(_prefix(docs, min(bits, 20)), "prefixes")
     one = rows.where("bucket < 0").select("ref", "doc_id", "key", "n", "s1", "s2", "credit")
     credit = F.col("credit") + F.coalesce("more", F.lit(0))
