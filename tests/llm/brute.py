@@ -50,6 +50,51 @@ def components(docs):
     return {d: (len(s), find(d)) for d, s in sets}
 
 
+def without_repeats(texts, window=35):
+    """The texts with repeated windows cut out; those without any stay as they are."""
+    split = [words(t) for t in texts]
+    seen = collections.Counter(tuple(w[i : i + window]) for w in split for i in range(len(w) - window + 1))
+    out = []
+    for text, w in zip(texts, split, strict=True):
+        gone = {i + k for i in range(len(w) - window + 1) if seen[tuple(w[i : i + window])] > 1 for k in range(window)}
+        out.append(" ".join(x for i, x in enumerate(w) if i not in gone) if gone else text)
+    return out
+
+
+def kept(text, stop_words, rules):
+    """The verdict of the base rules and of a table of thresholds."""
+    n_words, word_chars, n_symbols, n_dup_lines, _, failed = quality(text)
+    lines = [line for line in (text or "").split("\n") if WORD.search(line)]
+    counts = {
+        "n_words": n_words,
+        "word_chars": word_chars,
+        "n_symbols": n_symbols,
+        "n_dup_lines": n_dup_lines,
+        "n_lines": len(lines),
+        "n_ellipsis_lines": sum(line.endswith(("...", "…")) for line in lines),
+        "n_stop_words": sum(w.strip(".,;:!?\"'()").lower() in stop_words for w in words(text)),
+        "n_letter_words": sum(any(c.isalpha() for c in w) for w in words(text)),
+    }
+    for rule in rules:
+        above, below = counts[rule.numerator], counts[rule.denominator]
+        if rule.low is not None and above < below * rule.low or rule.high is not None and above > below * rule.high:
+            return False
+    return not failed
+
+
+def targets(sizes):
+    """source -> target: sizes by source, sources by code point and NULL last weigh 1, 2, 3, none above 3 times its size."""
+    names = sorted(s for s in sizes if s is not None) + [None] * (None in sizes)
+    weight = {s: (1, 2, 3)[n % 3] for n, s in enumerate(names)}
+    full = set()
+    while True:
+        level = (sum(sizes.values()) - sum(3 * sizes[s] for s in full)) / sum(weight[s] for s in names if s not in full)
+        new = {s for s in names if s not in full and level * weight[s] > 3 * sizes[s]}
+        if not new:
+            return {s: 3 * sizes[s] if s in full else level * weight[s] for s in names}
+        full |= new
+
+
 def quality(text):
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
     w = words(text)

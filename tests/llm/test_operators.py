@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -313,5 +314,54 @@ def test_pipeline_stages(spark, docs):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "n-gram Jaccard join", "substring dedup", "mixing", "best-fit packing",
     ]
-    assert corpus_pipeline.run(spark, SMALL).columns[:5] == ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert Path(corpus_pipeline.__file__).name == "corpus_pipeline.py"
+
+
+def test_pipeline_stage_by_stage(spark, docs, texts, tmp_path):
+    """Every stage against brute force on what the stage before it kept, then the whole run on the same table."""
+    from tokenizers import Tokenizer
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    stages, made, given = dict(corpus_pipeline.STAGES), {}, spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for k, (name, stage) in enumerate(stages.items()):
+        out = stage(spark, given, str(tmp_path))
+        assert name == "best-fit packing" or out.columns == docs.columns
+        out.write.parquet(f"{tmp_path}/stage{k}")
+        given = spark.read.parquet(f"{tmp_path}/stage{k}")
+        made[name] = given.collect()
+
+    want = {k: r["text"] for k, r in texts.items() if brute.kept(r["text"], quality.STOP_WORDS, quality.RULES)}
+    assert {r["doc_id"]: r["text"] for r in made["quality rules"]} == want
+    want = {k: t for k, t in want.items() if brute.components(sorted(want.items()))[k][1] == k}
+    assert {r["doc_id"]: r["text"] for r in made["n-gram Jaccard join"]} == want
+    ids = sorted(want)
+    want = dict(zip(ids, brute.without_repeats([want[k] for k in ids]), strict=True))
+    assert {r["doc_id"]: r["text"] for r in made["substring dedup"]} == want
+
+    copies = Counter(r["doc_id"] for r in made["mixing"])
+    assert all(r["text"] == want[r["doc_id"]] for r in made["mixing"]) and max(copies.values()) <= 3
+    sizes, taken = Counter(), Counter()
+    for k, text in want.items():
+        sizes[texts[k]["source"]] += len(brute.words(text))
+        taken[texts[k]["source"]] += copies[k] * len(brute.words(text))
+    for source, target in brute.targets(sizes).items():
+        own = [(len(brute.words(t)), copies[k]) for k, t in want.items() if texts[k]["source"] == source]
+        room = sorted(n for n, c in own if n and (c < 3 if taken[source] < target else c))
+        assert abs(taken[source] - target) <= max([0.05 * target, *room[:1]])
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    tokenizer.encode_special_tokens = True
+    pieces = Counter()
+    for k, times in copies.items():
+        ids = [*tokenizer.encode(want[k] or "", add_special_tokens=False).ids, 0]
+        for n, start in enumerate(range(0, len(ids), 2048)):
+            part = ids[start : start + 2048]
+            pieces[(k, n, start, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))] += times
+    assert Counter(tuple(r)[:5] for r in made["best-fit packing"]) == pieces
+    whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter(tuple(r)[:5] for r in whole) == pieces
+    ends = {}
+    for r in sorted(whole, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 2048
