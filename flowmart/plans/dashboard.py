@@ -10,7 +10,9 @@ from flowmart.operators import panels
 
 
 def dashboard(target, to: datetime | None = None) -> dict[str, DataFrame]:
-    """The eight panels. With `to`, the series panels read the last six hours up to it, without it all history."""
+    """The eight panels. With `to`, the series panels read the last six hours up to it, without it all history.
+    All current tables are those of one moment, also while a run is published."""
+    target = target.pinned()
     traffic, speed = target.current("traffic_by_zone"), target.current("speed_by_road")
     zone_history, road_history = target.history("traffic_by_zone", to), target.history("speed_by_road", to)
     return {

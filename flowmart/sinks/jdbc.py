@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,23 +14,40 @@ from flowmart.operators.panels import DASHBOARD_RANGE, in_range
 from flowmart.schema import MART_KEYS
 
 
+def _wall_clock(moment: datetime) -> datetime:
+    return moment.astimezone(timezone.utc).replace(tzinfo=None) if moment.tzinfo else moment
+
+
 class JdbcTarget:
     """Current tables `T` and history tables `T_ts` in a database.
 
     The driver jar comes with the Spark submission, user and password from the caller or from FLOWMART_JDBC_USER and
-    FLOWMART_JDBC_PASSWORD. Each partition is one transaction; the tables of a run have no common one.
+    FLOWMART_JDBC_PASSWORD. Each partition is one transaction; the tables of a run have no common one, and a current
+    table whose insert breaks off stays empty until the run is repeated.
+
+    History is read over several connections, each with a slice of time: of the range asked for, or for all history
+    of `history_bounds`. The bounds only balance the slices, the first and the last take all rows outside. Whole
+    history without them comes through one connection.
     """
 
-    def __init__(self, spark: SparkSession, url: str, properties: dict[str, str] | None = None, connections: int = 8):
+    def __init__(
+        self,
+        spark: SparkSession,
+        url: str,
+        properties: dict[str, str] | None = None,
+        connections: int = 8,
+        history_bounds: tuple[datetime, datetime] | None = None,
+    ):
         self.spark = spark
         self.url = url
+        self.history_bounds = history_bounds
         # Spark opens a connection per partition written; this is the most it may have open.
         self.properties = {"numPartitions": str(connections), **(properties or {})}
         for name, variable in (("user", "FLOWMART_JDBC_USER"), ("password", "FLOWMART_JDBC_PASSWORD")):
             if name not in self.properties and variable in os.environ:
                 self.properties[name] = os.environ[variable]
 
-    def replace(self, table: str, rows: DataFrame, run_ts: datetime) -> None:
+    def replace(self, table: str, rows: DataFrame, run_ts: datetime, version: str) -> None:
         """Truncate and insert, which keeps column types, indexes and grants of the table."""
         rows.write.mode("overwrite").option("truncate", "true").jdbc(self.url, table, properties=self.properties)
 
@@ -48,13 +65,24 @@ class JdbcTarget:
         missing = rows.alias("new").join(present, same_key, "left_anti")
         missing.write.mode("append").jdbc(self.url, history, properties=self.properties)
 
-    def read(self, table: str) -> DataFrame:
-        return self.spark.read.jdbc(self.url, table, properties=self.properties)
+    def commit(self, version: str) -> None:
+        """Nothing to switch: each table was committed by its own insert."""
+
+    def pinned(self) -> JdbcTarget:
+        return self
+
+    def read(self, table: str, bounds: tuple[datetime, datetime] | None = None) -> DataFrame:
+        sliced = {}
+        if bounds:
+            first, last = (f"{_wall_clock(moment):%Y-%m-%d %H:%M:%S}" for moment in bounds)
+            sliced = {"partitionColumn": "timestamp", "lowerBound": first, "upperBound": last}
+        return self.spark.read.jdbc(self.url, table, properties=self.properties | sliced)
 
     def current(self, table: str) -> DataFrame:
         return self.read(table)
 
     def history(self, table: str, to: datetime | None = None, span: timedelta = DASHBOARD_RANGE) -> DataFrame:
         """History rows, optionally of the dashboard range that ends at `to`; the database evaluates the range."""
-        rows = self.read(f"{table}_ts")
+        bounds = self.history_bounds if to is None else (to - span, to)
+        rows = self.read(f"{table}_ts", bounds)
         return rows if to is None else in_range(rows, to, span)

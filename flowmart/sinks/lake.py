@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+import copy
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -43,14 +44,72 @@ def replace_table(frame: DataFrame, path: str, form: str = "parquet", partition_
 
 
 class LakeTarget:
-    """Current tables `T` and history tables `T_ts` as Parquet below one folder."""
+    """Current tables `T` and history tables `T_ts` as Parquet below one folder.
 
-    def __init__(self, spark: SparkSession, root: str):
+    The current tables of a run are written to a folder of their own, `runs/<version>/T`, and become visible together
+    by one empty file, `commits/<number>-<version>`; the greatest name counts. So a reader that has opened a table can
+    finish, runs published at once do not touch each other's files, and a run that breaks off is never seen. Versions
+    that are no longer current, or were never committed, are deleted by later runs once they are older than `keep`,
+    which has to be longer than any publishing or reading takes.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keep: timedelta = timedelta(days=1)):
         self.spark = spark
         self.root = root.rstrip("/")
-
-    def replace(self, table: str, rows: DataFrame, run_ts: datetime) -> None:
-        replace_table(rows, f"{self.root}/{table}")
+        self.keep = keep
+        self._seen: list[str] | None = None
+
+    def replace(self, table: str, rows: DataFrame, run_ts: datetime, version: str) -> None:
+        """Write the current table of a version; it is visible after the commit."""
+        rows.write.mode("overwrite").parquet(f"{self.root}/runs/{version}/{table}")
+
+    def commit(self, version: str) -> None:
+        """Switch all current tables of a version at once."""
+        commits = self._commits()
+        number = int(commits[0].partition("-")[0]) + 1 if commits else 0
+        self._files().createNewFile(self._path(f"commits/{number:012d}-{version}"))
+        self._clean_up()
+
+    def pinned(self) -> LakeTarget:
+        """The same target as committed now: later commits do not change which current tables it reads."""
+        target = copy.copy(self)
+        target._seen = self._commits()
+        return target
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+
+    def _files(self):
+        return self._path("commits").getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+    def _listed(self, folder: str) -> dict[str, datetime]:
+        """Names in a folder and when they were last changed."""
+        files, path = self._files(), self._path(folder)
+        found = files.listStatus(path) if files.exists(path) else []
+        return {
+            entry.getPath().getName(): datetime.fromtimestamp(entry.getModificationTime() / 1000, timezone.utc)
+            for entry in found
+        }
+
+    def _commits(self) -> list[str]:
+        """Names of the commits, the newest first."""
+        return sorted(self._listed("commits"), reverse=True)
+
+    def _clean_up(self) -> None:
+        files, commits = self._files(), self._listed("commits")
+        oldest = datetime.now(timezone.utc) - self.keep
+        newest = max(commits)
+        # A run may publish some of the tables only; what the newest one lacks is still current in an older one.
+        renewed = set(self._listed(f"runs/{newest.partition('-')[2]}"))
+        for name, changed in commits.items():
+            folder = f"runs/{name.partition('-')[2]}"
+            if name != newest and changed < oldest and set(self._listed(folder)) <= renewed:
+                files.delete(self._path(f"commits/{name}"), False)
+                files.delete(self._path(folder), True)
+        committed = {name.partition("-")[2] for name in commits}
+        for version, changed in self._listed("runs").items():
+            if version not in committed and changed < oldest:
+                files.delete(self._path(f"runs/{version}"), True)
 
     def append(self, table: str, rows: DataFrame, run_ts: datetime, run_id: str) -> None:
         """Add the rows of a run to the history. A run that is published again replaces its own rows only, also from
@@ -83,7 +142,13 @@ class LakeTarget:
         return stored.withColumn("run_date", F.col("run_date").cast("string"))
 
     def current(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{table}")
+        """The table of the newest committed run that has it. Raises PATH_NOT_FOUND where there is none."""
+        files = self._files()
+        for name in self._commits() if self._seen is None else self._seen:
+            folder = f"runs/{name.partition('-')[2]}/{table}"
+            if files.exists(self._path(folder)):
+                return self.spark.read.parquet(f"{self.root}/{folder}")
+        return self.spark.read.parquet(f"{self.root}/runs/{table}")
 
     def history(self, table: str, to: datetime | None = None, span: timedelta = DASHBOARD_RANGE) -> DataFrame:
         """History rows, optionally of the dashboard range that ends at `to`: other days are not listed or read."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -34,20 +35,24 @@ def publish(marts: dict[str, DataFrame], target, run_ts: datetime, run_id: str |
     """Write current and history tables of all marts under one run time; returns the tables written.
 
     Nothing is written when all marts are empty. A single empty mart empties its current table. Publishing the same
-    run again leaves the history as it is.
+    run again leaves the history as it is. A target that can commits the current tables together, as the last step:
+    after a failure all of them are still those of the run before.
     """
     if all(mart.isEmpty() for mart in marts.values()):
         return []
     run_id = run_id or run_name(run_ts)
+    # Each attempt has a version of its own, also of the same run.
+    version = f"{run_id}-{uuid.uuid4().hex}"
     written: list[str] = []
     for name, mart in marts.items():
         rows = export_rows(name, mart, run_ts)
         try:
-            target.replace(name, rows, run_ts)
+            target.replace(name, rows, run_ts, version)
             written.append(name)
             target.append(name, rows, run_ts, run_id)
             written.append(f"{name}_ts")
         except Exception as error:
             failed = f"{name}_ts" if name in written else name
             raise PublishError(failed, written) from error
+    target.commit(version)
     return written

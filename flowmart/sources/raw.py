@@ -32,7 +32,8 @@ def topic_lines(
 
     A micro-batch starts once min_messages are waiting or max_wait has passed, whichever comes first. Raise
     min_messages on a busy topic: it also sets how large the landed files become. max_messages bounds one batch
-    after a long stop; min_partitions splits the offsets of a hot topic partition over several tasks. Offsets live in the sink's checkpoint, so a group only names the consumers for the broker.
+    after a long stop; min_partitions splits the offsets of a hot topic partition over several tasks. Offsets live in
+    the sink's checkpoint, so a group only names the consumers for the broker.
     Needs the spark-sql-kafka package on the cluster; every consumer below takes any stream with a text column
     `value`, such as file_lines.
     """

@@ -174,13 +174,63 @@ def test_dashboard_over_published_tables(spark, tmp_path, mart_tables):
     assert shown["alert_zones"].first()["count"] == 2
 
 
+def test_a_run_is_seen_as_a_whole_or_not_at_all(spark, tmp_path, mart_tables):
+    class Breaks(LakeTarget):
+        def append(self, table, *rest):
+            if table == "speed_by_road":
+                raise OSError("disk")
+            super().append(table, *rest)
+
+    target = LakeTarget(spark, str(tmp_path))
+    publish(mart_tables, target, RUN)
+    with pytest.raises(PublishError):
+        publish(mart_tables, Breaks(spark, str(tmp_path)), NEXT)
+    for name, mart in mart_tables.items():
+        assert rows(target.current(name)) == rows(export_rows(name, mart, RUN))
+
+
+def test_readers_outlive_a_publish(spark, tmp_path, mart_tables):
+    target = LakeTarget(spark, str(tmp_path))
+    publish(mart_tables, target, RUN)
+    opened, pinned = target.current("speed_by_road"), target.pinned()
+    publish(mart_tables, target, NEXT)
+    old = rows(export_rows("speed_by_road", mart_tables["speed_by_road"], RUN))
+    assert rows(opened) == old and rows(pinned.current("speed_by_road")) == old
+    assert rows(target.current("speed_by_road")) != old
+
+
+def test_runs_published_at_once_leave_each_other_alone(spark, tmp_path, mart_tables):
+    one, two = LakeTarget(spark, str(tmp_path)), LakeTarget(spark, str(tmp_path))
+    for target, run, version in ((one, RUN, "one"), (two, NEXT, "two")):
+        for name, mart in mart_tables.items():
+            target.replace(name, export_rows(name, mart, run), run, version)
+    two.commit("two")
+    one.commit("one")
+    for name, mart in mart_tables.items():
+        assert rows(two.current(name)) == rows(export_rows(name, mart, RUN))
+
+
+def test_old_versions_go_when_they_are_no_longer_current(spark, tmp_path, mart_tables):
+    target = LakeTarget(spark, str(tmp_path), keep=timedelta(0))
+    target.replace("speed_by_road", mart_tables["speed_by_road"], RUN, "broken-off")
+    publish(mart_tables, target, RUN)
+    publish({"speed_by_road": mart_tables["speed_by_road"]}, target, NEXT)
+    # The second run has one table; the first still holds the others.
+    assert len(list((tmp_path / "runs").iterdir())) == 2
+    assert target.current("mobility_summary").count() == 5
+    publish(mart_tables, target, NEXT)
+    assert len(list((tmp_path / "runs").iterdir())) == 1
+    assert target.current("mobility_summary").count() == target.current("speed_by_road").count() == 5
+
+
 class _Database:
     """Stands for the JDBC calls of Spark: tables as lists of frames, so no database is needed."""
 
     def __init__(self, spark):
-        self.spark, self.tables, self.calls = spark, {}, []
+        self.spark, self.tables, self.calls, self.reads = spark, {}, [], []
 
     def read(self, url, table, properties=None):
+        self.reads.append((table, properties))
         frames = self.tables[table]
         combined = frames[0]
         for frame in frames[1:]:
@@ -217,7 +267,7 @@ def database(spark, monkeypatch):
             held.write(self, url, table, mode, properties)
 
     monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.write", property(Writer))
-    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameReader.jdbc", lambda self, url, table, **rest: held.read(url, table))
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameReader.jdbc", lambda self, url, table, **rest: held.read(url, table, **rest))
     return held
 
 
@@ -247,6 +297,20 @@ def test_dashboard_over_jdbc_tables(spark, mart_tables, database):
     assert shown["zone_table"].count() == 5
 
 
+def test_jdbc_history_is_read_in_slices_of_time(spark, mart_tables, database):
+    target = JdbcTarget(spark, "jdbc:somedb://host/traffic", connections=4)
+    publish(mart_tables, target, RUN)
+    bounded = JdbcTarget(spark, "jdbc:somedb://host/traffic", history_bounds=(RUN - timedelta(days=30), RUN))
+    database.reads.clear()
+    assert target.history("speed_by_road", RUN).count() == 5
+    assert bounded.history("speed_by_road").count() == target.history("speed_by_road").count() == 5
+    ranged, whole, single = (properties for _, properties in database.reads)
+    slices = {"partitionColumn": "timestamp", "upperBound": "2024-05-01 12:00:00"}
+    assert ranged == slices | {"lowerBound": "2024-05-01 06:00:00", "numPartitions": "4"}
+    assert whole == slices | {"lowerBound": "2024-04-01 12:00:00", "numPartitions": "8"}
+    assert single == {"numPartitions": "4"}
+
+
 def test_jdbc_history_is_completed_after_a_break(spark, mart_tables, database):
     target = JdbcTarget(spark, "jdbc:somedb://host/traffic")
     name = "congestion_alerts"
