@@ -290,3 +290,31 @@ UNION ALL SELECT 'alert_zones', 'all', CAST(count(*) AS double) FROM congestion
     "incremental_chain": _sql("SELECT *, '2024-02-01 00:01:00' AS \"timestamp\" FROM speed", _ROADS),
     "batch_chain": _sql("SELECT *, '2024-02-01 00:00:00' AS \"timestamp\" FROM summary", _ZONES),
 }
+
+_FIRST, _SECOND = "2024-02-01 00:00:00", "2024-02-01 00:01:00"
+
+
+def _beside(parts: list[tuple[str, str, str]], moment: str) -> str:
+    """All rows of several statements, each given as table name, key of its SQL and time."""
+    return "\nUNION ALL BY NAME\n".join(
+        f"SELECT '{table}' AS table_name, '{time}' AS \"{moment}\", * FROM ({ORACLE[key]})" for table, key, time in parts
+    )
+
+
+_MART_SQL = {
+    "traffic_by_zone": "zone_traffic_analytics",
+    "speed_by_road": "road_speed_analytics",
+    "congestion_alerts": "zone_congestion_analytics",
+    "mobility_summary": "mobility_summary",
+}
+_PROCESSED_SQL = {
+    "traffic_by_zone": "zone_traffic_processed",
+    "speed_by_road": "road_speed_processed",
+    "congestion_alerts": "zone_congestion_processed",
+}
+ORACLE["processed_tables"] = _beside([(name, key, _FIRST) for name, key in _PROCESSED_SQL.items()], "processed_date")
+ORACLE["published_tables"] = _beside(
+    [(name, key, _SECOND) for name, key in _MART_SQL.items()]
+    + [(f"{name}_ts", key, time) for name, key in _MART_SQL.items() for time in (_FIRST, _SECOND)],
+    "timestamp",
+)

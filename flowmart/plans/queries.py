@@ -286,6 +286,22 @@ def processed_roundtrip(spark, folder):
     return back.withColumn("processed_date", _utc_text("processed_date"))
 
 
+def _beside(named: dict[str, DataFrame], moment: str) -> DataFrame:
+    """All rows of several tables, columns that a table lacks as NULL, the moment as text in UTC."""
+    marked = [
+        frame.withColumn(moment, _utc_text(moment)).withColumn("table_name", F.lit(name))
+        for name, frame in named.items()
+    ]
+    return reduce(lambda upper, lower: upper.unionByName(lower, allowMissingColumns=True), marked)
+
+
+def processed_tables(spark, folder):
+    """The three processed tables as they were written."""
+    root = new_folder(spark, "processed")
+    batch.write_processed(sensor_events(spark, folder), root, FIRST_RUN)
+    return _beside(tables.read_processed(spark, root), "processed_date")
+
+
 def _utc_text(column: str):
     """A moment as text in UTC, whatever the time zone of the session."""
     return F.to_utc_timestamp(F.col(column), F.current_timezone()).cast("string")
@@ -355,6 +371,16 @@ def publish_history_roundtrip(spark, folder):
     return target.history("congestion_alerts").withColumn("timestamp", _utc_text("timestamp"))
 
 
+def published_tables(spark, folder):
+    """All eight published tables after two runs, the second published twice."""
+    target = LakeTarget(spark, new_folder(spark, "published"))
+    _publish_runs(spark, folder, target, (FIRST_RUN, SECOND_RUN, SECOND_RUN))
+    shown = target.pinned()
+    current = {name: shown.current(name) for name in ANALYTICS}
+    history = {f"{name}_ts": shown.history(name) for name in ANALYTICS}
+    return _beside(current | history, "timestamp")
+
+
 def dashboard_published(spark, folder):
     """The eight panels over published tables, as one list of points."""
     target = LakeTarget(spark, new_folder(spark, "published"))
@@ -447,11 +473,13 @@ REGISTERED = (
     compacted_counts,
     typed_layer_roundtrip,
     processed_roundtrip,
+    processed_tables,
     road_partition_roundtrip,
     tolerant_scan,
     read_or_empty,
     publish_current_roundtrip,
     publish_history_roundtrip,
+    published_tables,
     dashboard_published,
     continuous_refresh,
     batch_chain,
