@@ -2,7 +2,8 @@
 
 A page is cut into blocks at block-level tags. The first pass looks at each block alone: blocks of menus, page headers,
 footers, sidebars, notices, adverts, forms and reader comments (by element, role, class or id) are boilerplate, and so
-are blocks that are mostly links or state a copyright; long blocks with many stop words are text; the rest is left open,
+are blocks that are mostly links or short ones that state a copyright (what a class or id hints never covers an article
+or main, reader comments and related articles behind the text excepted); long blocks with many stop words are text; the rest is left open,
 as short blocks are. On a page that marks its article, what is outside is boilerplate and every block inside that is long
 enough is text, whatever its stop words. The second pass gives open blocks the label of their nearest decided neighbours:
 text if both sides (or the only side) are text, by stop words if they differ; headings follow the block after them.
@@ -52,7 +53,12 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+# Matches follow each other through the attributes, so the words of a value are never taken for names.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+# Classes that tell how a page is laid out, whatever part of the page they name.
+_LAYOUT = re.compile(r"^(?:has|no|with|without)[_-]|^elementor|side[_-]by[_-]side|content[_-]sidebar|sidebar[_-]content")
+# Hints of what stands in articles of its own behind the article of the page.
+_BEHIND = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|replies|respond|reply|related|recommended)(?:$|[\s_-])")
 _SPACE = re.compile(r"\s+")
 _COPYRIGHT = re.compile(r"^\s*(?:©|\(c\)|copyright\b)", re.I)
 _STOPS = frozenset(STOP_WORDS)
@@ -71,8 +77,15 @@ class Block:
     good: bool | None = None
 
 
-def _aside(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in _SIDE or tag == "header" and not in_article:
+def _hints(value: str) -> str:
+    """The names of a class or id that hint at boilerplate."""
+    return " ".join(name for name in value.split() if _HINT.search(name) and not _LAYOUT.search(name))
+
+
+def _aside(tag: str, attributes: str, in_article: bool, holds: bool, told: bool) -> bool:
+    """holds: it is or contains an article or main; told: a long text of an article came before."""
+    # Some pages are one form as a whole.
+    if tag in _SIDE and not (tag == "form" and holds) or tag == "header" and not in_article:
         return True
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
@@ -80,25 +93,51 @@ def _aside(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "role" and value in _ROLES:
             return True
-        # A page may hang its layout on body or main; such a class says nothing about the text inside.
-        if name in ("class", "id") and tag not in ("html", "body", "main") and _HINT.search(value):
-            return True
+        # A page may hang its layout on all that is around its text; such a class says nothing about the text inside.
+        if name in ("class", "id") and tag not in ("html", "body", "main"):
+            hints = _hints(value)
+            if hints and (not holds or told and _BEHIND.search(hints)):
+                return True
     return False
 
 
+def _holding(tokens: list[re.Match]) -> set[int]:
+    """Places of the start tags of containers that are or contain an article or main."""
+    found: set[int] = set()
+    stack: list[tuple[str, int]] = []
+    for place, token in enumerate(tokens):
+        tag = (token.group(3) or "").lower()
+        if tag not in _CONTAINER:
+            continue
+        if token.group(2):
+            if any(name == tag for name, _ in stack):
+                while stack.pop()[0] != tag:
+                    pass
+        elif not token.group(4).endswith("/"):
+            stack.append((tag, place))
+            if tag in ("article", "main"):
+                # Whatever is open below a container that was found has been found with it.
+                for _, around in reversed(stack):
+                    if around in found:
+                        break
+                    found.add(around)
+    return found
+
+
 def blocks(page: str) -> list[Block]:
     """All blocks with text, in page order."""
     found: list[Block] = []
     stack: list[tuple[str, bool, bool]] = []  # open containers: tag, boilerplate, article
-    links, at, side, article, heading = 0, 0, False, False, False
+    links, at, side, article, heading, told = 0, 0, False, False, False, False
     current = Block(False, False, False)
 
     def close() -> None:
-        nonlocal current
+        nonlocal current, told
         text = _SPACE.sub(" ", html.unescape("".join(current.parts))).strip()
         if text:
             current.text = text
             found.append(current)
+            told = told or current.article and not current.side and len(text) >= LONG
         current = Block(side, article, heading)
 
     def add(text: str) -> None:
@@ -107,7 +146,9 @@ def blocks(page: str) -> list[Block]:
             if links:
                 current.linked += len(_SPACE.sub(" ", text).strip())
 
-    for token in _TOKEN.finditer(page):
+    tokens = list(_TOKEN.finditer(page))
+    holding = _holding(tokens)
+    for place, token in enumerate(tokens):
         add(page[at : token.start()])
         at = token.end()
         tag = (token.group(3) or "").lower()
@@ -125,7 +166,9 @@ def blocks(page: str) -> list[Block]:
             elif tag in _CONTAINER and not token.group(4).endswith("/"):
                 inherited = stack[-1][1:] if stack else (False, False)
                 inside = inherited[1] or tag in ("article", "main")
-                stack.append((tag, inherited[0] or _aside(tag, token.group(4), inherited[1]), inside))
+                close()
+                aside = inherited[0] or _aside(tag, token.group(4), inherited[1], place in holding, told)
+                stack.append((tag, aside, inside))
             side, article = stack[-1][1:] if stack else (False, False)
             heading = not token.group(2) and len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
             links = 0
@@ -143,7 +186,9 @@ def _stop_density(text: str) -> float:
 def _first_pass(block: Block, marked: bool) -> bool | None:
     if block.side or marked and not block.article:
         return False
-    if block.linked > LINK_DENSITY * len(block.text) or _COPYRIGHT.match(block.text):
+    if block.linked > LINK_DENSITY * len(block.text):
+        return False
+    if _COPYRIGHT.match(block.text) and (len(block.text) < SHORT or len(block.text) < LONG and _stop_density(block.text) < STOP_LOW):
         return False
     if len(block.text) < SHORT or block.heading:
         return None

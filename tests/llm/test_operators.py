@@ -282,6 +282,40 @@ def test_pages_without_a_marked_article():
     assert pages.main_text(page) == "\n\n".join([text.strip(), "So it is.", text.strip()])
 
 
+STORY = "It is the story of the man and of his dog, that is as old as the hills and as true as it is that they are here."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body style="overflow-x:hidden"><article><p>{}</p></article></body>',
+        '<div style="overflow: hidden"><article><p>{}</p></article></div>',
+        '<article title="A hidden valley"><p>{}</p></article>',
+        "<div data-hidden='false'><article><p>{}</p></article></div>",
+        '<article class="post has-sidebar"><p>{}</p></article>',
+        '<div class="content-sidebar-wrap"><main><p>{}</p></main></div>',
+        '<div class="elementor-widget elementor-widget-text"><article><p>{}</p></article></div>',
+        '<article><section id="side-by-side"><p>{}</p></section></article>',
+        '<div class="sidebar-layout"><div><article class="share"><p>{}</p></article></div></div>',
+        '<form id="whole"><article><p>{}</p></article></form>',
+        '<article><div class="sidebar">Not this.</div><p>{}</p><p hidden>Nor this.</p><p>&copy; 2024 A</p></article>',
+    ],
+)
+def test_pages_keep_articles_inside_layout(page):
+    page = page.replace("<p hidden>Nor this.</p>", "<div title='a b' hidden>Nor this.</div>")
+    assert pages.main_text(page.format(STORY)) == STORY
+
+
+def test_pages_drop_articles_of_readers_behind_the_text():
+    reader = f'<section id="comments"><article class="comment"><p>{STORY}</p></article></section>'
+    assert pages.main_text(f"<main><p>{STORY * 2}</p>{reader}</main>") == STORY * 2
+
+
+def test_pages_keep_paragraphs_about_copyright():
+    text = "Copyright is the right of the author of a work to say who may copy it, and it is as old as the press. " * 3
+    assert pages.main_text(f"<article><p>{STORY}</p><p>{text}</p></article>") == f"{STORY}\n\n{text.strip()}"
+
+
 def _empty(spark):
     return spark.createDataFrame([], COLUMNS)
 
