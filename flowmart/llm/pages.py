@@ -8,7 +8,7 @@ as short blocks are. On a page that marks its article, what is outside is boiler
 enough is text, whatever its stop words. The second pass gives open blocks the label of their nearest decided neighbours:
 text if both sides (or the only side) are text, by stop words if they differ; headings follow the block after them.
 
-Scripts, styles, comments and the head never become blocks. Character references are decoded, white space inside a block
+Scripts, styles, comments and the elements of the head never become blocks; the end tag of the head may be missing. Character references are decoded, white space inside a block
 becomes one space, blocks are joined by an empty line in page order. NULL pages count as empty, their text is empty.
 Rows are independent: repeated rows give repeated results, an empty table an empty one. Extra columns are not read.
 """
@@ -33,7 +33,7 @@ STOP_HIGH = 0.32
 STOP_LOW = 0.2
 
 # Elements of HTML by role.
-_RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title|audio|video|head"
+_RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title|audio|video"
 _BLOCK = set(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section "
@@ -49,10 +49,11 @@ _HINT = re.compile(
     r"signup|signin|search|pagination|pager|toolbar|copyright|disclaimer)(?:$|[\s_-])"
 )
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({_RAW})(?=[\s/>])(?:(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>",
     re.S | re.I,
 )
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in _RAW.split("|")}
 # Matches follow each other through the attributes, so the words of a value are never taken for names.
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 # Classes that tell how a page is laid out, whatever part of the page they name.
@@ -101,11 +102,29 @@ def _aside(tag: str, attributes: str, in_article: bool, holds: bool, told: bool)
     return False
 
 
-def _holding(tokens: list[re.Match]) -> set[int]:
+def _tokens(page: str) -> Iterator[tuple[int, int, re.Match]]:
+    """Start, end and match of every tag and of all that is no text. A raw element goes up to its end tag. One without
+    is its start tag alone, as a self-closed svg or math is; a script or style goes to the end of the page, as in HTML."""
+    at = 0
+    endless: set[str] = set()
+    while token := _TOKEN.search(page, at):
+        at, raw = token.end(), (token.group(1) or "").lower()
+        if raw and not (raw in ("svg", "math") and token.group().endswith("/>")):
+            end = None if raw in endless else _RAW_END[raw].search(page, at)
+            if end:
+                at = end.end()
+            elif raw in ("script", "style"):
+                at = len(page)
+            else:
+                endless.add(raw)  # there is none further on either
+        yield token.start(), at, token
+
+
+def _holding(tokens: list[tuple[int, int, re.Match]]) -> set[int]:
     """Places of the start tags of containers that are or contain an article or main."""
     found: set[int] = set()
     stack: list[tuple[str, int]] = []
-    for place, token in enumerate(tokens):
+    for place, (_, _, token) in enumerate(tokens):
         tag = (token.group(3) or "").lower()
         if tag not in _CONTAINER:
             continue
@@ -146,11 +165,11 @@ def blocks(page: str) -> list[Block]:
             if links:
                 current.linked += len(_SPACE.sub(" ", text).strip())
 
-    tokens = list(_TOKEN.finditer(page))
+    tokens = list(_tokens(page))
     holding = _holding(tokens)
-    for place, token in enumerate(tokens):
-        add(page[at : token.start()])
-        at = token.end()
+    for place, (start, end, token) in enumerate(tokens):
+        add(page[at:start])
+        at = end
         tag = (token.group(3) or "").lower()
         if not tag:
             continue

@@ -306,6 +306,22 @@ def test_pages_keep_articles_inside_layout(page):
     assert pages.main_text(page.format(STORY)) == STORY
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>x</title><body><article><p>{}</p></article>",
+        "<html><head><title>x</title><meta charset=utf-8><article><p>{}</p></article>",
+        "<head><title>x</title><style>p {{}}</style></head><article><svg viewBox='0 0 1 1'/><p>{}</p></article>",
+        "<article><svg/><p>{}</p><svg><text>drawn</text></svg></article>",
+        "<article><math/><iframe src=a><p>{}</p></article>",
+        "<article><video src='a>b'><p>{}</p></article><script>var a = '<p>no</p>'",
+        "<article><p>{}</p></article><style>p",
+    ],
+)
+def test_pages_keep_text_behind_raw_elements_without_end(page):
+    assert pages.main_text(page.format(STORY)) == STORY
+
+
 def test_pages_drop_articles_of_readers_behind_the_text():
     reader = f'<section id="comments"><article class="comment"><p>{STORY}</p></article></section>'
     assert pages.main_text(f"<main><p>{STORY * 2}</p>{reader}</main>") == STORY * 2
