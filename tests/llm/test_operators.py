@@ -261,6 +261,23 @@ def test_licences(spark):
     assert got[3]["digest"] is None and got[4]["digest"] is None
 
 
+def test_licences_of_the_common_list(spark):
+    whole = {n: (licences._TEXTS / f"{n}.txt").read_text() for n in ("BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0",
+             "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "Unlicense", "CC0-1.0", "Zlib", "CC-BY-4.0")}
+    whole["Apache-2.0"] = whole["Apache-2.0"].split("APPENDIX")[0].replace("http:", "https:")
+    whole["BSD-3-Clause"] = "BSD 3-Clause License\n\nCopyright (c) 2020 A\n\n" + whole["BSD-3-Clause"].upper()
+    notices = {
+        "Licensed under the BSD 3-Clause License.": "BSD-3-Clause", "Licensed under CC BY 4.0 International": "CC-BY-4.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "# SPDX-License-Identifier: AGPL-3.0-or-later": "AGPL-3.0-or-later", "Released under the Mozilla Public Licence, v. 2.0": "MPL-2.0",
+        "This program is licensed under the GNU General Public License, version 3.": "GPL-3.0", "The MIT": None,
+    }
+    frame = spark.createDataFrame([*whole.items(), *[(n, f"a\n{n}\nb") for n in notices]], "doc_id string, text string")
+    got = {r["doc_id"]: r for r in licences.licence_scan(frame, licences.known_digests(spark)).collect()}
+    assert {n: got[n]["licence"] for n in whole} == {n: n for n in whole}
+    assert {n: got[n]["notices"] for n in notices} == {n: [name] if name else [] for n, name in notices.items()}
+
+
 PAGE = """<html><head><title>T</title><script>var a="<p>no</p>"</script></head><body><nav><a href=x>Menu</a></nav>
 <div class="cookie-notice">We use cookies</div><main><header><h1>Head&amp;line</h1></header>
 <p>The <b>first</b> par&shy;agraph of the&nbsp;text,<br>which is long enough to be text by itself, and more.
