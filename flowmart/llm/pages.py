@@ -6,7 +6,8 @@ are blocks that are mostly links or short ones that state a copyright (what a cl
 or main, reader comments and related articles behind the text excepted); long blocks with many stop words are text; the rest is left open,
 as short blocks are. On a page that marks its article, what is outside is boilerplate and every block inside that is long
 enough is text, whatever its stop words. The second pass gives open blocks the label of their nearest decided neighbours:
-text if both sides (or the only side) are text, by stop words if they differ; headings follow the block after them.
+text if both sides (or the only side) are text, by stop words if they differ; headings follow the block after them. Where
+the stop words of the language are not known, length and the share of links decide alone.
 
 Scripts, styles, comments and the elements of the head never become blocks; the end tag of the head may be missing. Character references are decoded, white space inside a block
 becomes one space, blocks are joined by an empty line in page order. NULL pages count as empty, their text is empty.
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowmart.llm.quality import STOP_WORDS
+from flowmart.llm.quality import LATIN, OTHER_LETTERS, OTHER_STOP_WORDS, OWN_LATIN, STOP_WORDS
 
 SHORT = 70
 LONG = 200
@@ -63,6 +64,10 @@ _BEHIND = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|replies|respond|repl
 _SPACE = re.compile(r"\s+")
 _COPYRIGHT = re.compile(r"^\s*(?:©|\(c\)|copyright\b)", re.I)
 _STOPS = frozenset(STOP_WORDS)
+_OTHER_STOPS = frozenset(OTHER_STOP_WORDS)
+_LETTER = re.compile(r"[^\W\d_]")
+_LATIN_LETTER = re.compile(f"[{LATIN}]")
+_OTHER_LETTER = re.compile(f"(?![{OWN_LATIN}])[{LATIN}]")
 
 
 @dataclass
@@ -76,6 +81,7 @@ class Block:
     linked: int = 0
     text: str = ""
     good: bool | None = None
+    foreign: bool = False  # in a language whose stop words are not known
 
 
 def _hints(value: str) -> str:
@@ -197,9 +203,28 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def _stop_density(text: str) -> float:
+def _stop_density(text: str, stops: frozenset[str] = _STOPS) -> float:
     words = [w.strip(".,;:!?\"'()#*$%&|<>") for w in text.lower().split()]
-    return sum(w in _STOPS for w in words) / len(words) if words else 0.0
+    return sum(w in stops for w in words) / len(words) if words else 0.0
+
+
+def _foreign(text: str) -> bool:
+    """Mostly in another script, with letters of other alphabets, or with more function words of other languages."""
+    density = _stop_density(text)
+    if density >= STOP_LOW:
+        return False
+    latin = len(_LATIN_LETTER.findall(text))
+    if len(_LETTER.findall(text)) > 2 * latin or len(_OTHER_LETTER.findall(text)) > OTHER_LETTERS * latin:
+        return True
+    return _stop_density(text, _OTHER_STOPS) > max(density, STOP_LOW / 2)
+
+
+def _mark_foreign(found: list[Block]) -> None:
+    """A block is foreign by itself, or as a part of a page that is."""
+    open_ = [b for b in found if not b.side and b.linked <= LINK_DENSITY * len(b.text)]
+    page = _foreign(" ".join(b.text for b in open_))
+    for block in open_:
+        block.foreign = (page and _stop_density(block.text) < STOP_LOW) or _foreign(block.text)
 
 
 def _first_pass(block: Block, marked: bool) -> bool | None:
@@ -213,6 +238,8 @@ def _first_pass(block: Block, marked: bool) -> bool | None:
         return None
     if marked:
         return True
+    if block.foreign:
+        return True if len(block.text) >= LONG else None
     density = _stop_density(block.text)
     if len(block.text) >= LONG and density >= STOP_LOW or density >= STOP_HIGH:
         return True
@@ -223,6 +250,8 @@ def main_text(page: str) -> str:
     """The text blocks of a page, joined by an empty line."""
     found = blocks(page)
     marked = any(b.article and not b.side for b in found)
+    if not marked:
+        _mark_foreign(found)
     for block in found:
         block.good = _first_pass(block, marked)
     labels = [b.good for b in found]
@@ -242,11 +271,11 @@ def main_text(page: str) -> str:
             continue
         sides = [x for x in ((after[k],) if block.heading and after[k] is not None else (before[k], after[k])) if x is not None]
         if not sides:
-            block.good = marked or _stop_density(block.text) >= STOP_LOW
+            block.good = marked or _stop_density(block.text) >= STOP_LOW or block.foreign and len(block.text) >= SHORT
         elif len(set(sides)) == 1:
             block.good = sides[0]
         else:
-            block.good = marked or _stop_density(block.text) >= STOP_HIGH
+            block.good = marked or _stop_density(block.text) >= STOP_HIGH or block.foreign and len(block.text) >= SHORT
     return "\n\n".join(b.text for b in found if b.good)
 
 

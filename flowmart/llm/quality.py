@@ -3,6 +3,9 @@
 Each rule bounds a ratio of counts that the projection takes from the whole text. NULL and empty texts have no words
 and fail the base rule; repeated rows are judged alike; an empty table gives an empty result. Columns of the input other
 than those asked for are never read, so extra columns cannot clash.
+
+The rule of stop words asks for those of four languages, so it rejects only where one of them may be meant: not a text that
+is mostly in another script, has letters of other alphabets, or has function words of other languages.
 """
 
 from __future__ import annotations
@@ -25,6 +28,36 @@ STOP_WORDS = (
     "der die und den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an aus er "
     "el y los del las una con no su para al lo como más pero sus o este sí porque"
 ).split()
+# Frequent function words of other languages in Latin script, two letters at least.
+OTHER_STOP_WORDS = (
+    "di che il per non della sono gli alla dei nel anche delle questo ma come ha si "  # Italian
+    "não uma os em do da dos das mais foi ao pelo são também seu sua ou "  # Portuguese, Galician
+    "het een van dat op te niet zijn met voor er maar om ook aan bij naar dit wordt wat "  # Dutch, Afrikaans
+    "och att som på är av för det inte jag han till har ett men om vi kan från den de "  # Swedish
+    "og er til af ikke jeg på med det som at vi kan skal var ved fra eller et hun "  # Danish, Norwegian
+    "ja on ei että oli hän se mutta kuin niin myös ovat joka kun tai olla "  # Finnish
+    "ning see oma kui ka siis aga mis "  # Estonian
+    "nie się na jest że do jak ale po tak jego przez od być czy tym który dla oraz "  # Polish
+    "je na se že to jako by ale si za nebo pro jsou který jeho které byl ve po aby ako som sa pre sú "  # Czech, Slovak
+    "je da na su se za od ne kao koji bio ili ali što iz bi pri tudi ki so "  # Croatian, Bosnian, Serbian, Slovene
+    "és hogy nem is az egy ez meg volt csak van mint de már ki még vagy "  # Hungarian
+    "și să nu în cu pe din este care mai sunt ce sau fost au dar "  # Romanian
+    "ve bir bu da ne için ile de çok gibi daha ama olarak olan kadar ise "  # Turkish, Azeri
+    "yang dan di itu dengan untuk tidak ini dari dalam akan pada juga saya ke oleh adalah ada "  # Indonesian, Malay
+    "là và của có không một được cho các người này trong những với "  # Vietnamese
+    "els amb per és dels del va com més són "  # Catalan
+    "ir kad tai yra su kaip bet iš buvo un ka ar par bija no uz kas "  # Lithuanian, Latvian
+    "na ya wa kwa ni za katika la kuwa cha hii "  # Swahili
+    "ang ng sa mga na ay hindi ito siya kung "  # Tagalog
+    "yn mae ar ac wedi bod gan am yr agus an na ar ag bhí sé go "  # Welsh, Irish
+    "dhe të në që një për me nuk është eta da ez bat ere dira zen "  # Albanian, Basque
+    "et non ad cum sed est ut quod qui ex kaj la estas ne al por "  # Latin, Esperanto
+).split()
+# The letters of Latin script, and those of them that English, French, German and Spanish write with.
+LATIN = "A-Za-zªºÀ-ÖØ-öø-ʯḀ-ỿⱠ-Ɀ꜠-ꟿﬀ-ﬆＡ-Ｚａ-ｚ"
+OWN_LATIN = "A-Za-zªºÀÁÂÄÆÇÈÉÊËÍÎÏÑÓÔÖÙÚÛÜàáâäæçèéêëíîïñóôöùúûüÿßœŒŸẞﬀ-ﬆ"
+OTHER_LETTERS = 0.01
+STOP_WORD_RATIO = "stop_word_ratio"
 
 
 @dataclass(frozen=True)
@@ -41,7 +74,7 @@ class Rule:
 RULES = (
     Rule("mean_word_length", "word_chars", "n_words", 2.0, 15.0),
     Rule("symbol_ratio", "n_symbols", "n_words", high=0.1),
-    Rule("stop_word_ratio", "n_stop_words", "n_words", low=0.04),
+    Rule(STOP_WORD_RATIO, "n_stop_words", "n_words", low=0.04),
     Rule("letter_word_ratio", "n_letter_words", "n_words", low=0.7),
     Rule("dup_line_ratio", "n_dup_lines", "n_lines", high=0.3),
     Rule("ellipsis_line_ratio", "n_ellipsis_lines", "n_lines", high=0.3),
@@ -87,9 +120,22 @@ def _removed(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
 
+def _other_language(text: Column, tokens: Column, low: float) -> Column:
+    """Whether a text with few stop words is likely to be in a language that STOP_WORDS does not hold."""
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
+    latin = count(f"[{LATIN}]")
+    script = count(r"\p{L}") > 2 * latin
+    alphabet = count(f"[{LATIN}&&[^{OWN_LATIN}]]") > latin * F.lit(OTHER_LETTERS)
+    known = F.filter(tokens, lambda w: _bare(w).isin([*STOP_WORDS, *OTHER_STOP_WORDS]))
+    return script | alphabet | (F.size(known) >= F.size(tokens) * F.lit(low))
+
+
+def _bare(word: Column) -> Column:
+    return F.lower(F.btrim(word, F.lit(".,;:!?\"'()")))
+
+
 def _counts(text: Column, tokens: Column) -> dict[str, Column]:
     lines = F.filter(F.split(text, "\n"), lambda line: _removed(line, WHITE) != "")
-    bare = lambda w: F.lower(F.btrim(w, F.lit(".,;:!?\"'()")))
     count = lambda array: F.size(array).cast("bigint")
     return {
         "n_words": count(tokens),
@@ -99,16 +145,19 @@ def _counts(text: Column, tokens: Column) -> dict[str, Column]:
         "n_dup_lines": let(lines, lambda a: count(a) - count(F.array_distinct(a))),
         "n_ellipsis_lines": count(F.filter(lines, lambda line: line.endswith("...") | line.endswith("…"))),
         "n_repeat_words": repeat_words(tokens),
-        "n_stop_words": count(F.filter(tokens, lambda w: bare(w).isin(STOP_WORDS))),
+        "n_stop_words": count(F.filter(tokens, lambda w: _bare(w).isin(STOP_WORDS))),
         "n_letter_words": count(F.filter(tokens, lambda w: w.rlike(r"\p{L}"))),
     }
 
 
 def _passes(rule: Rule) -> Column:
-    """Compares products, not quotients, so that nothing is divided and thresholds are met exactly."""
+    """Compares products, not quotients, so that nothing is divided and thresholds are met exactly. Few stop words are
+    looked at more closely, in the few texts that have so few."""
     above, below = F.col(rule.numerator).cast("double"), F.col(rule.denominator).cast("double")
     low = F.lit(True) if rule.low is None else above >= below * F.lit(rule.low)
     high = F.lit(True) if rule.high is None else above <= below * F.lit(rule.high)
+    if rule.name == STOP_WORD_RATIO:
+        return F.when(low, high).otherwise(high & _other_language(F.col("_text"), words(F.col("_text")), rule.low))
     return low & high
 
 
@@ -118,14 +167,14 @@ def judged(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rules: tuple[Ru
     given = F.struct(*[F.col(c) for c in keep]).alias("_given")
     text = docs.select(given, F.coalesce(F.col("text"), F.lit("")).alias("_text"))
     split = text.select("_given", "_text", words(F.col("_text")).alias("_words"))
-    counted = split.select("_given", *[c.alias(n) for n, c in _counts(F.col("_text"), F.col("_words")).items()])
+    counted = split.select("_given", "_text", *[c.alias(n) for n, c in _counts(F.col("_text"), F.col("_words")).items()])
     failed = F.array(*[F.when(~_passes(rule), F.lit(rule.name)) for rule in rules]) if rules else F.array()
     base = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
     )
     ruled = counted.withColumns(
         {"base_failed": base, "failed_rules": F.filter(failed.cast("array<string>"), lambda n: n.isNotNull())}
-    )
+    ).drop("_text")
     return ruled.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
 
 

@@ -117,6 +117,37 @@ def test_quality_rule_bounds(spark):
     assert quality.judged(frame, rules=strict).first()["failed_rules"] == ["stop"]
 
 
+OTHER_LANGUAGES = {
+    "ru": "Утром старый рыбак вышел к реке и долго смотрел на воду, потому что за ночь она поднялась почти до самого моста. "
+    "Потом он вернулся домой, разбудил внука и сказал, что сегодня они никуда не поплывут, а будут чинить сети.",
+    "el": "Το πρωί ο γέρος ψαράς πήγε στο ποτάμι και κοίταξε πολλή ώρα το νερό, γιατί τη νύχτα είχε φτάσει σχεδόν ως τη γέφυρα. "
+    "Ύστερα γύρισε στο σπίτι και είπε στον εγγονό του πως σήμερα θα έμεναν εκεί για να φτιάξουν τα δίχτυα.",
+    "ko": "아침에 늙은 어부는 강가로 나가 오랫동안 물을 바라보았다 밤사이에 물이 거의 다리까지 차올랐기 때문이다 그는 집으로 돌아와 "
+    "손자를 깨우고 오늘은 배를 타지 않고 집에서 그물을 고치겠다고 말했다 손자는 기뻐하며 따뜻한 차를 끓였다.",
+    "pl": "Rano stary rybak wyszedł nad rzekę i długo patrzył na wodę, bo przez noc podniosła się prawie pod sam most. Potem wrócił "
+    "do domu, obudził wnuka i powiedział, że dzisiaj nigdzie nie popłyną, tylko będą naprawiać sieci.",
+    "fi": "Aamulla vanha kalastaja meni joelle ja katsoi kauan vettä, koska se oli yöllä noussut melkein sillalle. Sitten hän palasi "
+    "kotiin, herätti pojan ja sanoi, että tänään ei lähdetä minnekään, vaan korjataan verkot ja juodaan kahvia.",
+}
+
+
+def test_quality_keeps_other_languages(spark):
+    # In reverse the words make up for the length that the base rule asks for, without repeated passages.
+    made = [(k, t + " " + " ".join(reversed(t.split()))) for k, t in OTHER_LANGUAGES.items()]
+    made.append(("junk", _passage(31, 90)))
+    frame = spark.createDataFrame(made, "doc_id string, text string")
+    got = {r["_given"]["doc_id"]: r for r in quality.judged(frame).collect()}
+    assert {k for k, r in got.items() if not r["failed_rules"]} == set(OTHER_LANGUAGES) == {k for k, r in got.items() if r["kept"]}
+    assert got["junk"]["failed_rules"] == ["stop_word_ratio"]
+
+
+@pytest.mark.parametrize("language", OTHER_LANGUAGES)
+def test_pages_in_other_languages(language):
+    text = OTHER_LANGUAGES[language]
+    page = f"<div><a href=1>{text[:90]}</a></div><div>{text * 2}</div><div>{text[:100]}</div><div>{text * 2}</div><div>&copy; 2024</div>"
+    assert pages.main_text(page) == "\n\n".join([text * 2, text[:100].strip(), text * 2])
+
+
 def test_packing_is_whole_and_full(docs, texts):
     from tokenizers import Tokenizer
 
