@@ -58,6 +58,8 @@ LATIN = "A-Za-zªºÀ-ÖØ-öø-ʯḀ-ỿⱠ-Ɀ꜠-ꟿﬀ-ﬆＡ-Ｚａ-ｚ"
 OWN_LATIN = "A-Za-zªºÀÁÂÄÆÇÈÉÊËÍÎÏÑÓÔÖÙÚÛÜàáâäæçèéêëíîïñóôöùúûüÿßœŒŸẞﬀ-ﬆ"
 OTHER_LETTERS = 0.01
 STOP_WORD_RATIO = "stop_word_ratio"
+DUP_LINE_RATIO = "dup_line_ratio"
+DUP_CHARACTERS = 0.2  # share of the characters of all lines that duplicate lines hold
 
 
 @dataclass(frozen=True)
@@ -76,7 +78,7 @@ RULES = (
     Rule("symbol_ratio", "n_symbols", "n_words", high=0.1),
     Rule(STOP_WORD_RATIO, "n_stop_words", "n_words", low=0.04),
     Rule("letter_word_ratio", "n_letter_words", "n_words", low=0.7),
-    Rule("dup_line_ratio", "n_dup_lines", "n_lines", high=0.3),
+    Rule(DUP_LINE_RATIO, "n_dup_lines", "n_lines", high=0.3),
     Rule("ellipsis_line_ratio", "n_ellipsis_lines", "n_lines", high=0.3),
 )
 
@@ -134,8 +136,19 @@ def _bare(word: Column) -> Column:
     return F.lower(F.btrim(word, F.lit(".,;:!?\"'()")))
 
 
+def _lines(text: Column) -> Column:
+    return F.filter(F.split(text, "\n"), lambda line: _removed(line, WHITE) != "")
+
+
+def _light_duplicates(text: Column) -> Column:
+    """Whether duplicate lines hold no more than a small share of the characters of all lines."""
+    length = lambda lines: F.aggregate(lines, F.lit(0).cast("bigint"), lambda n, line: n + F.length(line))
+    light = lambda a: length(a) - length(F.array_distinct(a)) <= length(a) * F.lit(DUP_CHARACTERS)
+    return let(_lines(text), light)
+
+
 def _counts(text: Column, tokens: Column) -> dict[str, Column]:
-    lines = F.filter(F.split(text, "\n"), lambda line: _removed(line, WHITE) != "")
+    lines = _lines(text)
     count = lambda array: F.size(array).cast("bigint")
     return {
         "n_words": count(tokens),
@@ -150,7 +163,7 @@ def _counts(text: Column, tokens: Column) -> dict[str, Column]:
     }
 
 
-def _passes(rule: Rule) -> Column:
+def _passes(rule: Rule, weighed: bool) -> Column:
     """Compares products, not quotients, so that nothing is divided and thresholds are met exactly. Few stop words are
     looked at more closely, in the few texts that have so few."""
     above, below = F.col(rule.numerator).cast("double"), F.col(rule.denominator).cast("double")
@@ -158,17 +171,24 @@ def _passes(rule: Rule) -> Column:
     high = F.lit(True) if rule.high is None else above <= below * F.lit(rule.high)
     if rule.name == STOP_WORD_RATIO:
         return F.when(low, high).otherwise(high & _other_language(F.col("_text"), words(F.col("_text")), rule.low))
+    if weighed and rule.name == DUP_LINE_RATIO:
+        return F.when(high, low).otherwise(low & _light_duplicates(F.col("_text")))
     return low & high
 
 
-def judged(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The columns `keep` with all counts, base_failed, failed_rules (names, in order of the table) and kept."""
+def judged(
+    docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rules: tuple[Rule, ...] = RULES, weighed: bool = False
+) -> DataFrame:
+    """The columns `keep` with all counts, base_failed, failed_rules (names, in order of the table) and kept.
+
+    weighed: duplicate lines fail a text only if they also hold a share of its characters.
+    """
     # Kept columns go into one struct, so that a column of the input named like a count cannot clash.
     given = F.struct(*[F.col(c) for c in keep]).alias("_given")
     text = docs.select(given, F.coalesce(F.col("text"), F.lit("")).alias("_text"))
     split = text.select("_given", "_text", words(F.col("_text")).alias("_words"))
     counted = split.select("_given", "_text", *[c.alias(n) for n, c in _counts(F.col("_text"), F.col("_words")).items()])
-    failed = F.array(*[F.when(~_passes(rule), F.lit(rule.name)) for rule in rules]) if rules else F.array()
+    failed = F.array(*[F.when(~_passes(rule, weighed), F.lit(rule.name)) for rule in rules]) if rules else F.array()
     base = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
     )
@@ -185,5 +205,6 @@ def quality_table(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all their columns, that pass the base rule and every rule of the table."""
-    return judged(docs, tuple(docs.columns)).where("kept").select("_given.*")
+    """The rows of docs, all their columns, that pass the base rule and every rule of the table. Duplicate lines are
+    weighed here; the table of verdicts counts them without weight, as its SQL states."""
+    return judged(docs, tuple(docs.columns), weighed=True).where("kept").select("_given.*")

@@ -117,6 +117,17 @@ def test_quality_rule_bounds(spark):
     assert quality.judged(frame, rules=strict).first()["failed_rules"] == ["stop"]
 
 
+def test_quality_keeps_texts_with_a_short_repeated_line(spark):
+    line, text = "A heading of a few words", "the " + _passage(32, 80) + " and the " + _passage(33, 20) + " of the"
+    text = text.replace(" w1", " of w1").replace(" w2", " in w2")
+    made = [(1, f"{line}\n{text}\n{line}"), (2, f"{text}\n" + f"{line}, {line[2:]}\n" * 12), (3, f"{text}\n{line}")]
+    frame = spark.createDataFrame(made, "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in quality.kept_documents(frame).collect()) == [1, 3]
+    rules = [r for r in quality.RULES if r.name == "dup_line_ratio"]
+    got = {r["_given"]["doc_id"]: (r["n_dup_lines"], r["failed_rules"]) for r in quality.judged(frame, rules=rules, weighed=True).collect()}
+    assert got == {1: (1, []), 2: (11, ["dup_line_ratio"]), 3: (0, [])}
+
+
 OTHER_LANGUAGES = {
     "ru": "Утром старый рыбак вышел к реке и долго смотрел на воду, потому что за ночь она поднялась почти до самого моста. "
     "Потом он вернулся домой, разбудил внука и сказал, что сегодня они никуда не поплывут, а будут чинить сети.",
