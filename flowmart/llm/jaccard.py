@@ -431,7 +431,8 @@ def joined_sets(sets: DataFrame) -> DataFrame:
 
 
 def similarity_classes(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, key, n_shingles, component_id (the smallest doc_id of all linked documents)."""
+    """One row per document: doc_id, key, n_shingles, component_id (the smallest doc_id of all linked documents) and label,
+    which all linked documents share, with ids or without; NULL for empty sets."""
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), row_key(F.col("text")).alias("key"), F.col("text")
     )
@@ -449,18 +450,23 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     labels = joined_sets(sets)
     labelled = reps.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     smallest = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    classes = written(labelled.join(smallest, "label").select(*set_key, "component_id"), "classes")
+    classes = written(labelled.join(smallest, "label").select(*set_key, "component_id", "label"), "classes")
     return (
         named.join(classes, set_key, "left")
-        .select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        .select(
+            "doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "label"
+        )
     )
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all their columns, with one document left of each component: that with the smallest doc_id, and
-    one of rows with equal doc_id and text. Documents without an id stay when nothing they link with has one."""
-    classes = similarity_classes(docs)
-    chosen = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "key").count()
+    """The rows of docs, all their columns, with one document left of each component: that with the smallest doc_id, ids
+    before none, of equal ones that with the least key, and one of rows with equal doc_id and text."""
+    each = similarity_classes(docs).groupBy("label", "doc_id", "key").count()
+    # An empty set is linked with nothing.
+    alone = F.when(F.col("label").isNull(), F.struct("doc_id", "key")).alias("alone")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "count")).alias("first")
+    chosen = each.groupBy("label", alone).agg(first).select("first.doc_id", "first.key", "first.count")
     chosen = written(chosen, "chosen")
     given = docs.select(F.struct(*docs.columns).alias("_given"), F.col("doc_id"), row_key(F.col("text")).alias("_key"))
     same = given["doc_id"].eqNullSafe(chosen["doc_id"]) & (given["_key"] == chosen["key"])

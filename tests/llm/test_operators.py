@@ -87,6 +87,19 @@ def test_jaccard_keeps_one_of_each_component(docs, texts):
     assert {r["doc_id"] for r in jaccard.deduplicated(docs).collect()} == want
 
 
+def test_jaccard_keeps_one_text_of_clashing_or_missing_ids(spark):
+    def near(seed, k):
+        w = _passage(seed, 120).split()
+        w[k] = "other"
+        return " ".join(w)
+
+    made = [(7, near(40, 3)), (7, near(40, 90)), (8, near(40, 60)), (None, near(41, 3)), (None, near(41, 90)), (None, near(42, 5)),
+            (9, near(42, 50)), (5, near(43, 1)), (5, near(43, 1)), (None, None), (None, " "), (3, "")]
+    frame = spark.createDataFrame(made, "doc_id bigint, text string")
+    got = sorted(((r["doc_id"], (r["text"] or "")[:1]) for r in jaccard.deduplicated(frame).collect()), key=repr)
+    assert [d for d, t in got if t.strip()] == [5, 7, 9, None] and [d for d, t in got if not t.strip()] == [3, None, None]
+
+
 def test_jaccard_links_of_frequent_tokens(spark, monkeypatch):
     """With every token frequent, combinations alone have to find the links."""
     monkeypatch.setattr(jaccard, "RARE", 0)
