@@ -205,6 +205,19 @@ def test_packing_over_many_partitions(spark, monkeypatch):
     assert max(loads.values()) <= 100
 
 
+def test_packing_cap_costs_no_sequences(spark, monkeypatch):
+    monkeypatch.setattr(packing, "_ROWS_A_PARTITION", 20)
+    frame = spark.createDataFrame([(k, "word " * (37 * k % 1500)) for k in range(400)], "doc_id bigint, text string")
+    made = {}
+    for carry in (3, packing.CARRY):
+        monkeypatch.setattr(packing, "CARRY", carry)
+        got = packing.packed(frame, tokenizer_path()).select("sequence_id", "length").collect()
+        made[carry] = len({r["sequence_id"] for r in got})
+    least = len(packing.best_fit(sorted((r["length"] for r in got), reverse=True), packing.SEQUENCE))
+    # Partitions of 20 pieces, a thousandth of the usual ones, pack a little less well than one.
+    assert len(set(made.values())) == 1 and least <= made[3] <= 1.03 * least
+
+
 def test_best_fit_takes_the_fullest_bin_with_room():
     assert packing.best_fit([6, 5, 4, 3, 2], 10) == [[0, 2], [1, 3, 4]]
 
