@@ -57,4 +57,32 @@ SELECT doc_id, CASE WHEN w.c <> '' THEN sha256(w.c) END AS digest, licence, coal
 FROM whole w LEFT JOIN known USING (c) LEFT JOIN found USING (r)"""
 
 
-ORACLE: dict[str, str] = {"op2_quality_rules": _quality(), "op9_license_scans": _licences()}
+def _lines() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""WITH texts AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT r, doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM texts),
+keyed AS (SELECT *, translate(trim(l, {_WHITE}), '{upper}', '{lower}') AS key FROM lines),
+repeated AS (SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+marked AS (SELECT r, doc_id, l, i, coalesce(doc_id <> first, false) AS gone FROM keyed LEFT JOIN repeated USING (key))
+SELECT min(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r"""
+
+
+_NEGATIVES = """WITH sound AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+    CAST(list_inner_product(a.q, c.q) AS bigint) AS score
+  FROM sound a JOIN sound c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS integer) AS rank, s.id AS negative_id, positive_score,
+  s.score AS negative_score
+FROM positives p JOIN scored s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER best <= 3"""
+
+ORACLE: dict[str, str] = {"op11_line_dedup": _lines(), "op12_hard_negatives": _NEGATIVES, "op2_quality_rules": _quality(), "op9_license_scans": _licences()}

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowmart.llm import (
+    alignment,
     fingerprints,
     grading,
     jaccard,
     languages,
     licences,
+    lines,
     mixing,
+    negatives,
     packing,
     pages,
     quality,
@@ -19,10 +23,10 @@ from flowmart.llm import (
 from flowmart.llm.common import table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,6 +74,21 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extracted(table(spark, folder, "pages"))
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.line_table(table(spark, folder, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    rows = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"), moved)
+    return negatives.mined(rows, F.col("vec_id") % 50 == 0)
+
+
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.aligned_documents(table(spark, folder, "documents"), *paths)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,5 +102,8 @@ QUERIES = {
         op8_language_id,
         op9_license_scans,
         op10_html_extraction,
+        op11_line_dedup,
+        op12_hard_negatives,
+        op13_tokenizer_alignment,
     )
 }
