@@ -29,6 +29,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,9 @@ from flowmart.llm.tokens import _byte_letters
 SHARDS = 1024
 SLICE = 1 << 21
 FAN = 64
-_FLUSH = 1 << 17  # different units of a flush
-_HELD = 1 << 21  # units of a flush
+_FLUSH = 1 << 18  # different units of a flush
+_HELD = 1 << 22  # units of a flush
+_TOGETHER = 256  # units that are encoded as one text
 _UNSAFE = re.compile(r"\s | \s|^\s|\s\Z")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _LOW = np.int64((1 << 32) - 1)
@@ -123,28 +125,56 @@ class Aligned:
     groups: list[str] | None
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.array([len(x) for x in lists], np.int64)
-    return np.array([k for x in lists for k in x], np.int64), counts
+def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Neighbouring texts that may stand in one text: (first, last) places. A unit that begins or ends with more white
+    space than its first blank stands alone."""
+    first = 0
+    for k, text in enumerate(texts):
+        alone = text[1:2].isspace() or text[-1].isspace()
+        if alone or k - first == _TOGETHER:
+            if first < k:
+                yield first, k
+            first = k
+        if alone:
+            yield k, k + 1
+            first = k + 1
+    if first < len(texts):
+        yield first, len(texts)
+
+
+def _encoded(texts: list[str], whole: list[bytes], tokenizers: Tokenizers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of A and of B for all texts behind each other, and which texts are given back; the others have no ids. Units are
+    encoded many at a time, as neither tokenizer has tokens across their ends."""
+    sound = np.ones(len(texts), bool)
+
+    def ids(places: list[tuple[int, int]]) -> Iterator[tuple[list[int], list[int]]]:
+        pairs = tokenizers.encoded(["".join(texts[x:y]) for x, y in places])
+        for (x, y), a, b in zip(places, *pairs, strict=True):
+            given = b"".join(whole[x:y])
+            if all(b"".join(map(table.__getitem__, own)) == given for own, table in ((a, tokenizers.bytes_a), (b, tokenizers.bytes_b))):
+                yield a, b
+            elif y - x > 1:
+                yield from ids([(k, k + 1) for k in range(x, y)])
+            else:
+                sound[x] = False
+
+    found = list(ids(list(_chunks(texts))))
+    flat = [np.fromiter(chain.from_iterable(own[side] for own in found), np.int64) for side in (0, 1)]
+    return *flat, sound
 
 
 def aligned(texts: list[str], tokenizers: Tokenizers, named: bool) -> Aligned:
     """The alignment of each text, `named` with its groups spelled out."""
-    a, b = tokenizers.encoded(texts)
     whole = [text.encode() for text in texts]
-    back_a = [b"".join(map(tokenizers.bytes_a.__getitem__, x)) for x in a]
-    back_b = [b"".join(map(tokenizers.bytes_b.__getitem__, x)) for x in b]
-    sound = np.array([x == y == z for x, y, z in zip(whole, back_a, back_b, strict=True)], bool)
-    a, b = ([x if good else [] for x, good in zip(ids, sound, strict=True)] for ids in (a, b))
-    ids_a, n_a = _flat(a)
-    ids_b, n_b = _flat(b)
+    ids_a, ids_b, sound = _encoded(texts, whole, tokenizers)
     # All units stand behind each other on one line of bytes; unit ends are ends of tokens of both.
     end_a, end_b = np.cumsum(tokenizers.length_a[ids_a]), np.cumsum(tokenizers.length_b[ids_b])
     start_a, start_b = end_a - tokenizers.length_a[ids_a], end_b - tokenizers.length_b[ids_b]
     common = np.intersect1d(end_a, end_b, assume_unique=True)
     sizes = np.array([len(x) for x in whole], np.int64) * sound
     ends = np.cumsum(sizes)
-    n_groups = np.searchsorted(common, ends, "right") - np.searchsorted(common, ends - sizes, "right")
+    within = lambda marks: np.searchsorted(marks, ends, "right") - np.searchsorted(marks, ends - sizes, "right")
+    n_a, n_b, n_groups = within(end_a), within(end_b), within(common)
     first = np.searchsorted(end_b, start_a, "right")
     times = np.searchsorted(start_b, end_a, "left") - first
     at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)

@@ -279,6 +279,17 @@ def test_units_cut_like_the_whole():
             assert [k for x in parts_b for k in x] == whole_b[0]
 
 
+def test_many_units_at_once_align_like_each_alone(monkeypatch):
+    tokenizers = alignment.Tokenizers.at(*PATHS)
+    texts = list(dict.fromkeys(unit for _, text in _aligned_docs() if text for unit in alignment.units(text)))
+    together = alignment.aligned(texts, tokenizers, named=True)
+    monkeypatch.setattr(alignment, "_TOGETHER", 1)
+    alone = alignment.aligned(texts, tokenizers, named=True)
+    assert not alone.sound.all() and together.groups == alone.groups
+    for name in ("sound", "n_a", "n_b", "n_groups", "n_links", "pairs"):
+        assert (getattr(together, name) == getattr(alone, name)).all()
+
+
 def test_numbering_is_minimal_and_perfect():
     keys = np.unique(np.random.default_rng(2).integers(0, 1 << 50, 20_000))
     numbering = alignment.Numbering.of(keys)
