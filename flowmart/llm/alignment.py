@@ -49,6 +49,9 @@ _TOGETHER = 256  # units that are encoded as one text
 _UNSAFE = re.compile(r"\s | \s|^\s|\s\Z")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _LOW = np.int64((1 << 32) - 1)
+# Fixed value: the pattern of words of byte-level BPE files that have no pattern of their own.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_RANKED = 1 << 16  # longer texts go to the first library, whose time does not grow with the square of a word's length
 
 _PACK = "shard int, flush bigint, pairs binary, counts binary"
 _COUNTED = "shard int, n bigint, levels array<binary>, pairs binary, counts binary, best binary"
@@ -81,6 +84,7 @@ class Tokenizers:
         import json
 
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self._a = Tokenizer.from_file(path_a)
@@ -91,11 +95,19 @@ class Tokenizers:
         if described["normalizer"] or cutter.get("type") != "ByteLevel" or cutter.get("add_prefix_space") or not cutter["use_regex"]:
             raise ValueError(f"{path_a} does not cut words as a byte-level BPE does")
         byte = {letter: b for b, letter in _byte_letters().items()}
-        vocabulary = self._a.get_vocab()
+        vocabulary = described["model"]["vocab"] | {t["content"]: t["id"] for t in described["added_tokens"]}
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, k in vocabulary.items():
             self.bytes_a[k] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
 
+        # Where bytes come first and ids stand in the order of merges, as is usual, ids are ranks, and a library that only
+        # needs ranks gives the same ids in a quarter of the time.
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in described["model"]["merges"]]
+        self._ranked = None
+        if all(vocabulary[token] == 256 + k for k, token in enumerate(merged)) and {len(x) for x in self.bytes_a[:256]} == {1}:
+            ranks = {self.bytes_a[k]: k for k in range(256 + len(merged))}
+            self._ranked = tiktoken.Encoding("a", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
+
         self._b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self._b.id_to_piece(k) for k in range(self._b.get_piece_size())]
         if any("▁" in piece.lstrip("▁") for piece in pieces) or "".join(self._b.encode(" a  b ", out_type=str)) != "▁▁a▁▁b▁":
@@ -108,7 +120,10 @@ class Tokenizers:
 
     def encoded(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both for texts that begin with a space (B adds its own)."""
-        a = [code.ids for code in self._a.encode_batch_fast(texts, add_special_tokens=False)]
+        if self._ranked and max(map(len, texts), default=0) <= _RANKED:
+            a = [self._ranked.encode_ordinary(text) for text in texts]
+        else:
+            a = [code.ids for code in self._a.encode_batch_fast(texts, add_special_tokens=False)]
         return a, self._b.encode([text[1:] for text in texts], num_threads=1)
 
 

@@ -279,6 +279,17 @@ def test_units_cut_like_the_whole():
             assert [k for x in parts_b for k in x] == whole_b[0]
 
 
+def test_ranks_give_the_ids_of_the_file(spark):
+    tokenizers = alignment.Tokenizers.at(*PATHS)
+    assert tokenizers._ranked is not None
+    texts = [f" {r['text']}" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect() if r["text"]]
+    texts += [" " + text for _, text in _aligned_docs() if text]
+    texts = [text for text in texts if len(text) <= alignment._RANKED]
+    a = Tokenizer.from_file(PATHS[0])
+    a.encode_special_tokens = True
+    assert tokenizers.encoded(texts)[0] == [code.ids for code in a.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_many_units_at_once_align_like_each_alone(monkeypatch):
     tokenizers = alignment.Tokenizers.at(*PATHS)
     texts = list(dict.fromkeys(unit for _, text in _aligned_docs() if text for unit in alignment.units(text)))
