@@ -33,6 +33,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,10 +44,12 @@ from flowmart.llm.tokens import _byte_letters
 SHARDS = 1024
 SLICE = 1 << 21
 FAN = 64
-_FLUSH = 1 << 18  # different units of a flush
-_HELD = 1 << 22  # units of a flush
+_HELD = 1 << 20  # units of a flush
+_DOCUMENTS = 256  # documents that are split together
 _TOGETHER = 256  # units that are encoded as one text
-_UNSAFE = re.compile(r"\s | \s|^\s|\s\Z")
+# White space of any kind at an end of a text or beside a blank, where a cut would have to look further.
+_SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
+_SPACED = f"{_SPACE} | {_SPACE}|^{_SPACE}|{_SPACE}$"
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _LOW = np.int64((1 << 32) - 1)
 # Fixed value: the pattern of words of byte-level BPE files that have no pattern of their own.
@@ -63,9 +66,7 @@ _ALIGNED = (
 
 def units(text: str) -> list[str]:
     """A space and the text, cut before single spaces between other characters."""
-    if _UNSAFE.search(text):
-        return _CUT.split(" " + text)
-    return [" " + word for word in text.split(" ")]
+    return _CUT.split(" " + text)
 
 
 class Tokenizers:
@@ -211,37 +212,62 @@ def aligned(texts: list[str], tokenizers: Tokenizers, named: bool) -> Aligned:
     return Aligned(sound, n_a, n_b, n_groups, n_links, pairs, groups)
 
 
+def _split(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Units of texts without their first blank, and how many each text has; NULL and empty texts have none."""
+    alone = pc.or_(pc.equal(texts, ""), pc.match_substring_regex(texts, _SPACED))
+    odd = np.flatnonzero(pc.fill_null(alone, False).to_numpy(zero_copy_only=False))
+    first = 0
+    for k in [*odd.tolist(), len(texts)]:
+        if first < k:
+            split = pc.split_pattern(texts.slice(first, k - first), " ")
+            yield split.flatten(), pc.fill_null(split.value_lengths(), 0).to_numpy().astype(np.int64)
+        if k < len(texts):
+            text = texts[k].as_py()
+            own = [unit[1:] for unit in units(text)] if text else []
+            yield pa.array(own, pa.string()), np.array([len(own)], np.int64)
+        first = k + 1
+
+
 def flushes(given: Iterator[pa.RecordBatch], paths: tuple[str, str], named: bool) -> Iterator[tuple]:
-    """Documents of a task in flushes: (rows, which unit each has, number of units per document, the alignment). Documents
-    with a unit that is not given back have none, unless the whole is given back all the same: then it is one unit."""
+    """Documents of a task in flushes: (doc_ids, keys, which unit stands at each place, number of places per document, the
+    alignment of the units). Documents with a unit that is not given back have none, unless the whole is given back all the
+    same: then it is one unit."""
     tokenizers = Tokenizers.at(*paths)
 
     def done():
-        texts = list(known)
+        coded = pa.chunked_array(words, pa.string()).combine_chunks().dictionary_encode()
+        texts = [" " + word for word in coded.dictionary.to_pylist()]
+        which, sizes = coded.indices.to_numpy().astype(np.int64), np.concatenate(counts)
         found = aligned(texts, tokenizers, named)
         if not found.sound.all():
-            odd: dict[str, int] = {}
-            for k, own in enumerate(held):
-                if not found.sound[own].all():
-                    whole = "".join(texts[x] for x in own)
-                    held[k] = [len(texts) + odd.setdefault(whole, len(odd))]
-            more = aligned(list(odd), tokenizers, named)
-            joined = {name: np.concatenate((getattr(found, name), getattr(more, name))) for name in
-                      ("sound", "n_a", "n_b", "n_groups", "n_links", "pairs")}
+            document = np.repeat(np.arange(len(sizes)), sizes)
+            bad = np.unique(document[~found.sound[which]])
+            starts = (np.cumsum(sizes) - sizes)[bad]
+            wholes = ["".join([texts[x] for x in which[y : y + n].tolist()]) for y, n in zip(starts, sizes[bad], strict=True)]
+            more = aligned(wholes, tokenizers, named)
+            keep = ~np.isin(document, bad)
+            keep[starts] = True
+            which[starts] = len(texts) + np.arange(len(bad))
+            which, sizes[bad] = which[keep], 1
+            names = ("sound", "n_a", "n_b", "n_groups", "n_links", "pairs")
+            joined = {name: np.concatenate((getattr(found, name), getattr(more, name))) for name in names}
             found = Aligned(**joined, groups=found.groups + more.groups if named else None)
-        return rows, np.array([x for own in held for x in own], np.int64), np.array([len(own) for own in held], np.int64), found
+        return pa.chunked_array(ids, pa.int64()), pa.chunked_array(keys, pa.int64()), which, sizes, found
 
-    known: dict[str, int] = {}
-    rows, held, total = [], [], 0
+    words, counts, ids, keys, total = [], [], [], [], 0
     for batch in given:
-        for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "text")), strict=True):
-            rows.append((doc_id, key))
-            held.append([known.setdefault(unit, len(known)) for unit in units(text)] if text else [])
-            total += len(held[-1])
-            if len(known) >= _FLUSH or total + len(rows) >= _HELD:
+        for k in range(0, len(batch), _DOCUMENTS):
+            part = batch.slice(k, _DOCUMENTS)
+            ids.append(part.column("doc_id"))
+            keys.append(part.column("key"))
+            for own, sizes in _split(part.column("text")):
+                words.append(own)
+                counts.append(sizes)
+                total += len(own) + len(sizes)
+            if total >= _HELD:
                 yield done()
-                known, rows, held, total = {}, [], [], 0
-    if rows:
+                words, counts, ids, keys, total = [], [], [], [], 0
+    if ids:
         yield done()
 
 
@@ -337,7 +363,7 @@ def _packs(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
         from pyspark import TaskContext
 
         flush = TaskContext.get().partitionId() << 20
-        for _, which, _, found in flushes(given, paths, named=False):
+        for _, _, which, _, found in flushes(given, paths, named=False):
             times = np.bincount(which, minlength=len(found.sound))
             pairs, counts = _added(found.pairs, np.repeat(times, found.n_links))
             pairs, counts = pairs[counts > 0], counts[counts > 0]
@@ -420,7 +446,7 @@ def _looked_up(docs: DataFrame, paths: tuple[str, str], shards: list[tuple]) ->
 
     def look(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Counts(sent.value)
-        for rows, which, sizes, found in flushes(given, paths, named=True):
+        for ids, keys, which, sizes, found in flushes(given, paths, named=True):
             # Units of texts that are not given back may hold pairs that no document counts.
             used = np.repeat(np.bincount(which, minlength=len(found.sound)) > 0, found.n_links)
             counts, marks = np.zeros((2, len(used)), np.int64)
@@ -439,8 +465,7 @@ def _looked_up(docs: DataFrame, paths: tuple[str, str], shards: list[tuple]) ->
             for a, b, n in zip((ends - sizes).tolist(), ends.tolist(), totals[0].tolist(), strict=True):
                 text = ";".join([found.groups[k] for k in which[a:b].tolist()]) if n else ""
                 digests.append(hashlib.sha256(text.encode()).hexdigest() if n else "")
-            ids, keys = zip(*rows, strict=True)
-            columns = [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), *map(pa.array, totals), pa.array(digests)]
+            columns = [ids.combine_chunks(), keys.combine_chunks(), *map(pa.array, totals), pa.array(digests)]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _ALIGNED.split(", ")])
 
     return docs.mapInArrow(look, _ALIGNED)

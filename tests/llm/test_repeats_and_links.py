@@ -247,7 +247,7 @@ def _aligned_docs():
     return rows + [rows[5], rows[-1], (None, "the reading"), (500, "word " * 20_000 + "end")]
 
 
-@pytest.mark.parametrize("limits", [{}, {"SHARDS": 5, "SLICE": 40, "FAN": 2, "_FLUSH": 9, "_HELD": 300}])
+@pytest.mark.parametrize("limits", [{}, {"SHARDS": 5, "SLICE": 40, "FAN": 2, "_DOCUMENTS": 3, "_HELD": 90}])
 def test_alignment(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(alignment, name, value)
@@ -279,6 +279,16 @@ def test_units_cut_like_the_whole():
             assert [k for x in parts_b for k in x] == whole_b[0]
 
 
+def test_batches_are_split_like_single_texts():
+    texts = [text for _, text in _aligned_docs()] + ["a\u3000 b", "a\u2028 b", "x\x1c y", "z\n", "q\x85 r", "plain text", " \t"]
+    for given in (texts, texts[::-1]):
+        words, counts = zip(*alignment._split(pa.array(given, pa.string())), strict=True)
+        flat = pa.concat_arrays(words).to_pylist()
+        want = [[unit[1:] for unit in alignment.units(text)] if text else [] for text in given]
+        assert np.concatenate(counts).tolist() == [len(own) for own in want]
+        assert flat == [word for own in want for word in own]
+
+
 def test_ranks_give_the_ids_of_the_file(spark):
     tokenizers = alignment.Tokenizers.at(*PATHS)
     assert tokenizers._ranked is not None
