@@ -87,8 +87,8 @@ def _parser() -> argparse.ArgumentParser:
     refreshing.add_argument("--state-partitions", type=int, default=8)
     publishes(refreshing)
     job("compact-history", "published", "table", "day")
-    compacting = job("compact", "lake", "target", "before")
-    compacting.add_argument("--first")
+    compacting = job("compact", "lake", "target")
+    compacting.add_argument("--bin-bytes", type=int, default=compaction.BIN_BYTES, help="landed bytes brought together")
     for rewriting in (compacting, job("type", "lake", "target", "first", "last")):
         rewriting.add_argument("--task-size", default="256m", help="shuffled bytes per written file")
     return parser
@@ -142,7 +142,7 @@ def main(arguments: list[str] | None = None) -> None:
             LakeTarget(spark, options.published).compact_history(options.table, options.day)
         case "compact":
             spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", options.task_size)
-            compaction.compact(spark, options.lake, options.target, options.before, options.first)
+            compaction.compact(spark, options.lake, options.target, options.bin_bytes)
         case "type":
             spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", options.task_size)
             compaction.build_typed_layer(spark, options.lake, options.target, options.first, options.last)

@@ -17,6 +17,16 @@ def local_time(event_time: Column) -> Column:
     return F.when(event_time.rlike(_ISO_DAY), event_time.try_cast("timestamp_ntz"))
 
 
+def utc_text(moment: Column) -> Column:
+    """A moment as ISO text in UTC, whatever the time zone of the session."""
+    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
+def utc_moment(text: Column) -> Column:
+    """The moment that utc_text wrote."""
+    return F.concat(text, F.lit("Z")).try_cast("timestamp")
+
+
 def event_day(event_time: Column) -> Column:
     """Day directory of an event time: yyyy-MM-dd, or NULL."""
     return event_time.cast("date").cast("string")

@@ -60,26 +60,39 @@ def occupancy_series(history: DataFrame) -> DataFrame:
     return _series(history, "zone", "occupancy_rate_avg", "taux_occupation")
 
 
-def occupancy_wide(history: DataFrame, zones: tuple | None = None) -> DataFrame:
-    """Occupancy with one column per zone. Without a zone list Spark looks the labels up in the data first; with
-    one it saves that pass and leaves zones outside the list to the long form."""
-    by_time = history.groupBy(F.col("timestamp").alias("time"))
-    pivoted = by_time.pivot("zone", list(zones)) if zones else by_time.pivot("zone")
-    return pivoted.agg(F.avg("occupancy_rate_avg")).orderBy(F.asc_nulls_last("time"))
+def occupancy_map(history: DataFrame) -> DataFrame:
+    """Occupancy of all zones at a time in one row: time, `zones`, a map from zone to rate, and `no_zone`, the rate of events
+    without a zone. The labels are data, so their number is not limited and nobody has to know them before."""
+    at = history.groupBy(F.col("timestamp").alias("time"), "zone").agg(F.avg("occupancy_rate_avg").alias("rate"))
+    named = F.when(F.col("zone").isNotNull(), F.struct("zone", "rate"))
+    return (
+        at.groupBy("time")
+        .agg(
+            F.map_from_entries(F.array_sort(F.collect_list(named))).alias("zones"),
+            F.max(F.when(F.col("zone").isNull(), F.col("rate"))).alias("no_zone"),
+        )
+        .orderBy(F.asc_nulls_last("time"))
+    )
+
+
+def occupancy_wide(history: DataFrame, zones: tuple) -> DataFrame:
+    """Occupancy with one column for each of the given zones; occupancy_map has all."""
+    rates = [F.try_element_at("zones", F.lit(zone)).alias(zone) for zone in zones]
+    return occupancy_map(history).select("time", *rates)
 
 
 def speed_by_type(history: DataFrame) -> DataFrame:
     """Mean speed per road type and time: one line per type."""
     return (
         history.groupBy(F.col("timestamp").alias("time"), "road_type")
-        .agg(numeric2(F.avg("speed_avg_kmh")).alias("vitesse_moyenne"))
+        .agg(numeric2(mean("speed_avg_kmh")).alias("vitesse_moyenne"))
         .orderBy(F.asc_nulls_last("time"))
     )
 
 
 def global_mean(mart: DataFrame, metric: str) -> DataFrame:
     """Unweighted mean of the group means, the figure of the stat panels."""
-    return mart.agg(numeric2(F.avg(metric)).alias("avg"))
+    return mart.agg(numeric2(mean(metric)).alias("avg"))
 
 
 def alert_zones(congestion: DataFrame) -> DataFrame:

@@ -57,12 +57,33 @@ def _rules() -> dict[str, Column]:
     }
 
 
+def _broken(rule: Column) -> Column:
+    return ~F.coalesce(rule, F.lit(False))
+
+
+def observed(rows: DataFrame, is_event: Column, name: str = "contract") -> DataFrame:
+    """The same rows; whatever query reads them counts the events among them and the violations of each rule on the way, in
+    the same pass. A stream reports them with the progress of every batch."""
+    counts = [F.count_if(is_event & _broken(holds)).alias(rule) for rule, holds in _rules().items()]
+    return rows.observe(name, F.count_if(is_event).alias("checked"), *counts)
+
+
+def observed_violations(progress: list, name: str = "contract") -> dict[str, int]:
+    """Events checked and violations by rule, added up over progress reports of a stream (Spark keeps the last 100)."""
+    total: dict[str, int] = {}
+    for report in progress:
+        counted = report.observedMetrics.get(name)
+        for rule, count in counted.asDict().items() if counted else ():
+            total[rule] = total.get(rule, 0) + (count or 0)
+    return total
+
+
 def contract_violations(events: DataFrame) -> DataFrame:
     """Violations per rule and road type, zero included. Rules are counted side by side in one aggregate and turned
     into rows afterwards."""
     rules = _rules()
     counted = events.groupBy("road_type").agg(
         F.count("*").alias("checked"),
-        *[F.count_if(~F.coalesce(holds, F.lit(False))).alias(rule) for rule, holds in rules.items()],
+        *[F.count_if(_broken(holds)).alias(rule) for rule, holds in rules.items()],
     )
     return counted.unpivot(["road_type", "checked"], list(rules), "rule", "violations")

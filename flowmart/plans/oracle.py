@@ -46,6 +46,9 @@ summary AS (
     CASE WHEN congestion_rate_pct > 50 THEN 'ALERTE' ELSE 'NORMAL' END AS alert_status
   FROM traffic FULL JOIN congestion USING (zone))"""
 
+_LEVEL = """CASE WHEN occupancy_rate_avg < 20 THEN 'FAIBLE' WHEN occupancy_rate_avg < 50 THEN 'MODERÉ'
+    WHEN occupancy_rate_avg < 80 THEN 'ÉLEVÉ' ELSE 'CRITIQUE' END"""
+
 _CATEGORY = """CASE WHEN speed_avg_kmh > 80 THEN 'RAPIDE' WHEN speed_avg_kmh > 50 THEN 'NORMALE'
       WHEN speed_avg_kmh > 30 THEN 'LENTE' ELSE 'TRÈS_LENTE' END AS speed_category"""
 
@@ -69,6 +72,18 @@ replayed AS (
   FROM days JOIN traffic_events e ON e.event_time::date <= day OR e.event_time IS NULL GROUP BY {listed}, day)"""
 
 
+def _replay_runs(keys: str, metrics: dict[str, str]) -> str:
+    """The same for every minute of a day."""
+    means = ", ".join(f"{_round2(f'avg(e.{metric})')} AS {name}" for metric, name in metrics.items())
+    listed = ", ".join(f"e.{key}" for key in keys.split(", "))
+    return f"""
+runs AS (
+  SELECT unnest(generate_series(TIMESTAMP '2024-01-20', TIMESTAMP '2024-01-21', INTERVAL 60 SECOND)) AS "timestamp"),
+replayed AS (
+  SELECT {listed}, {means}, "timestamp"
+  FROM runs JOIN traffic_events e ON e.event_time <= "timestamp" OR e.event_time IS NULL GROUP BY {listed}, "timestamp")"""
+
+
 _ZONE_HISTORY = _replay("zone", {"vehicle_count": "vehicle_count_avg", "occupancy_rate": "occupancy_rate_avg"})
 _ROAD_HISTORY = _replay("road_id, road_type", {"average_speed": "speed_avg_kmh"})
 
@@ -171,6 +186,21 @@ FROM replayed""",
     "history_replay_road": _sql(
         f'SELECT road_id, road_type, speed_avg_kmh, {_CATEGORY}, "timestamp" FROM replayed', _ROAD_HISTORY
     ),
+    "history_replay_zone_runs": _sql(
+        f"""SELECT zone, vehicle_count_avg, occupancy_rate_avg, {_LEVEL} AS traffic_level, "timestamp" FROM replayed""",
+        _replay_runs("zone", {"vehicle_count": "vehicle_count_avg", "occupancy_rate": "occupancy_rate_avg"}),
+    ),
+    "history_replay_road_runs": _sql(
+        f'SELECT road_id, road_type, speed_avg_kmh, {_CATEGORY}, "timestamp" FROM replayed',
+        _replay_runs("road_id, road_type", {"average_speed": "speed_avg_kmh"}),
+    ),
+    "history_by_arrival": _sql(
+        f"""SELECT run, zone, vehicle_count_avg, occupancy_rate_avg, {_LEVEL} AS traffic_level, true AS appended
+FROM (SELECT run, zone, {_round2('avg(vehicle_count)')} AS vehicle_count_avg, {_round2('avg(occupancy_rate)')} AS occupancy_rate_avg
+  FROM traffic_events, (SELECT unnest([1, 2]) AS run)
+  WHERE zone IS NOT NULL AND event_time IS NOT NULL AND (run = 2 OR event_time >= TIMESTAMP '2024-01-16')
+  GROUP BY run, zone)"""
+    ),
     "panel_speed_ts": _sql(
         'SELECT "timestamp" AS "time", road_type, speed_avg_kmh AS vitesse_moyenne FROM replayed ORDER BY 1',
         _ROAD_HISTORY,
@@ -190,6 +220,13 @@ FROM replayed""",
   avg(occupancy_rate_avg) FILTER (WHERE zone = 'Quartier Residentiel') AS "Quartier Residentiel",
   avg(occupancy_rate_avg) FILTER (WHERE zone = 'Aeroport') AS "Aeroport",
   avg(occupancy_rate_avg) FILTER (WHERE zone = 'Quartier Commercial') AS "Quartier Commercial"
+FROM replayed GROUP BY 1 ORDER BY 1""",
+        _ZONE_HISTORY,
+    ),
+    "panel_occupancy_map": _sql(
+        """SELECT "timestamp" AS "time", list(zone ORDER BY zone) FILTER (WHERE zone IS NOT NULL) AS zones,
+  list(occupancy_rate_avg ORDER BY zone) FILTER (WHERE zone IS NOT NULL) AS taux_occupation,
+  max(occupancy_rate_avg) FILTER (WHERE zone IS NULL) AS no_zone
 FROM replayed GROUP BY 1 ORDER BY 1""",
         _ZONE_HISTORY,
     ),
@@ -238,6 +275,12 @@ FROM traffic_events GROUP BY road_type"""
             for rule, breach in _BREACHES.items()
         )
     ),
+    "landing_violations": _sql(
+        "\nUNION ALL\n".join(
+            f"""SELECT '{rule}' AS rule, count(*) AS checked, count(*) FILTER (WHERE {breach}) AS violations FROM traffic_events"""
+            for rule, breach in _BREACHES.items()
+        )
+    ),
     "landing_partitions": _sql(f"{_PARTITIONS} FROM traffic_events GROUP BY 1, 2"),
     "landing_stream_roundtrip": _sql(_CENSUS),
     "late_event_roundtrip": _sql(_CENSUS.replace("FROM traffic_events", _LANDED)),
@@ -261,6 +304,9 @@ FROM congestion""",
     "tolerant_scan": _sql(
         "SELECT zone, vehicles AS avg_vehicle_count, occupancy AS avg_occupancy_rate FROM zone_means", _ZONES
     ),
+    "tolerant_scan_audit": _sql(
+        """SELECT 'rows' AS fact, count(*) AS "value" FROM traffic_events UNION ALL SELECT 'txt', 1"""
+    ),
     "read_or_empty": _sql(
         """SELECT 'rows_present' AS fact, count(*) AS "value" FROM traffic
 UNION ALL SELECT 'rows_missing', 0

@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowmart.functions import events as ev
@@ -19,7 +19,7 @@ from flowmart.operators import aggregates as agg
 from flowmart.operators import compaction, history, marts, panels, quality
 from flowmart.plans import batch
 from flowmart.plans.dashboard import dashboard
-from flowmart.schema import ANALYTICS, PROCESSED, RAW_EVENT, columns_of
+from flowmart.schema import ANALYTICS, PROCESSED, RAW_EVENT, ZONES, columns_of
 from flowmart.sinks.lake import LakeTarget
 from flowmart.sinks.publish import publish
 from flowmart.sources import raw, tables
@@ -134,6 +134,46 @@ def history_replay_road(spark, folder):
     return history.replay_roads(_road_partials(spark, folder))
 
 
+def _runs(spark: SparkSession) -> DataFrame:
+    """The cut-offs of a day of runs, one a minute."""
+    first, last = (F.lit(f"2024-01-{day} 00:00:00").cast("timestamp_ntz") for day in (20, 21))
+    every = F.sequence(first, last, F.expr("INTERVAL 60 SECONDS"))
+    return spark.range(1).select(F.explode(every).alias("timestamp"))
+
+
+def history_replay_zone_runs(spark, folder):
+    """The zone history of a day as runs every 60 seconds would have appended it, over all events."""
+    return history.replay_zones_at(sensor_events(spark, folder), _runs(spark))
+
+
+def history_replay_road_runs(spark, folder):
+    return history.replay_roads_at(sensor_events(spark, folder), _runs(spark))
+
+
+def history_by_arrival(spark, folder):
+    """The second half of the month lands and is published, then the older days. The runs replayed by the time of landing
+    stand beside what the refresh job appended; `appended` says that its history has just this row."""
+    events = sensor_events(spark, folder)
+    older = F.coalesce(F.col("event_time") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit(False))
+    root, state = new_folder(spark, "landed"), new_folder(spark, "refresh-state")
+    inbox, landing = new_folder(spark, "inbox"), new_folder(spark, "landing-state")
+    target = LakeTarget(spark, new_folder(spark, "published"))
+    for arrived in (events.where(~older), events.where(older)):
+        _as_message(arrived).write.mode("append").text(inbox)
+        land(raw.file_lines(spark, inbox), root, landing, ONCE).awaitTermination()
+        refresh(raw.landed_stream(spark, root), target, state, ONCE).awaitTermination()
+    appended = written(target.history("traffic_by_zone"), "appended")
+    replayed = history.replay_zones_at(raw.read_arrivals(spark, root), appended.select("timestamp"), "landed_at")
+    columns = ["zone", "vehicle_count_avg", "occupancy_rate_avg", "traffic_level"]
+    runs = appended.select("timestamp").distinct()
+    number = F.count("*").over(Window.orderBy("timestamp")).alias("run")  # two runs
+    both = replayed.withColumn("r", F.lit(1)).unionByName(appended.withColumn("r", F.lit(0)))
+    same = both.groupBy("timestamp", *columns).agg(F.sum("r").alias("replayed"), (F.count("*") - F.sum("r")).alias("appended"))
+    return same.join(runs.select("timestamp", number), "timestamp").select(
+        "run", *columns, ((F.col("replayed") == 1) & (F.col("appended") == 1)).alias("appended")
+    )
+
+
 def panel_speed_ts(spark, folder):
     return panels.speed_series(history_replay_road(spark, folder))
 
@@ -147,9 +187,16 @@ def panel_occupancy_ts(spark, folder):
 
 
 def panel_occupancy_wide(spark, folder):
-    """The labels come from the data, events without a zone under their own."""
-    replayed = written(history_replay_zone(spark, folder), "replayed")
-    return panels.occupancy_wide(replayed.fillna("no zone", ["zone"]))
+    """A column for each zone of the schema."""
+    return panels.occupancy_wide(history_replay_zone(spark, folder), ZONES)
+
+
+def panel_occupancy_map(spark, folder):
+    """All zones of a time in one row, whatever their names: labels and rates side by side."""
+    series = panels.occupancy_map(history_replay_zone(spark, folder))
+    return series.select(
+        "time", F.map_keys("zones").alias("zones"), F.map_values("zones").alias("taux_occupation"), "no_zone"
+    )
 
 
 def panel_speed_by_type(spark, folder):
@@ -263,12 +310,22 @@ def quarantine_split(spark, folder):
     return raw.landed_lines(spark, root).groupBy("outcome").agg(F.count("*").alias("events"))
 
 
+def landing_violations(spark, folder):
+    """Violations by rule as the landing counted them in its one pass."""
+    inbox, root, checkpoint = (new_folder(spark, label) for label in ("inbox", "landed", "landing-state"))
+    _as_message(sensor_events(spark, folder)).write.text(inbox)
+    query = land(raw.file_lines(spark, inbox), root, checkpoint, ONCE, checked=True)
+    query.awaitTermination()
+    counted = quality.observed_violations(query.recentProgress)
+    checked = counted.pop("checked", 0)
+    return spark.createDataFrame([(rule, checked, n) for rule, n in counted.items()], "rule string, checked bigint, violations bigint")
+
+
 def compacted_counts(spark, folder):
     root = _landed(spark, _as_message(sensor_events(spark, folder)))
     target = new_folder(spark, "compacted")
     compaction.compact(spark, root, target)
-    lines = spark.read.schema("value string, date string, zone string").text(target)
-    return lines.groupBy("date", "zone").agg(F.count("*").alias("events"))
+    return compaction.read_compacted(spark, target).groupBy("date", "zone").agg(F.count("*").alias("events"))
 
 
 def typed_layer_roundtrip(spark, folder):
@@ -325,6 +382,19 @@ def tolerant_scan(spark, folder):
     return agg.traffic_by_zone(agg.zone_means(readable))
 
 
+def tolerant_scan_audit(spark, folder):
+    """Events beside a text file and an intact file without rows: rows read, and files passed over by their ending."""
+    path = new_folder(spark, "events-and-junk")
+    events = sensor_events(spark, folder)
+    events.write.parquet(path)
+    events.select(F.col("zone").alias("value")).coalesce(1).write.mode("append").text(path)
+    events.limit(0).coalesce(1).write.mode("append").parquet(path)
+    ending = F.regexp_extract("file", "[.]([a-z]+)$", 1).alias("fact")
+    skipped = tables.skipped_files(spark, path, events.schema).groupBy(ending).agg(F.count("*").alias("value"))
+    read = tables.tolerant_scan(spark, path, events.schema).agg(F.lit("rows").alias("fact"), F.count("*").alias("value"))
+    return read.unionByName(skipped)
+
+
 def read_or_empty(spark, folder):
     """Rows of a written and of a missing mart, and the tables an export of both, and of the missing one, writes."""
     root = new_folder(spark, "analytics")
@@ -454,10 +524,14 @@ REGISTERED = (
     kpi_bands,
     history_replay_zone,
     history_replay_road,
+    history_replay_zone_runs,
+    history_replay_road_runs,
+    history_by_arrival,
     panel_speed_ts,
     panel_vehicles_ts,
     panel_occupancy_ts,
     panel_occupancy_wide,
+    panel_occupancy_map,
     panel_speed_by_type,
     panel_range_filter,
     kpi_last_not_null,
@@ -470,12 +544,14 @@ REGISTERED = (
     landing_stream_roundtrip,
     late_event_roundtrip,
     quarantine_split,
+    landing_violations,
     compacted_counts,
     typed_layer_roundtrip,
     processed_roundtrip,
     processed_tables,
     road_partition_roundtrip,
     tolerant_scan,
+    tolerant_scan_audit,
     read_or_empty,
     publish_current_roundtrip,
     publish_history_roundtrip,

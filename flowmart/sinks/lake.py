@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import copy
 from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +48,8 @@ class LakeTarget:
     """Current tables `T` and history tables `T_ts` as Parquet below one folder.
 
     The current tables of a run are written to a folder of their own, `runs/<version>/T`, and become visible together
-    by one empty file, `commits/<number>-<version>`; the greatest name counts. So a reader that has opened a table can
+    by one empty file, `commits/<number>-<version>`; the greatest name counts, and runs that commit at once get numbers
+    of their own. So a reader that has opened a table can
     finish, runs published at once do not touch each other's files, and a run that breaks off is never seen. Versions
     that are no longer current, or were never committed, are deleted by later runs once they are older than `keep`,
     which has to be longer than any publishing or reading takes.
@@ -65,9 +67,12 @@ class LakeTarget:
 
     def commit(self, version: str) -> None:
         """Switch all current tables of a version at once."""
-        commits = self._commits()
-        number = int(commits[0].partition("-")[0]) + 1 if commits else 0
-        self._files().createNewFile(self._path(f"commits/{number:012d}-{version}"))
+        files = self._files()
+        number = max([int(name.partition("-")[0]) + 1 for name in (*self._listed("commits"), *self._listed("claims"))], default=0)
+        # Creating a file that is there already fails, so of two runs that see the same number one goes on to the next.
+        while not files.createNewFile(self._path(f"claims/{number:012d}")):
+            number += 1
+        files.createNewFile(self._path(f"commits/{number:012d}-{version}"))
         self._clean_up()
 
     def pinned(self) -> LakeTarget:
@@ -107,39 +112,40 @@ class LakeTarget:
                 files.delete(self._path(f"commits/{name}"), False)
                 files.delete(self._path(folder), True)
         committed = {name.partition("-")[2] for name in commits}
+        for claim, changed in self._listed("claims").items():
+            if changed < oldest and claim < newest:
+                files.delete(self._path(f"claims/{claim}"), False)
         for version, changed in self._listed("runs").items():
             if version not in committed and changed < oldest:
                 files.delete(self._path(f"runs/{version}"), True)
 
     def append(self, table: str, rows: DataFrame, run_ts: datetime, run_id: str) -> None:
-        """Add the rows of a run to the history. A run that is published again replaces its own rows only, also from
-        a session in another time zone: the day is that of the moment in UTC."""
-        moment = F.col("timestamp")
-        if isinstance(rows.schema["timestamp"].dataType, TimestampType):
-            moment = F.to_utc_timestamp(moment, F.current_timezone())
+        """Add the rows of a run to the history, by day and hour. A run that is published again replaces its own rows
+        only, also from a session in another time zone: day and hour are those of the moment in UTC."""
         (
-            rows.withColumn("run_date", moment.cast("date").cast("string"))
+            _by_hour(rows)
             .withColumn("run_id", F.lit(run_id))
-            .hint("rebalance", "run_date")
+            .hint("rebalance", "run_date", "run_hour")
+            .sortWithinPartitions("run_date", "run_hour", "run_id", "timestamp")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_date", "run_id")
+            .partitionBy("run_date", "run_hour", "run_id")
             .parquet(f"{self.root}/{table}_ts")
         )
 
     def compact_history(self, table: str, day: str) -> None:
-        """Bring the runs of a past day together: one directory instead of one per run. Only for days whose runs
-        will not be published again."""
-        rows = self._stored_history(table, [day]).drop("run_date", "run_id")
-        merged = rows.hint("rebalance").withColumn("run_id", F.lit("compacted"))
-        replace_table(merged, f"{self.root}/{table}_ts/run_date={day}", partition_by=("run_id",))
-
-    def _stored_history(self, table: str, days: list[str] | None = None) -> DataFrame:
-        """History with its directory keys, the day as text. With a list of days only their directories are listed."""
+        """Bring the runs of a past day together: a file per hour, sorted by time, instead of one per run. Only for days
+        whose runs will not be published again."""
+        rows = self._stored_history(table, f"run_date={day}").drop("run_date", "run_hour", "run_id")
+        merged = _by_hour(rows).drop("run_date").withColumn("run_id", F.lit("compacted")).hint("rebalance", "run_hour")
+        merged = merged.sortWithinPartitions("run_hour", "run_id", "timestamp")
+        replace_table(merged, f"{self.root}/{table}_ts/run_date={day}", partition_by=("run_hour", "run_id"))
+
+    def _stored_history(self, table: str, part: str | None = None) -> DataFrame:
+        """History with its directory keys as text. With a part (a pattern below the table) only its directories are listed."""
         root = f"{self.root}/{table}_ts"
-        part = f"{root}/run_date={{{','.join(days)}}}" if days else root
-        stored = self.spark.read.option("basePath", root).parquet(part)
-        return stored.withColumn("run_date", F.col("run_date").cast("string"))
+        stored = self.spark.read.option("basePath", root).parquet(f"{root}/{part}" if part else root)
+        return stored.withColumns({key: F.col(key).cast("string") for key in ("run_date", "run_hour")})
 
     def current(self, table: str) -> DataFrame:
         """The table of the newest committed run that has it. Raises PATH_NOT_FOUND where there is none."""
@@ -151,16 +157,44 @@ class LakeTarget:
         return self.spark.read.parquet(f"{self.root}/runs/{table}")
 
     def history(self, table: str, to: datetime | None = None, span: timedelta = DASHBOARD_RANGE) -> DataFrame:
-        """History rows, optionally of the dashboard range that ends at `to`: other days are not listed or read."""
+        """History rows, optionally of the dashboard range that ends at `to`: only the hours of the range are listed, and
+        within their files, which are sorted by time, row groups outside are not read."""
         if to is None:
-            return self._stored_history(table).drop("run_date", "run_id")
-        # `to` may be a wall-clock time of the session, directories are named by UTC: one more day on either side.
-        first, last = (to - span).date() - timedelta(days=1), to.date() + timedelta(days=1)
-        days = [str(first + timedelta(days=shift)) for shift in range((last - first).days + 1)]
+            return self._stored_history(table).drop("run_date", "run_hour", "run_id")
         try:
-            rows = self._stored_history(table, days)
+            rows = self._stored_history(table, _hours(self._readings(to), span))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             rows = self._stored_history(table).limit(0)
-        return in_range(rows.drop("run_date", "run_id"), to, span)
+        return in_range(rows.drop("run_date", "run_hour", "run_id"), to, span)
+
+    def _readings(self, to: datetime) -> set[datetime]:
+        """The wall-clock times, in UTC, that a moment may stand for: tables with a time zone are laid out by the moment in UTC,
+        tables without one by their own clock."""
+        zone = ZoneInfo(self.spark.conf.get("spark.sql.session.timeZone"))
+        if to.tzinfo:
+            return {to.astimezone(timezone.utc).replace(tzinfo=None), to.astimezone(zone).replace(tzinfo=None)}
+        return {to, to.replace(tzinfo=zone).astimezone(timezone.utc).replace(tzinfo=None)}
+
+
+def _by_hour(rows: DataFrame) -> DataFrame:
+    """History rows with the day and hour of their time, that of moments in UTC."""
+    moment = F.col("timestamp")
+    if isinstance(rows.schema["timestamp"].dataType, TimestampType):
+        moment = F.to_utc_timestamp(moment, F.current_timezone())
+    # NULL times have a directory too, which no range reads.
+    return rows.withColumns(
+        {"run_date": moment.cast("date").cast("string"), "run_hour": F.lpad(F.hour(moment).cast("string"), 2, "0")}
+    )
+
+
+def _hours(ends: set[datetime], span: timedelta) -> str:
+    """Pattern of the directories of all hours that a span up to one of the ends touches."""
+    parts = set()
+    for end in ends:
+        hour = (end - span).replace(minute=0, second=0, microsecond=0)
+        while hour <= end:
+            parts.add(f"run_date={hour:%Y-%m-%d}/run_hour={hour:%H}")
+            hour += timedelta(hours=1)
+    return "{" + ",".join(sorted(parts)) + "}"

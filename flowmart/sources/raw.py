@@ -14,7 +14,11 @@ FLUSH_MESSAGES = 50
 FLUSH_TIME = "30s"
 
 LANDED = "landed"
-LANDED_LAYOUT = "value string, outcome string, date string, zone string"
+LANDED_LAYOUT = (
+    "value string, stream string, span string, batch string, landed_at string, outcome string, date string, zone string"
+)
+# Batches of a span share a directory, so that neither a listing nor a directory grows with the age of the lake.
+SPAN = 1000
 
 
 def topic_lines(
@@ -79,19 +83,27 @@ def raw_stream(spark: SparkSession, path: str, files_per_trigger: int | None = N
     return reader.json(path)
 
 
-def landed_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Lines of the landing sink with their directory keys: value, outcome, date, zone.
+def batch_directory(number: int) -> str:
+    """Directory of a batch below that of its stream."""
+    return f"span={number // SPAN:09d}/batch={number:012d}"
 
-    Reading the sink's root goes through its commit log, so leftovers of failed tasks are never seen; filters on
-    outcome, date and zone prune directories.
+
+def landed_lines(spark: SparkSession, root: str, places: list[str] | None = None) -> DataFrame:
+    """Lines of the landing sink with their directory keys, see LANDED_LAYOUT.
+
+    Batches appear as a whole, and leftovers of failed ones lie in a hidden folder, so the tree itself is the truth and
+    there is no log to read. Filters on all keys prune directories; places (directories below the root, such as
+    `stream=.../span=...`) keep Spark from listing any others.
     """
-    return spark.read.schema(LANDED_LAYOUT).text(root)
+    root = root.rstrip("/")
+    reader = spark.read.schema(LANDED_LAYOUT).option("basePath", root)
+    return reader.text(root if places is None else [f"{root}/{place}" for place in places])
 
 
-def _decoded(lines: DataFrame) -> DataFrame:
-    """Events of landed lines. All fields come from the body, only `date` from the directory."""
+def _decoded(lines: DataFrame, *kept: str) -> DataFrame:
+    """Events of landed lines. All fields come from the body, only `date` and what else is kept from the directory."""
     landed = lines.where(F.col("outcome") == LANDED)
-    return landed.select(F.from_json("value", RAW_EVENT).alias("event"), "date").select("event.*", "date")
+    return landed.select(F.from_json("value", RAW_EVENT).alias("event"), "date", *kept).select("event.*", "date", *kept)
 
 
 def read_landed(spark: SparkSession, root: str, first: str | None = None, last: str | None = None) -> DataFrame:
@@ -105,8 +117,15 @@ def read_landed(spark: SparkSession, root: str, first: str | None = None, last:
     return _decoded(lines)
 
 
+def read_arrivals(spark: SparkSession, root: str) -> DataFrame:
+    """Events of the landing sink with the batch that brought them and the moment it landed, the second time axis beside
+    the event time: columns as read_landed plus batch and landed_at."""
+    events = _decoded(landed_lines(spark, root), "batch", "landed_at")
+    return events.withColumn("landed_at", ev.utc_moment(F.col("landed_at")))
+
+
 def landed_stream(spark: SparkSession, root: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The same events as a stream. New files are taken from the sink's commit log, not by listing the lake."""
+    """The same events as a stream: every landed batch is taken once."""
     reader = spark.readStream.schema(LANDED_LAYOUT)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)

@@ -38,7 +38,7 @@ def test_jobs_in_order(own_settings, spark, tmp_path, write_lines, monkeypatch):
 
     lake, days = tmp_path / "lake", {"first": "2023-01-01", "last": "2024-12-31"}
     run("land", lake=lake, checkpoint=tmp_path / "c1", inbox=inbox)
-    run("compact", lake=lake, target=tmp_path / "compacted", before="2024-06-01")
+    run("compact", lake=lake, target=tmp_path / "compacted")
     run("type", lake=lake, target=tmp_path / "typed", **days)
     run("process", raw=tmp_path / "compacted", processed=tmp_path / "processed")
     run("analyze", processed=tmp_path / "processed", analytics=tmp_path / "analytics")

@@ -139,7 +139,7 @@ def test_history_range_reads_the_days_of_the_range(spark, tmp_path, mart_tables)
     ranged = target.history("traffic_by_zone", end)
     assert ranged.select("timestamp").distinct().count() == 1
     days = {name.split("run_date=")[1][:10] for name in ranged.inputFiles()}
-    assert days == {"2024-05-03", "2024-05-04", "2024-05-05"}
+    assert days == {"2024-05-04"}
     plan = ranged._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp" in plan
     assert target.history("traffic_by_zone", end + timedelta(days=90)).isEmpty()
@@ -158,12 +158,67 @@ def test_runs_of_a_past_day_are_brought_together(spark, tmp_path, mart_tables):
     target.compact_history("traffic_by_zone", "2024-05-01")
     assert rows(target.history("traffic_by_zone")) == before
     days = tmp_path / "traffic_by_zone_ts"
-    assert [entry.name for entry in (days / "run_date=2024-05-01").glob("run_id=*")] == ["run_id=compacted"]
+    assert [entry.name for entry in (days / "run_date=2024-05-01").glob("run_hour=*/run_id=*")] == ["run_id=compacted"]
     assert not list(days.glob("_run_date*"))
     publish({"traffic_by_zone": mart_tables["traffic_by_zone"]}, target, RUN + timedelta(days=1, minutes=1))
     assert target.history("traffic_by_zone").count() == 5 * 5
 
 
+def test_six_hours_of_thirty_days_read_the_files_of_six_hours(spark, tmp_path):
+    """A history of a run a minute, compacted day by day: files by hour, and in them row groups by time."""
+    target = LakeTarget(spark, str(tmp_path))
+    minutes = spark.range(30 * 24 * 60).select(
+        F.lit("a").alias("zone"),
+        (F.lit("2024-05-01 00:00:00").cast("timestamp") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("timestamp"),
+    )
+    target.append("traffic_by_zone", minutes, RUN, "all")
+    for day in ("2024-05-16", "2024-05-17"):
+        target.compact_history("traffic_by_zone", day)
+    end = datetime(2024, 5, 17, 2, 30)
+    ranged = target.history("traffic_by_zone", end)
+    files = {name.partition("run_date=")[2][:24].replace("/run_hour=", " ") for name in ranged.inputFiles()}
+    assert len(ranged.inputFiles()) == 7 and len(files) == 7
+    assert ranged.count() == 6 * 60 + 1
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp" in plan
+    for name in ranged.inputFiles():
+        times = [row[0] for row in spark.read.parquet(name).select("timestamp").collect()]
+        assert times == sorted(times) and len(times) == 60
+
+
+def test_two_runs_that_commit_at_once_get_numbers_of_their_own(spark, tmp_path, mart_tables):
+    first, second = (LakeTarget(spark, str(tmp_path)) for _ in range(2))
+    traffic = mart_tables["traffic_by_zone"].drop("processed_date")
+    # Both see the same commits; the claim of the one makes the other take the next number.
+    first.replace("traffic_by_zone", traffic.limit(1), RUN, "one")
+    second.replace("traffic_by_zone", traffic.limit(2), RUN, "two")
+    seen = dict(first._listed("commits")), dict(first._listed("claims"))
+    listed = LakeTarget._listed
+
+    def stale(target, folder):
+        return seen[("commits", "claims").index(folder)] if folder in ("commits", "claims") and target is second else listed(target, folder)
+
+    first.commit("one")
+    LakeTarget._listed = stale
+    second._clean_up = lambda: None
+    try:
+        second.commit("two")
+    finally:
+        LakeTarget._listed = listed
+    assert first._commits() == ["000000000001-two", "000000000000-one"]
+    assert first.current("traffic_by_zone").count() == 2
+
+
+def test_commits_of_many_threads_are_in_order(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    targets = [LakeTarget(spark, str(tmp_path)) for _ in range(8)]
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda given: given[1].commit(f"v{given[0]}"), enumerate(targets)))
+    numbers = [name.partition("-")[0] for name in targets[0]._commits()]
+    assert len(set(numbers)) == 8
+
+
 def test_dashboard_over_published_tables(spark, tmp_path, mart_tables):
     target = LakeTarget(spark, str(tmp_path))
     publish(mart_tables, target, RUN)

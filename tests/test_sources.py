@@ -91,6 +91,18 @@ def test_corrupt_and_missing_files(spark, tmp_path):
         tables.tolerant_scan(spark, str(tmp_path / "nowhere"))
 
 
+def test_skipped_files_are_named(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "id bigint"
+    spark.range(5).repartition(2).write.parquet(path)
+    spark.range(0).coalesce(1).write.mode("append").parquet(path)  # intact, without rows
+    (tmp_path / "t" / "part-junk.parquet").write_text("this is no table")
+    (tmp_path / "t" / "part-short.parquet").write_text("PA")
+    cut = next(f for f in (tmp_path / "t").glob("part-*.parquet") if f.stat().st_size > 400)
+    (tmp_path / "t" / "part-cut.parquet").write_bytes(cut.read_bytes()[:-9])
+    skipped = {row["file"].rpartition("/")[2]: row["size"] for row in tables.skipped_files(spark, path, schema).collect()}
+    assert skipped == {"part-junk.parquet": 16, "part-short.parquet": 2, "part-cut.parquet": cut.stat().st_size - 9}
+
+
 def test_read_or_empty(spark, tmp_path):
     schema = ANALYTICS["congestion_alerts"]
     missing = tables.read_or_empty(spark, str(tmp_path / "nowhere"), schema)
