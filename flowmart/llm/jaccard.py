@@ -14,9 +14,10 @@ they are in the partner's extended prefix too. That is used three times:
    document's prefix, the document is also indexed by combinations of two tokens that are neighbours in its first 0.45 n + 2
    tokens. Two linked sets have at most n / 4 tokens that are not shared, at most n / 5 of them in the one with n; so
    among the first n / 4 + 2 shared tokens some two are neighbours in both.
-3. Verification: members of an index list are compared by their whole sets with one member (later a few), not all with
-   all. What is linked by then is one component and needs no more comparing; lists whose members are in different
-   components go on, until every pair that shares a key is in one component or has been compared.
+3. Verification: members of an index list are compared by their whole sets with one member (later a slice of some, dealt
+   by hash), not all with all. What is linked by then is one component and needs no more comparing; lists whose members are in
+   different components go on, until every pair that shares a key is in one component or has been compared. A pair that shares many
+   keys is put together once, before it is looked at: tasks send the partners of a set packed, and they are made different there.
 
 Documents without words have an empty set and are linked with nothing. NULL texts count as empty. Rows with equal doc_id
 and text are one document and get equal rows. NULL doc_ids are documents too, but an id is reported as the smallest only
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowmart.llm.common import discarded, released, row_key, stored
@@ -43,8 +44,10 @@ RARE = 32
 FLUSH = 1 << 20  # tokens that a task gathers before it sends them
 _PER_BUCKET = 1 << 21  # tokens of a bucket of the first step
 _LEAST_BITS = 6
-_CENTRES = 32
+_CENTRES = 32  # members of a list's slice
+_MEMBERS = 256  # members of a list that stand in one row
 _BITS = [f"b{k}" for k in range(8)]
+_MEMBER = ["set_id", "n", "c", "label", "slice"]
 
 
 def required(n: np.ndarray) -> np.ndarray:
@@ -390,6 +393,55 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
     )
 
 
+def _partners(now: DataFrame, start: int, width: int) -> DataFrame:
+    """(a, b): different pairs of set ids, a < b, of members of a list in different components, one of them in the slices from
+    start on, that their sizes allow to be linked."""
+
+    def compare(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        total = 0
+
+        def flush() -> pa.RecordBatch:
+            pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*held, strict=True)], axis=1), axis=0)
+            first = np.flatnonzero(np.diff(pairs[:, 0], prepend=pairs[0, 0] - 1))
+            offsets = pa.array(np.append(first, len(pairs)), pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(pairs[:, 1])))
+            return pa.RecordBatch.from_arrays([pa.array(pairs[first, 0]), lists], names=["a", "b"])
+
+        for batch in given:
+            sides = []
+            for name in ("centres", "members"):
+                column = batch.column(name)
+                sides.append((column.offsets.to_numpy(), {f: column.values.field(f).to_numpy() for f in _MEMBER}))
+            (starts, c), (ends, m) = sides
+            for k in range(len(batch)):
+                x = {f: v[starts[k] : starts[k + 1], None] for f, v in c.items()}
+                y = {f: v[None, ends[k] : ends[k + 1]] for f, v in m.items()}
+                # Two members of centre slices meet in both orders; the later slice leaves it to the earlier one.
+                later = (x["slice"] < y["slice"]) | ((x["slice"] == y["slice"]) & (x["set_id"] < y["set_id"]))
+                shared = np.minimum(x["c"], y["c"])
+                alike = shared * (100 + PERCENT) >= (x["n"] + y["n"]) * PERCENT
+                i, j = np.nonzero(later & (x["label"] != y["label"]) & alike)
+                one, other = x["set_id"][i, 0], y["set_id"][0, j]
+                if len(one):
+                    held.append((np.minimum(one, other), np.maximum(one, other)))
+                    total += len(one)
+                if total >= FLUSH:
+                    yield flush()
+                    held, total = [], 0
+        if held:
+            yield flush()
+
+    members = F.collect_list(F.struct(*_MEMBER))
+    centres = now.where((F.col("slice") >= start) & (F.col("slice") < start + width))
+    left = centres.groupBy("list_id", "slice").agg(members.alias("centres")).select("list_id", "centres")
+    right = now.groupBy("list_id", "part").agg(members.alias("members")).select("list_id", "members")
+    packed = left.join(right, "list_id").select("centres", "members").mapInArrow(compare, "a bigint, b array<bigint>")
+    # A set meets its partners in several lists: here each of them stays once.
+    each = packed.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("b"))).alias("b"))
+    return each.select("a", F.explode("b").alias("b"))
+
+
 def joined_sets(sets: DataFrame) -> DataFrame:
     """(set_id, label): the component of every set; the label is the least set id."""
     spark = sets.sparkSession
@@ -398,36 +450,38 @@ def joined_sets(sets: DataFrame) -> DataFrame:
     compared = written(_star_pairs(lists), "pairs")
     labels = components(linked(compared, sets), sets.select("set_id", F.col("set_id").alias("label")))
     released(spark)
-    # Places within lists decide the later rounds: members before `start` have been compared with all others.
-    by_key = Window.partitionBy("token", "second").orderBy("set_id")
-    start, centres, placed = 1, _CENTRES, None
+    several = (
+        lists.join(labels, "set_id")
+        .groupBy("token", "second")
+        .agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("members"))
+        .where("least < most")
+    )
+    # Slices of a list are compared with all its members, one after the other; parts only keep rows small.
+    dealt = lambda size, seed: F.pmod(F.xxhash64("set_id", F.lit(seed)), F.ceil(F.col("members") / size))
+    placed = written(
+        lists.alias("l")
+        .join(several.alias("o"), _same_list("l", "o"))
+        .select(
+            F.xxhash64("l.token", F.col("l.second").isNull(), "l.second").alias("list_id"),
+            "set_id", "n", "c", dealt(_CENTRES, 1).alias("slice"), dealt(_MEMBERS, 2).alias("part"),
+        ),
+        "placed",
+    )
+    start, width = 0, 1
+    bits = sets.select("set_id", "n", *_BITS)
     while True:
-        current = (placed.where(F.col("place") >= start) if placed is not None else lists).join(labels, "set_id")
-        mixed_lists = current.groupBy("token", "second").agg(
-            F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("members")
-        )
-        open_lists = mixed_lists.where("least < most AND members > 1")
-        kept = current.alias("l").join(open_lists.alias("o"), _same_list("l", "o"), "left_semi").drop("label")
-        if placed is None:
-            kept = kept.withColumn("place", F.row_number().over(by_key) - 1)
-        placed = written(kept.select("token", "second", "set_id", "n", "c", "place"), "open")
-        if placed.isEmpty():
+        current = placed.where(F.col("slice") >= start).join(labels, "set_id")
+        lasting = current.groupBy("list_id").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
+        now = written(current.join(lasting.select("list_id"), "list_id", "left_semi"), "open")
+        if now.isEmpty():
             return labels
-        now = placed.join(labels, "set_id").join(sets.select("set_id", *_BITS), "set_id")
-        centre = now.where((F.col("place") >= start) & (F.col("place") < start + centres))
-        apart = (F.col("c.place") < F.col("l.place")) & (F.col("c.label") != F.col("l.label"))
-        pairs = (
-            centre.alias("c")
-            .join(now.alias("l"), _same_list("c", "l") & apart & _alike("c", "l") & _near("c", "l"))
-            .select(F.col("c.set_id").alias("a"), F.col("l.set_id").alias("b"))
-            .distinct()
-            .join(compared, ["a", "b"], "left_anti")
-        )
-        pairs = written(pairs, "pairs")
+        pairs = _partners(now, start, width).join(compared, ["a", "b"], "left_anti")
+        sides = pairs.join(bits.alias("x"), F.col("a") == F.col("x.set_id")).join(bits.alias("y"), F.col("b") == F.col("y.set_id"))
+        pairs = written(sides.where(_near("x", "y")).select("a", "b"), "pairs")
         compared = compared.unionByName(pairs)
         labels = components(linked(pairs, sets), labels)
         released(spark)
-        start, centres = start + centres, centres * 4
+        start, width = start + width, width * 4
 
 
 def similarity_classes(docs: DataFrame) -> DataFrame:

@@ -115,6 +115,38 @@ def test_jaccard_links_of_frequent_tokens(spark, monkeypatch):
     assert got == brute.components(made)
 
 
+def test_jaccard_lists_of_unlinked_members(spark, monkeypatch):
+    """Hundreds of documents share every frequent token of a passage, and pairs of them are copies; no others are linked."""
+    for name, value in (("RARE", 0), ("_CENTRES", 8), ("_MEMBERS", 30)):
+        monkeypatch.setattr(jaccard, name, value)
+    shared = _passage(50, 150)
+    made = []
+    for k in range(300):
+        own = _passage(1000 + k // 2, 50)
+        made.append((k, f"{shared} {own}" + (" and a tail" if k % 2 else "")))
+    frame = spark.createDataFrame(made, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.similarity_classes(frame).collect()}
+    assert got == {k: k - k % 2 for k in range(300)}
+
+
+def test_jaccard_puts_a_pair_together_once(spark):
+    rows = [(n, k, 100, 100, k, k % 3) for n in range(40) for k in range(6)]
+    now = spark.createDataFrame(rows, "list_id bigint, set_id bigint, n bigint, c bigint, label bigint, slice bigint")
+    now = now.withColumn("part", F.col("set_id") % 2)
+    found = jaccard._partners(now, 0, 1).union(jaccard._partners(now, 1, 4))
+    assert sorted(map(tuple, found.collect())) == [(a, b) for a in range(6) for b in range(a + 1, 6)]
+    assert jaccard._partners(now.withColumn("label", F.lit(1)), 0, 9).count() == 0
+    apart = now.withColumn("n", F.when(F.col("set_id") == 5, 300).otherwise(F.col("n")))
+    assert all(5 not in (r["a"], r["b"]) for r in jaccard._partners(apart, 0, 9).collect())
+
+
+def test_the_filter_makes_words_once(spark):
+    """Counts are bound, not written out wherever a rule names them."""
+    given = spark.read.parquet(f"{SMALL}/documents.parquet")
+    plan = quality.kept_documents(given)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2  # words and lines
+
+
 def test_quality_counts(docs, texts):
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     got = {r["doc_id"]: tuple(r[n] for n in names) for r in quality.quality_table(docs).collect()}
@@ -126,8 +158,8 @@ def test_quality_counts(docs, texts):
 def test_quality_rule_bounds(spark):
     frame = spark.createDataFrame([(1, "the " + _passage(30, 59))], "doc_id bigint, text string")
     strict = (quality.Rule("stop", "n_stop_words", "n_words", low=0.5),)
-    assert quality.judged(frame, rules=()).first()["kept"]
-    assert quality.judged(frame, rules=strict).first()["failed_rules"] == ["stop"]
+    assert quality.judged(frame, rules=()).first()["_verdict"]["kept"]
+    assert quality.judged(frame, rules=strict).first()["_verdict"]["failed_rules"] == ["stop"]
 
 
 def test_quality_keeps_texts_with_a_short_repeated_line(spark):
@@ -137,7 +169,7 @@ def test_quality_keeps_texts_with_a_short_repeated_line(spark):
     frame = spark.createDataFrame(made, "doc_id bigint, text string")
     assert sorted(r["doc_id"] for r in quality.kept_documents(frame).collect()) == [1, 3]
     rules = [r for r in quality.RULES if r.name == "dup_line_ratio"]
-    got = {r["_given"]["doc_id"]: (r["n_dup_lines"], r["failed_rules"]) for r in quality.judged(frame, rules=rules, weighed=True).collect()}
+    got = {r["_given"]["doc_id"]: (r["_verdict"]["n_dup_lines"], r["_verdict"]["failed_rules"]) for r in quality.judged(frame, rules=rules).collect()}
     assert got == {1: (1, []), 2: (11, ["dup_line_ratio"]), 3: (0, [])}
 
 
@@ -160,7 +192,7 @@ def test_quality_keeps_other_languages(spark):
     made = [(k, t + " " + " ".join(reversed(t.split()))) for k, t in OTHER_LANGUAGES.items()]
     made.append(("junk", _passage(31, 90)))
     frame = spark.createDataFrame(made, "doc_id string, text string")
-    got = {r["_given"]["doc_id"]: r for r in quality.judged(frame).collect()}
+    got = {r["_given"]["doc_id"]: r["_verdict"] for r in quality.judged(frame).collect()}
     assert {k for k, r in got.items() if not r["failed_rules"]} == set(OTHER_LANGUAGES) == {k for k, r in got.items() if r["kept"]}
     assert got["junk"]["failed_rules"] == ["stop_word_ratio"]
 
