@@ -3,7 +3,19 @@
 from __future__ import annotations
 
 from flowmart.llm.licences import KNOWN, SPELLINGS
-from flowmart.llm.quality import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS
+from flowmart.llm.quality import (
+    DUP_CHARACTERS,
+    DUP_LINE_RATIO,
+    LATIN,
+    MAX_REPEAT_PERCENT,
+    MIN_WORDS,
+    OTHER_LETTERS,
+    OTHER_STOP_WORDS,
+    OWN_LATIN,
+    RULES,
+    STOP_WORD_RATIO,
+    STOP_WORDS,
+)
 
 _WORDS = r"list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -11,12 +23,24 @@ _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 def _quality() -> str:
     stops = ", ".join(f"'{w}'" for w in STOP_WORDS)
+    others = ", ".join(f"'{w}'" for w in sorted({*STOP_WORDS, *OTHER_STOP_WORDS}))
+    count = lambda letters: f"len(regexp_extract_all(t, '{letters}'))"
+    latin, own = count(f"[{LATIN}]"), count(f"[{OWN_LATIN}]")
+    known = f"len(list_filter(ws, lambda w: lower(trim(w, '.,;:!?\"''()')) IN ({others})))"
+    low = next(rule.low for rule in RULES if rule.name == STOP_WORD_RATIO)
+    exceptions = {
+        STOP_WORD_RATIO: f"""{count(r'\p{L}')} > 2 * {latin} OR CAST({latin} - {own} AS double) > {latin} * {OTHER_LETTERS}::double
+      OR CAST({known} AS double) >= n_words * {low}::double""",
+        DUP_LINE_RATIO: f"CAST(line_chars - different_chars AS double) <= line_chars * {DUP_CHARACTERS}::double",
+    }
     rules = []
     for rule in RULES:
         if rule.low is not None:
             rules.append(f"CAST({rule.numerator} AS double) >= CAST({rule.denominator} AS double) * {rule.low}::double")
         if rule.high is not None:
             rules.append(f"CAST({rule.numerator} AS double) <= CAST({rule.denominator} AS double) * {rule.high}::double")
+        if rule.name in exceptions:
+            rules[-1] = f"({rules[-1]} OR {exceptions[rule.name]})"
     return f"""WITH texts AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
 split AS (SELECT *, {_WORDS} AS ws,
     list_filter(string_split(t, chr(10)), lambda l: translate(l, {_WHITE}, '') <> '') AS ls FROM texts),
@@ -24,7 +48,8 @@ grams AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
     FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM split)),
 again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams) WHERE n > 1),
 repeated AS (SELECT r, count(DISTINCT i + k) AS n FROM again, range(3) x(k) GROUP BY r),
-counted AS (SELECT doc_id, len(ws) AS n_words, CAST(length(translate(t, {_WHITE}, '')) AS bigint) AS word_chars,
+counted AS (SELECT doc_id, t, ws, coalesce(list_sum(list_transform(ls, lambda l: length(l))), 0) AS line_chars,
+    coalesce(list_sum(list_transform(list_distinct(ls), lambda l: length(l))), 0) AS different_chars, len(ws) AS n_words, CAST(length(translate(t, {_WHITE}, '')) AS bigint) AS word_chars,
     CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS bigint) AS n_symbols,
     CAST(len(ls) AS bigint) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS bigint) AS n_dup_lines,
     CAST(len(list_filter(ls, lambda l: l LIKE '%...' OR l LIKE '%…')) AS bigint) AS n_ellipsis_lines,
@@ -33,7 +58,7 @@ counted AS (SELECT doc_id, len(ws) AS n_words, CAST(length(translate(t, {_WHITE}
     CAST(len(list_filter(ws, lambda w: regexp_matches(w, '\\p{{L}}'))) AS bigint) AS n_letter_words
   FROM split LEFT JOIN repeated USING (r)),
 base AS (SELECT *, n_words < {MIN_WORDS} OR n_repeat_words * 100 > n_words * {MAX_REPEAT_PERCENT} AS base_failed FROM counted)
-SELECT *, NOT base_failed AND {' AND '.join(rules)} AS kept FROM base"""
+SELECT * EXCLUDE (t, ws, line_chars, different_chars), NOT base_failed AND {' AND '.join(rules)} AS kept FROM base"""
 
 
 def _licences() -> str:

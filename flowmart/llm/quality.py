@@ -140,71 +140,85 @@ def _lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda line: _removed(line, WHITE) != "")
 
 
-def _light_duplicates(text: Column) -> Column:
-    """Whether duplicate lines hold no more than a small share of the characters of all lines."""
-    length = lambda lines: F.aggregate(lines, F.lit(0).cast("bigint"), lambda n, line: n + F.length(line))
-    light = lambda a: length(a) - length(F.array_distinct(a)) <= length(a) * F.lit(DUP_CHARACTERS)
-    return let(_lines(text), light)
-
-
-def _counts(text: Column, tokens: Column) -> dict[str, Column]:
-    lines = _lines(text)
-    count = lambda array: F.size(array).cast("bigint")
-    return {
-        "n_words": count(tokens),
+def _size(array: Column) -> Column:
+    return F.size(array).cast("bigint")
+
+
+def _characters(lines: Column) -> Column:
+    return F.aggregate(lines, F.lit(0).cast("bigint"), lambda n, line: n + F.length(line))
+
+
+def _counts(text: Column, tokens: Column, lines: Column) -> Column:
+    counts = {
+        "n_words": _size(tokens),
         "word_chars": F.length(_removed(text, WHITE)).cast("bigint"),
         "n_symbols": (F.length(text) - F.length(_removed(text, SYMBOLS))).cast("bigint"),
-        "n_lines": count(lines),
-        "n_dup_lines": let(lines, lambda a: count(a) - count(F.array_distinct(a))),
-        "n_ellipsis_lines": count(F.filter(lines, lambda line: line.endswith("...") | line.endswith("…"))),
+        "n_lines": _size(lines),
+        "n_dup_lines": _size(lines) - _size(F.array_distinct(lines)),
+        "n_ellipsis_lines": _size(F.filter(lines, lambda line: line.endswith("...") | line.endswith("…"))),
         "n_repeat_words": repeat_words(tokens),
-        "n_stop_words": count(F.filter(tokens, lambda w: _bare(w).isin(STOP_WORDS))),
-        "n_letter_words": count(F.filter(tokens, lambda w: w.rlike(r"\p{L}"))),
+        "n_stop_words": _size(F.filter(tokens, lambda w: _bare(w).isin(STOP_WORDS))),
+        "n_letter_words": _size(F.filter(tokens, lambda w: w.rlike(r"\p{L}"))),
     }
+    return F.struct(*[count.alias(name) for name, count in counts.items()])
 
 
-def _passes(rule: Rule, weighed: bool) -> Column:
-    """Compares products, not quotients, so that nothing is divided and thresholds are met exactly. Few stop words are
-    looked at more closely, in the few texts that have so few."""
-    above, below = F.col(rule.numerator).cast("double"), F.col(rule.denominator).cast("double")
+def _passes(rule: Rule, counts: Column, text: Column, tokens: Column, lines: Column) -> Column:
+    """Compares products, not quotients, so that nothing is divided and thresholds are met exactly. Two rules have an
+    exception, which is looked at in the few texts that break them: few stop words in a text that is likely to be in another
+    language, and duplicate lines that hold a small share of the characters of all lines."""
+    above, below = counts[rule.numerator].cast("double"), counts[rule.denominator].cast("double")
     low = F.lit(True) if rule.low is None else above >= below * F.lit(rule.low)
     high = F.lit(True) if rule.high is None else above <= below * F.lit(rule.high)
     if rule.name == STOP_WORD_RATIO:
-        return F.when(low, high).otherwise(high & _other_language(F.col("_text"), words(F.col("_text")), rule.low))
-    if weighed and rule.name == DUP_LINE_RATIO:
-        return F.when(high, low).otherwise(low & _light_duplicates(F.col("_text")))
+        return F.when(low, high).otherwise(high & _other_language(text, tokens, rule.low))
+    if rule.name == DUP_LINE_RATIO:
+        all_, different = _characters(lines), _characters(F.array_distinct(lines))
+        return F.when(high, low).otherwise(low & (all_ - different <= all_ * F.lit(DUP_CHARACTERS)))
     return low & high
 
 
-def judged(
-    docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rules: tuple[Rule, ...] = RULES, weighed: bool = False
-) -> DataFrame:
-    """The columns `keep` with all counts, base_failed, failed_rules (names, in order of the table) and kept.
+def _verdict(text: Column, rules: tuple[Rule, ...]) -> Column:
+    """All counts, base_failed, failed_rules (names, in order of the table) and kept, as one struct.
 
-    weighed: duplicate lines fail a text only if they also hold a share of its characters.
+    Words, lines and counts are bound one in another, so each is made once, also where a filter asks for `kept` alone.
     """
-    # Kept columns go into one struct, so that a column of the input named like a count cannot clash.
-    given = F.struct(*[F.col(c) for c in keep]).alias("_given")
-    text = docs.select(given, F.coalesce(F.col("text"), F.lit("")).alias("_text"))
-    split = text.select("_given", "_text", words(F.col("_text")).alias("_words"))
-    counted = split.select("_given", "_text", *[c.alias(n) for n, c in _counts(F.col("_text"), F.col("_words")).items()])
-    failed = F.array(*[F.when(~_passes(rule, weighed), F.lit(rule.name)) for rule in rules]) if rules else F.array()
-    base = (F.col("n_words") < MIN_WORDS) | (
-        F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
-    )
-    ruled = counted.withColumns(
-        {"base_failed": base, "failed_rules": F.filter(failed.cast("array<string>"), lambda n: n.isNotNull())}
-    ).drop("_text")
-    return ruled.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+    def ruled(counts: Column, tokens: Column, lines: Column) -> Column:
+        checks = [F.when(~_passes(rule, counts, text, tokens, lines), F.lit(rule.name)) for rule in rules]
+        failed = F.filter(F.array(*checks).cast("array<string>"), lambda name: name.isNotNull())
+        base = (counts["n_words"] < MIN_WORDS) | (
+            counts["n_repeat_words"] * 100 > counts["n_words"] * MAX_REPEAT_PERCENT
+        )
+        named = [counts[name].alias(name) for name in COUNTS]
+        whole = lambda f, b: F.struct(*named, b.alias("base_failed"), f.alias("failed_rules"), (~b & (F.size(f) == 0)).alias("kept"))
+        return let(failed, lambda f: let(base, lambda b: whole(f, b)))
+
+    def of_words(tokens: Column) -> Column:
+        return let(_lines(text), lambda lines: let(_counts(text, tokens, lines), lambda c: ruled(c, tokens, lines)))
+
+    return let(words(text), of_words)
+
+
+COUNTS = (
+    "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_ellipsis_lines", "n_repeat_words", "n_stop_words",
+    "n_letter_words",
+)
+
+
+def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """_given, all columns of docs as a struct, and _verdict, the struct of counts and verdicts."""
+    # Given columns go into one struct, so that a column of the input named like a count cannot clash.
+    text = docs.select(F.struct("*").alias("_given"), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+    return text.select("_given", _verdict(F.col("_text"), rules).alias("_verdict"))
 
 
 def quality_table(docs: DataFrame) -> DataFrame:
     """One row per document: the counts, base_failed and kept."""
-    names = [c for c in judged(docs.limit(0)).columns if c not in ("_given", "failed_rules")]
-    return judged(docs).select(F.col("_given.doc_id").alias("doc_id"), *names)
+    verdict = [F.col(f"_verdict.{name}").alias(name) for name in (*COUNTS, "base_failed", "kept")]
+    return judged(docs.select("doc_id", "text")).select(F.col("_given.doc_id").alias("doc_id"), *verdict)
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all their columns, that pass the base rule and every rule of the table. Duplicate lines are
-    weighed here; the table of verdicts counts them without weight, as its SQL states."""
-    return judged(docs, tuple(docs.columns), weighed=True).where("kept").select("_given.*")
+    """The rows of docs, all their columns, that pass the base rule and every rule of the table."""
+    return judged(docs).where("_verdict.kept").select("_given.*")
