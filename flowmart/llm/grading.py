@@ -141,10 +141,12 @@ def trained(docs: DataFrame, rated: DataFrame, sample: int = SAMPLE) -> Model:
                 yield pa.RecordBatch.from_arrays([*ids, lists], names=["doc_id", "grade", "places"])
 
     chosen = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", F.col("grade").cast("int"), "text")
-    table = (
-        texts.mapInArrow(describe, "doc_id bigint, grade int, places array<int>").orderBy("doc_id").limit(sample).toArrow()
+    # Only these two columns, whatever others are called; of rows that share an id the same ones in every run.
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    described = texts.select("doc_id", F.col("grade").cast("int"), "text").mapInArrow(
+        describe, "doc_id bigint, grade int, places array<int>"
     )
+    table = described.orderBy("doc_id", "places").limit(sample).toArrow()
     grades = table.column("grade").to_numpy().astype(np.int64)
     if len(set(grades.tolist())) < 2:
         share = [(grades >= k).mean() if len(grades) else 0.5 for k in range(1, GRADES)]

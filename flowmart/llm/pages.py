@@ -3,11 +3,14 @@
 A page is cut into blocks at block-level tags. The first pass looks at each block alone: blocks of menus, page headers,
 footers, sidebars, notices, adverts, forms and reader comments (by element, role, class or id) are boilerplate, and so
 are blocks that are mostly links or short ones that state a copyright (what a class or id hints never covers an article
-or main, reader comments and related articles behind the text excepted); long blocks with many stop words are text; the rest is left open,
+or main, reader comments and related articles behind the text excepted, and where the page is left without text the hints are
+tried without, as far as the blocks under them are long text); long blocks with many stop words are text; the rest is left open,
 as short blocks are. On a page that marks its article, what is outside is boilerplate and every block inside that is long
 enough is text, whatever its stop words. The second pass gives open blocks the label of their nearest decided neighbours:
 text if both sides (or the only side) are text, by stop words if they differ; headings follow the block after them. Where
-the stop words of the language are not known, length and the share of links decide alone.
+the stop words of the language are not known, length and the share of links decide alone. If nothing is text, the paragraphs that
+are no boilerplate are. What stands inside a link counts as linked, also through block tags in it, and hidden elements
+(also by their style) are boilerplate.
 
 Scripts, styles, comments and the elements of the head never become blocks; the end tag of the head may be missing. Character references are decoded, white space inside a block
 becomes one space, blocks are joined by an empty line in page order. NULL pages count as empty, their text is empty.
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -61,6 +65,8 @@ _ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^
 _LAYOUT = re.compile(r"^(?:has|no|with|without)[_-]|^elementor|side[_-]by[_-]side|content[_-]sidebar|sidebar[_-]content")
 # Hints of what stands in articles of its own behind the article of the page.
 _BEHIND = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|replies|respond|reply|related|recommended)(?:$|[\s_-])")
+_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)")
+_HINTED, _HINTED_BEHIND, _SURE = 1, 2, 3
 _SPACE = re.compile(r"\s+")
 _COPYRIGHT = re.compile(r"^\s*(?:©|\(c\)|copyright\b)", re.I)
 _STOPS = frozenset(STOP_WORDS)
@@ -72,11 +78,12 @@ _OTHER_LETTER = re.compile(f"(?![{OWN_LATIN}])[{LATIN}]")
 
 @dataclass
 class Block:
-    """side: inside boilerplate; article: inside a marked article; heading: an h1 to h6."""
+    """side: inside boilerplate, see _aside; article: inside a marked article; heading: an h1 to h6; paragraph: a p."""
 
-    side: bool
+    side: int
     article: bool
     heading: bool
+    paragraph: bool = False
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
@@ -89,23 +96,26 @@ def _hints(value: str) -> str:
     return " ".join(name for name in value.split() if _HINT.search(name) and not _LAYOUT.search(name))
 
 
-def _aside(tag: str, attributes: str, in_article: bool, holds: bool, told: bool) -> bool:
-    """holds: it is or contains an article or main; told: a long text of an article came before."""
+def _aside(tag: str, attributes: str, in_article: bool, holds: bool, told: bool) -> int:
+    """Whether an element is boilerplate: _SURE, as a class or id hints (_HINTED, _HINTED_BEHIND), or not at all (0).
+    holds: it is or contains an article or main; told: a long text of an article came before."""
     # Some pages are one form as a whole.
     if tag in _SIDE and not (tag == "form" and holds) or tag == "header" and not in_article:
-        return True
+        return _SURE
+    hinted = 0
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDDEN.search(value):
+            return _SURE
         if name == "role" and value in _ROLES:
-            return True
+            return _SURE
         # A page may hang its layout on all that is around its text; such a class says nothing about the text inside.
         if name in ("class", "id") and tag not in ("html", "body", "main"):
             hints = _hints(value)
-            if hints and (not holds or told and _BEHIND.search(hints)):
-                return True
-    return False
+            behind = bool(_BEHIND.search(hints))
+            if hints and (not holds or told and behind):
+                hinted = max(hinted, _HINTED_BEHIND if behind else _HINTED)
+    return hinted
 
 
 def _tokens(page: str) -> Iterator[tuple[int, int, re.Match]]:
@@ -126,20 +136,40 @@ def _tokens(page: str) -> Iterator[tuple[int, int, re.Match]]:
         yield token.start(), at, token
 
 
+def _close_up_to(tag: str, stack: list[tuple], open_tags: Counter[str]) -> None:
+    """Closes the innermost element of a tag and all inside it; an end tag without a start closes nothing."""
+    while open_tags[tag]:
+        name = stack.pop()[0]
+        open_tags[name] -= 1
+        if name == tag:
+            break
+
+
+def _ended_links(tokens: list[tuple[int, int, re.Match]]) -> set[int]:
+    """Places of the start tags of links that have an end tag before the next link."""
+    found, last = set(), None
+    for place, (_, _, token) in enumerate(tokens):
+        if (token.group(3) or "").lower() == "a":
+            if token.group(2) and last is not None:
+                found.add(last)
+            last = None if token.group(2) else place
+    return found
+
+
 def _holding(tokens: list[tuple[int, int, re.Match]]) -> set[int]:
     """Places of the start tags of containers that are or contain an article or main."""
     found: set[int] = set()
     stack: list[tuple[str, int]] = []
+    open_tags: Counter[str] = Counter()
     for place, (_, _, token) in enumerate(tokens):
         tag = (token.group(3) or "").lower()
         if tag not in _CONTAINER:
             continue
         if token.group(2):
-            if any(name == tag for name, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            _close_up_to(tag, stack, open_tags)
         elif not token.group(4).endswith("/"):
             stack.append((tag, place))
+            open_tags[tag] += 1
             if tag in ("article", "main"):
                 # Whatever is open below a container that was found has been found with it.
                 for _, around in reversed(stack):
@@ -152,9 +182,10 @@ def _holding(tokens: list[tuple[int, int, re.Match]]) -> set[int]:
 def blocks(page: str) -> list[Block]:
     """All blocks with text, in page order."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # open containers: tag, boilerplate, article
-    links, at, side, article, heading, told = 0, 0, False, False, False, False
-    current = Block(False, False, False)
+    stack: list[tuple[str, int, bool]] = []  # open containers: tag, boilerplate, article
+    open_tags: Counter[str] = Counter()
+    links, at, side, article, heading, paragraph, told = 0, 0, 0, False, False, False, False
+    current = Block(0, False, False)
 
     def close() -> None:
         nonlocal current, told
@@ -163,7 +194,7 @@ def blocks(page: str) -> list[Block]:
             current.text = text
             found.append(current)
             told = told or current.article and not current.side and len(text) >= LONG
-        current = Block(side, article, heading)
+        current = Block(side, article, heading, paragraph)
 
     def add(text: str) -> None:
         if text:
@@ -172,7 +203,7 @@ def blocks(page: str) -> list[Block]:
                 current.linked += len(_SPACE.sub(" ", text).strip())
 
     tokens = list(_tokens(page))
-    holding = _holding(tokens)
+    holding, ended = _holding(tokens), _ended_links(tokens)
     for place, (start, end, token) in enumerate(tokens):
         add(page[at:start])
         at = end
@@ -180,23 +211,24 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         if tag == "a":
-            links = 0 if token.group(2) else 1
+            # A link without an end is one up to the next block tag only.
+            links = 0 if token.group(2) else 2 if place in ended else 1
         elif tag == "br":
             current.parts.append(" ")
         elif tag in _BLOCK:
             if token.group(2):
-                if any(name == tag for name, _, _ in stack):
-                    while stack.pop()[0] != tag:
-                        pass
+                _close_up_to(tag, stack, open_tags)
             elif tag in _CONTAINER and not token.group(4).endswith("/"):
-                inherited = stack[-1][1:] if stack else (False, False)
+                inherited = stack[-1][1:] if stack else (0, False)
                 inside = inherited[1] or tag in ("article", "main")
                 close()
-                aside = inherited[0] or _aside(tag, token.group(4), inherited[1], place in holding, told)
+                aside = max(inherited[0], _aside(tag, token.group(4), inherited[1], place in holding, told))
                 stack.append((tag, aside, inside))
-            side, article = stack[-1][1:] if stack else (False, False)
+                open_tags[tag] += 1
+            side, article = stack[-1][1:] if stack else (0, False)
             heading = not token.group(2) and len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
-            links = 0
+            paragraph = not token.group(2) and tag == "p"
+            links = links if links == 2 else 0
             close()
     add(page[at:])
     close()
@@ -219,20 +251,24 @@ def _foreign(text: str) -> bool:
     return _stop_density(text, _OTHER_STOPS) > max(density, STOP_LOW / 2)
 
 
-def _mark_foreign(found: list[Block]) -> None:
+def _mark_foreign(found: list[Block], sides: int) -> None:
     """A block is foreign by itself, or as a part of a page that is."""
-    open_ = [b for b in found if not b.side and b.linked <= LINK_DENSITY * len(b.text)]
+    open_ = [b for b in found if b.side < sides and b.linked <= LINK_DENSITY * len(b.text)]
     page = _foreign(" ".join(b.text for b in open_))
     for block in open_:
         block.foreign = (page and _stop_density(block.text) < STOP_LOW) or _foreign(block.text)
 
 
-def _first_pass(block: Block, marked: bool) -> bool | None:
-    if block.side or marked and not block.article:
-        return False
+def _linked_or_legal(block: Block) -> bool:
+    """Mostly links, or a short note of copyright."""
     if block.linked > LINK_DENSITY * len(block.text):
-        return False
-    if _COPYRIGHT.match(block.text) and (len(block.text) < SHORT or len(block.text) < LONG and _stop_density(block.text) < STOP_LOW):
+        return True
+    short = len(block.text) < SHORT or len(block.text) < LONG and _stop_density(block.text) < STOP_LOW
+    return bool(short and _COPYRIGHT.match(block.text))
+
+
+def _first_pass(block: Block, marked: bool, sides: int) -> bool | None:
+    if block.side >= sides or marked and not block.article or _linked_or_legal(block):
         return False
     if len(block.text) < SHORT or block.heading:
         return None
@@ -249,15 +285,28 @@ def _first_pass(block: Block, marked: bool) -> bool | None:
 def main_text(page: str) -> str:
     """The text blocks of a page, joined by an empty line."""
     found = blocks(page)
-    marked = any(b.article and not b.side for b in found)
+    good = _second_pass(found, _HINTED)
+    # A class may hint at boilerplate on what is all the text of the page; then its long blocks count.
+    for sides in (_HINTED_BEHIND, _SURE):
+        if not good and any(0 < b.side < sides for b in found):
+            tried = _second_pass(found, sides)
+            good = tried if sum(len(b.text) for b in tried) >= 2 * LONG else []
+    if not good:
+        good = [b for b in found if not b.side and b.paragraph and not _linked_or_legal(b)]
+    return "\n\n".join(b.text for b in good)
+
+
+def _second_pass(found: list[Block], sides: int) -> list[Block]:
+    """The blocks that are text, where blocks from this degree of `side` on are boilerplate."""
+    marked = any(b.article and b.side < sides for b in found)
     if not marked:
-        _mark_foreign(found)
+        _mark_foreign(found, sides)
     for block in found:
-        block.good = _first_pass(block, marked)
+        block.good = _first_pass(block, marked, sides)
     labels = [b.good for b in found]
     before, after = [], [None] * len(found)
     # Within a marked article the neighbours are those of the article: what is outside has been decided.
-    counts = [not marked or b.article and not b.side for b in found]
+    counts = [not marked or b.article and b.side < sides for b in found]
     last = None
     for label, own in zip(labels, counts, strict=True):
         before.append(last)
@@ -269,14 +318,14 @@ def main_text(page: str) -> str:
     for k, block in enumerate(found):
         if block.good is not None:
             continue
-        sides = [x for x in ((after[k],) if block.heading and after[k] is not None else (before[k], after[k])) if x is not None]
-        if not sides:
+        near = [x for x in ((after[k],) if block.heading and after[k] is not None else (before[k], after[k])) if x is not None]
+        if not near:
             block.good = marked or _stop_density(block.text) >= STOP_LOW or block.foreign and len(block.text) >= SHORT
-        elif len(set(sides)) == 1:
-            block.good = sides[0]
+        elif len(set(near)) == 1:
+            block.good = near[0]
         else:
             block.good = marked or _stop_density(block.text) >= STOP_HIGH or block.foreign and len(block.text) >= SHORT
-    return "\n\n".join(b.text for b in found if b.good)
+    return [b for b in found if b.good]
 
 
 def extracted(pages: DataFrame) -> DataFrame:
