@@ -47,7 +47,8 @@ _LEAST_BITS = 6
 _CENTRES = 32  # members of a list's slice
 _MEMBERS = 256  # members of a list that stand in one row
 _BITS = [f"b{k}" for k in range(8)]
-_MEMBER = ["set_id", "n", "c", "label", "slice"]
+_MEMBER = ["set_id", "n", "c", "label", "rank"]
+_RANKS = 1 << 30
 
 
 def required(n: np.ndarray) -> np.ndarray:
@@ -395,7 +396,7 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
 
 def _partners(now: DataFrame, start: int, width: int) -> DataFrame:
     """(a, b): different pairs of set ids, a < b, of members of a list in different components, one of them in the slices from
-    start on, that their sizes allow to be linked."""
+    start on, that their sizes allow to be linked. Of two members the one of lower rank looks for the other, in every list."""
 
     def compare(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -417,15 +418,13 @@ def _partners(now: DataFrame, start: int, width: int) -> DataFrame:
             for k in range(len(batch)):
                 x = {f: v[starts[k] : starts[k + 1], None] for f, v in c.items()}
                 y = {f: v[None, ends[k] : ends[k + 1]] for f, v in m.items()}
-                # Two members of centre slices meet in both orders; the later slice leaves it to the earlier one.
-                later = (x["slice"] < y["slice"]) | ((x["slice"] == y["slice"]) & (x["set_id"] < y["set_id"]))
+                later = (x["rank"] < y["rank"]) | ((x["rank"] == y["rank"]) & (x["set_id"] < y["set_id"]))
                 shared = np.minimum(x["c"], y["c"])
                 alike = shared * (100 + PERCENT) >= (x["n"] + y["n"]) * PERCENT
                 i, j = np.nonzero(later & (x["label"] != y["label"]) & alike)
-                one, other = x["set_id"][i, 0], y["set_id"][0, j]
-                if len(one):
-                    held.append((np.minimum(one, other), np.maximum(one, other)))
-                    total += len(one)
+                if len(i):
+                    held.append((x["set_id"][i, 0], y["set_id"][0, j]))
+                    total += len(i)
                 if total >= FLUSH:
                     yield flush()
                     held, total = [], 0
@@ -439,7 +438,8 @@ def _partners(now: DataFrame, start: int, width: int) -> DataFrame:
     packed = left.join(right, "list_id").select("centres", "members").mapInArrow(compare, "a bigint, b array<bigint>")
     # A set meets its partners in several lists: here each of them stays once.
     each = packed.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("b"))).alias("b"))
-    return each.select("a", F.explode("b").alias("b"))
+    pairs = each.select("a", F.explode("b").alias("b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def joined_sets(sets: DataFrame) -> DataFrame:
@@ -456,14 +456,17 @@ def joined_sets(sets: DataFrame) -> DataFrame:
         .agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("members"))
         .where("least < most")
     )
-    # Slices of a list are compared with all its members, one after the other; parts only keep rows small.
-    dealt = lambda size, seed: F.pmod(F.xxhash64("set_id", F.lit(seed)), F.ceil(F.col("members") / size))
+    # Slices of a list are compared with all its members, one after the other; parts only keep rows small. A set has the same
+    # rank in all its lists, so that those that share members choose the same ones first.
+    rank = F.pmod(F.xxhash64("set_id"), F.lit(_RANKS))
+    slice_ = F.floor(rank * F.ceil(F.col("members") / _CENTRES) / _RANKS)
+    part = F.pmod(F.xxhash64("set_id", F.lit(2)), F.ceil(F.col("members") / _MEMBERS))
     placed = written(
         lists.alias("l")
         .join(several.alias("o"), _same_list("l", "o"))
         .select(
             F.xxhash64("l.token", F.col("l.second").isNull(), "l.second").alias("list_id"),
-            "set_id", "n", "c", dealt(_CENTRES, 1).alias("slice"), dealt(_MEMBERS, 2).alias("part"),
+            "set_id", "n", "c", rank.alias("rank"), slice_.alias("slice"), part.alias("part"),
         ),
         "placed",
     )
@@ -522,7 +525,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "count")).alias("first")
     chosen = each.groupBy("label", alone).agg(first).select("first.doc_id", "first.key", "first.count")
     chosen = written(chosen, "chosen")
-    given = docs.select(F.struct(*docs.columns).alias("_given"), F.col("doc_id"), row_key(F.col("text")).alias("_key"))
+    given = docs.select(F.struct("*").alias("_given"), F.col("doc_id"), row_key(F.col("text")).alias("_key"))
     same = given["doc_id"].eqNullSafe(chosen["doc_id"]) & (given["_key"] == chosen["key"])
     kept = given.join(chosen, same, "left_semi")
     copies = chosen.where("count > 1").limit(1).count()
