@@ -4,13 +4,16 @@ The corpus is its own reference. It is cut by content into blocks: neighbouring
 run of ANCHOR words with the least hash inside a window) form a block, so that equal passages are cut alike wherever they stand,
 except at their ends. Each document is then a sequence of blocks, and is factored against the index of all blocks:
 
-1. Greedy step: a block that the index holds twice or more is one long factor, taken whole.
-2. Check at factor boundaries: a block that occurs once, but whose anchor occurs again, may hold the start or the end of
-   a passage. Its windows, and those of every different block with that anchor, are looked up one by one.
-3. Factors of at least `window` words become duplicate spans; the words under a span are removed.
-
-The result is exact up to collisions of 128-bit window hashes: a window that occurs twice has the same anchor both times,
-so both occurrences are in blocks that step 2 compares. Copies of a block count once in the index, however many there
+1. Index: every different block with its number of occurrences and the places of two of them, the reference.
+2. Greedy step: from left to right, a block that the index holds elsewhere opens a factor, and the factor goes on as long as the next
+   block is the one that follows in the reference. Any such factor is longer than `window` words.
+3. Check at factor boundaries: a block that occurs once, but whose anchor occurs again, may hold the start or the end of
+   a passage that the factors beside it miss. Its windows, and those of every different block with that anchor, are looked up
+   one by one, and runs of windows that occur elsewhere are factors too, without a place in the reference.
+4. Factors, all of at least `window` words, become duplicate spans; the words under a span are removed.
+
+The result is exact up to collisions: a block is known by 128 bits (its anchor and its own hash), a window by 128. A window that occurs
+twice has the same anchor both times, so both occurrences are in blocks that step 3 compares. Copies of a block count once in the index, however many there
 are; hot blocks and anchors are summed before each shuffle and joined with the (unique) index side, which Spark can split.
 
 NULL and empty texts have no words. Rows with equal doc_id and text are copies of one document: each repeats the other,
@@ -35,7 +38,7 @@ from flowmart.workspace import written
 
 WINDOW = 35
 ANCHOR = 8
-_FACTOR = T.StructType([T.StructField("at", T.LongType()), T.StructField("length", T.LongType())])
+_FACTOR = T.StructType([T.StructField(name, T.LongType()) for name in ("at", "length", "ref_doc_id", "ref_at")])
 _CUT = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
@@ -99,7 +102,7 @@ def blocks(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def _checked_windows(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(w1, w2, block, place, n) of every window of the wanted blocks, read from the text of one document each."""
+    """(w1, w2, block, anchor, place, n) of every window of the wanted blocks, read from the text of one document each."""
 
     def look(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
@@ -122,22 +125,24 @@ def _checked_windows(docs: DataFrame, wanted: DataFrame, window: int) -> DataFra
                         pa.array(one[at].view(np.int64)),
                         pa.array(two[at].view(np.int64)),
                         pa.array(column("block")),
+                        pa.array(column("anchor")),
                         pa.array(place.astype(np.int32)),
                         pa.array(column("n")),
                     ],
-                    names=["w1", "w2", "block", "place", "n"],
+                    names=["w1", "w2", "block", "anchor", "place", "n"],
                 )
 
-    spans = wanted.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "size", "block", "n")).alias("spans"))
+    spans = wanted.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "size", "block", "anchor", "n")).alias("spans"))
     same = docs["doc_id"].eqNullSafe(spans["doc_id"]) & (docs["key"] == spans["key"])
     rows = docs.join(spans, same).select(docs["text"], spans["spans"])
     # Copies of a row bring the same windows again: each block's windows count once.
-    return rows.mapInArrow(look, "w1 bigint, w2 bigint, block bigint, place int, n bigint").distinct()
+    return rows.mapInArrow(look, "w1 bigint, w2 bigint, block bigint, anchor bigint, place int, n bigint").distinct()
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """(doc_id, key, spans): for documents with repeated windows, blocks with their repeated windows. A span is
-    (at, size, places): places of the repeated windows of the block, NULL for all."""
+    (at, size, places, ref): places of the repeated windows of the block, or NULL for all; then ref is where the block stands
+    elsewhere, (doc_id, key, at)."""
     spark = docs.sparkSession
     cut = written(blocks(docs, window, anchor), "blocks")
     each = F.inline(F.arrays_zip("at", "size", "anchor", "block"))
@@ -149,35 +154,58 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     found = written(cut.select("doc_id", "key", each).join(repeated, "anchor"), "found")
     released(spark)
     one = F.min(F.struct("doc_id", "key", "at", "size")).alias("one")
-    index = written(found.groupBy("block", "anchor").agg(F.count("*").alias("n"), one), "index")
+    other = F.max(F.struct("doc_id", "key", "at")).alias("other")
+    index = written(found.groupBy("block", "anchor").agg(F.count("*").alias("n"), one, other), "index")
     # Anchors of which some block occurs once: only there can a passage start or end.
     open_anchors = index.groupBy("anchor").agg(F.min("n").alias("least")).where("least = 1").select("anchor")
-    wanted = index.join(open_anchors, "anchor").select("one.*", "block", "n")
+    wanted = index.join(open_anchors, "anchor").select("one.*", "block", "anchor", "n")
     looked = written(_checked_windows(docs, wanted, window), "windows")
     released(spark)
     again = looked.groupBy("w1", "w2").agg(F.sum("n").alias("times")).where("times > 1").select("w1", "w2")
-    partly = looked.join(again, ["w1", "w2"]).groupBy("block").agg(F.array_sort(F.collect_set("place")).alias("places"))
-    none = F.lit(None).cast("array<int>")
-    hits = index.where("n > 1").select("block", none.alias("places")).unionByName(
-        partly.join(index.where("n = 1").select("block"), "block", "left_semi")
+    block = ["block", "anchor"]
+    partly = looked.join(again, ["w1", "w2"]).groupBy(*block).agg(F.array_sort(F.collect_set("place")).alias("places"))
+    first = F.struct("one.doc_id", "one.key", "one.at").alias("first")
+    hits = index.where("n > 1").select(*block, first, "other").unionByName(
+        partly.join(index.where("n = 1").select(*block), block, "left_semi"), allowMissingColumns=True
     )
-    spans = found.join(hits, "block").groupBy("doc_id", "key").agg(
-        F.collect_list(F.struct("at", "size", "places")).alias("spans")
+    itself = F.struct("doc_id", "key", "at").eqNullSafe(F.col("first"))
+    ref = F.when(itself, F.col("other")).otherwise(F.col("first")).alias("ref")
+    spans = found.join(hits, block).groupBy("doc_id", "key").agg(
+        F.collect_list(F.struct("at", "size", "places", ref)).alias("spans")
     )
     return written(spans, "spans")
 
 
-def _mask(n: int, spans: list[dict] | None, window: int) -> np.ndarray:
-    """True for the words under a repeated window."""
-    edges = np.zeros(n + 1, np.int64)
-    for span in spans or ():
-        if span["places"] is None:
-            edges[span["at"]] += 1
-            edges[span["at"] + span["size"] + window - 1] -= 1
+def _factors(spans: list[dict] | None, window: int) -> list[dict]:
+    """The greedy parse: factors of a document against the reference, in order (factors may share words at their ends)."""
+    factors: list[dict] = []
+    whole = sorted((s for s in spans or () if s["places"] is None), key=lambda s: s["at"])
+    source = None
+    for span in whole:
+        last, ref = factors[-1] if factors else None, span["ref"]
+        here = (ref["doc_id"], ref["key"])
+        step = span["at"] - last["at"] if last else 0
+        if last and here == source and step == last["length"] - window + 1 and ref["at"] == last["ref_at"] + step:
+            last["length"] += span["size"]
         else:
-            starts = span["at"] + np.asarray(span["places"], np.int64)
-            np.add.at(edges, starts, 1)
-            np.add.at(edges, starts + window, -1)
+            factors.append({"at": span["at"], "length": span["size"] + window - 1, "ref_doc_id": ref["doc_id"], "ref_at": ref["at"]})
+            source = here
+    for span in spans or ():
+        if span["places"] is not None:
+            mask = np.zeros(span["size"] + window - 1, bool)
+            for place in span["places"]:
+                mask[place : place + window] = True
+            for at, length in _runs(mask):
+                factors.append({"at": span["at"] + at, "length": length, "ref_doc_id": None, "ref_at": None})
+    return sorted(factors, key=lambda f: (f["at"], f["length"]))
+
+
+def _mask(n: int, factors: list[dict]) -> np.ndarray:
+    """True for the words under a factor."""
+    edges = np.zeros(n + 1, np.int64)
+    for factor in factors:
+        edges[factor["at"]] += 1
+        edges[factor["at"] + factor["length"]] -= 1
     return np.cumsum(edges[:-1]) > 0
 
 
@@ -187,9 +215,10 @@ def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """All columns of docs, `text` cut down to the kept words joined by one space, and a struct _cut with n_words,
-    n_removed, kept_sha256 and factors (first word and length of each removed span)."""
-    given = [c for c in docs.columns if c != "text"]
+    """_given, all other columns of docs as a struct; text, without the removed words (the kept ones joined by one space; as
+    it was if none is removed); and a struct _cut with n_words, n_removed, kept_sha256 and factors (first word, length, and
+    where the reference has the same words, if known)."""
+    given = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         row_key(F.col("text")).alias("key"),
@@ -201,26 +230,28 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def cut(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_:
             kept_texts, numbers = [], []
-            for text, own in zip(_texts(batch.column("text")), batch.column("spans"), strict=True):
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for whole, own in zip(texts, batch.column("spans"), strict=True):
+                text = whole or b""
                 words = text.split()
                 factors = []
                 kept = words
                 if own.is_valid:
-                    mask = _mask(len(words), own.as_py(), window)
-                    factors = _runs(mask)
+                    factors = _factors(own.as_py(), window)
+                    mask = _mask(len(words), factors)
                     kept = [w for w, gone in zip(words, mask.tolist(), strict=True) if not gone]
                 joined = b" ".join(kept)
-                kept_texts.append(joined.decode())
+                kept_texts.append(joined if len(kept) < len(words) else whole)
                 numbers.append(
                     {
                         "n_words": len(words),
                         "n_removed": len(words) - len(kept),
                         "kept_sha256": hashlib.sha256(joined).hexdigest(),
-                        "factors": [{"at": a, "length": n} for a, n in factors],
+                        "factors": factors,
                     }
                 )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_given"), pa.array(kept_texts, pa.string()), pa.array(numbers, _CUT_ARROW)],
+                [batch.column("_given"), pa.array(kept_texts, pa.binary()).cast(pa.string()), pa.array(numbers, _CUT_ARROW)],
                 names=["_given", "text", "_cut"],
             )
 
@@ -238,6 +269,5 @@ def substring_table(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs with the repeated passages cut out of text, all columns in their old order. Texts without a repeated passage
     stay as they are, white space included."""
-    cut = without_repeats(docs.withColumn("_whole", F.col("text")), window)
-    text = F.when(F.col("_cut.n_removed") > 0, F.col("text")).otherwise(F.col("_given._whole")).alias("text")
-    return cut.select(*[text if c == "text" else F.col(f"_given.`{c}`") for c in docs.columns])
+    cut = without_repeats(docs, window)
+    return cut.select(*[F.col("text") if c == "text" else F.col(f"_given.`{c}`") for c in docs.columns])
