@@ -22,16 +22,15 @@ from flowmart.workspace import written
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST = 3
-STEPS = 60
+STEPS = 200  # of Newton's method, kept between bounds; halving them alone would take fewer
 CLOSE = 1e-9
-CLOSING_ROUNDS = 4
 _SLICES = 256
 
 
 def sized(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size in words (and the columns `keep` in one struct)."""
     size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("bigint")
-    extra = [F.struct(*keep).alias("_given")] if keep else []
+    extra = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_given")] if keep else []
     return docs.select("doc_id", "source", size.alias("size"), *extra)
 
 
@@ -109,8 +108,8 @@ def balanced(groups: DataFrame, sources: DataFrame) -> DataFrame:
         worst = stepped.agg(F.max("off")).first()[0]
         state = stepped.drop("off")
         if worst is None or worst < CLOSE:
-            break
-    return state.select("_s", "multiplier")
+            return state.select("_s", "multiplier")
+    raise RuntimeError(f"the rates of some source are {worst} off their target after {STEPS} steps")
 
 
 def copies(groups: DataFrame, sources: DataFrame) -> DataFrame:
@@ -118,7 +117,7 @@ def copies(groups: DataFrame, sources: DataFrame) -> DataFrame:
 
     Systematic rounding along falling size: the running sum of rates is rounded, so that errors cancel between
     neighbours and what is left is at most the size of one document. The closing rounds then add (or take away) copies of
-    the largest size that fits into the gap.
+    the largest size that fits into the gap, until none does: every round makes the gap smaller than that size.
     """
     along = Window.partitionBy("_s").orderBy(F.col("size").desc())
     upto = F.sum(F.col("n") * F.col("rate")).over(along)
@@ -126,13 +125,16 @@ def copies(groups: DataFrame, sources: DataFrame) -> DataFrame:
     from_here = F.col("_upto") - F.coalesce(F.lag("_upto").over(along), F.lit(0))
     room = F.col("n") * MOST
     state = rounded.withColumn("total", F.greatest(F.lit(0), F.least(room, from_here)).cast("bigint")).drop("_upto")
-    for _ in range(CLOSING_ROUNDS):
+    while True:
         state = written(state, "copies")
         taken = state.groupBy("_s").agg(F.sum(F.col("total") * F.col("size")).alias("_words"))
         gaps = taken.join(sources.select("_s", "target"), "_s").select("_s", (F.col("target") - F.col("_words")).alias("_gap"))
         open_ = F.when(F.col("_gap") > 0, F.col("total") < room).otherwise(F.col("total") > 0)
         fits = open_ & (F.col("size") <= F.abs("_gap"))
         best = state.join(gaps, "_s").where(fits).groupBy("_s").agg(F.max("size").alias("size"), F.first("_gap").alias("_gap"))
+        best = written(best, "closing")
+        if best.isEmpty():
+            return state
         wanted = F.floor(F.abs("_gap") / F.col("size"))
         change = F.when(F.col("_gap") > 0, F.least(wanted, room - F.col("total"))).when(
             F.col("_gap") <= 0, -F.least(wanted, F.col("total"))
@@ -142,7 +144,6 @@ def copies(groups: DataFrame, sources: DataFrame) -> DataFrame:
             .withColumn("total", F.col("total") + F.coalesce(change, F.lit(0)).cast("bigint"))
             .drop("_gap")
         )
-    return state
 
 
 def mixed(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -68,6 +68,32 @@ def test_substrings_of_repeated_rows_and_missing_ids(spark):
     assert sorted(got, key=repr) == sorted([(1, 50, 50), (1, 50, 50), (None, 50, 0), (2, 0, 0)], key=repr)
 
 
+def test_factors_have_the_words_of_the_reference(spark):
+    """Every factor with a place in the reference has the same words there; a copied passage is one long factor."""
+    shared, tail = _passage(60, 400), _passage(61, 300)
+    made = {1: _passage(62, 80) + " " + shared, 2: shared + " " + _passage(63, 90) + " " + tail, 3: tail, 4: _passage(64, 100)}
+    frame = spark.createDataFrame(list(made.items()), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["factors"] for r in substrings.substring_table(frame).collect()}
+    assert got[4] == []
+    known = [(d, f) for d, factors in got.items() for f in factors if f["ref_doc_id"] is not None]
+    for d, f in known:
+        own, ref = made[d].split(), made[f["ref_doc_id"]].split()
+        assert f["ref_doc_id"] != d and f["length"] >= 35
+        assert own[f["at"] : f["at"] + f["length"]] == ref[f["ref_at"] : f["ref_at"] + f["length"]]
+    assert max(f["length"] for d, f in known if d == 1) > 300 and max(f["length"] for d, f in known if d == 3) > 200
+
+
+def test_passages_and_columns_with_odd_names(spark):
+    given = [(1, _passage(70, 60), "keepme", "d", "f"), (2, _passage(70, 60) + " and more", "x", "d", "f"), (3, None, "x", "d", "f")]
+    frame = spark.createDataFrame(given, "doc_id bigint, text string, _whole string, `a.b` string, _given string")
+    for operator in (substrings.deduplicated, jaccard.deduplicated, quality.kept_documents):
+        assert operator(frame).columns == frame.columns
+    cut = {r["doc_id"]: r for r in substrings.deduplicated(frame).collect()}
+    assert cut[1]["_whole"] == "keepme" and cut[1]["text"] == "" and cut[2]["text"] == "and more" and cut[3]["text"] is None
+    assert {r["_whole"] for r in jaccard.deduplicated(frame).collect()} <= {"keepme", "x"}
+    mixing.mixed_documents(frame.withColumn("source", F.lit("s"))).collect()
+
+
 def test_texts_without_repeats_stay_as_they_are(docs, texts):
     kept = {r["doc_id"]: r for r in substrings.deduplicated(docs).collect()}
     assert kept.keys() == texts.keys() and kept[11]["text"] == texts[11]["text"] and kept[10]["text"] is None
@@ -132,7 +158,7 @@ def test_jaccard_lists_of_unlinked_members(spark, monkeypatch):
 def test_jaccard_puts_a_pair_together_once(spark):
     rows = [(n, k, 100, 100, k, k % 3) for n in range(40) for k in range(6)]
     now = spark.createDataFrame(rows, "list_id bigint, set_id bigint, n bigint, c bigint, label bigint, slice bigint")
-    now = now.withColumn("part", F.col("set_id") % 2)
+    now = now.withColumns({"part": F.col("set_id") % 2, "rank": F.col("slice") * 10 - F.col("set_id")})
     found = jaccard._partners(now, 0, 1).union(jaccard._partners(now, 1, 4))
     assert sorted(map(tuple, found.collect())) == [(a, b) for a in range(6) for b in range(a + 1, 6)]
     assert jaccard._partners(now.withColumn("label", F.lit(1)), 0, 9).count() == 0
