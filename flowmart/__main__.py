@@ -84,6 +84,7 @@ def _parser() -> argparse.ArgumentParser:
     refreshing = job("refresh", "raw", "checkpoint")
     refreshing.add_argument("--events-from", choices=("json", "landed"), default="landed")
     refreshing.add_argument("--files-per-trigger", type=int)
+    refreshing.add_argument("--first-span", type=int, default=0, help="landed spans from this one on are listed")
     refreshing.add_argument("--state-partitions", type=int, default=8)
     publishes(refreshing)
     job("compact-history", "published", "table", "day")
@@ -135,8 +136,10 @@ def main(arguments: list[str] | None = None) -> None:
         case "refresh":
             # One state row per zone and road needs few partitions. The first start fixes their number.
             spark.conf.set("spark.sql.shuffle.partitions", options.state_partitions)
-            source = raw.landed_stream if options.events_from == "landed" else raw.raw_stream
-            events = source(spark, options.raw, options.files_per_trigger)
+            if options.events_from == "landed":
+                events = raw.landed_stream(spark, options.raw, options.files_per_trigger, options.first_span)
+            else:
+                events = raw.raw_stream(spark, options.raw, options.files_per_trigger)
             refresh(events, _target(spark, options), options.checkpoint).awaitTermination()
         case "compact-history":
             LakeTarget(spark, options.published).compact_history(options.table, options.day)

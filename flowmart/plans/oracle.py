@@ -290,6 +290,7 @@ FROM traffic_events GROUP BY road_type"""
 FROM traffic_events GROUP BY 1"""
     ),
     "compacted_counts": _sql(f"{_PARTITIONS} {_LANDED} GROUP BY 1, 2"),
+    "late_compaction_counts": _sql(f"{_PARTITIONS} {_LANDED} GROUP BY 1, 2"),
     "typed_layer_roundtrip": _sql(
         f"""SELECT strftime(event_time, '%Y-%m-%d') AS date, count(*) AS events, max(event_time) AS last_event
 {_LANDED} GROUP BY 1"""

@@ -328,6 +328,20 @@ def compacted_counts(spark, folder):
     return compaction.read_compacted(spark, target).groupBy("date", "zone").agg(F.count("*").alias("events"))
 
 
+def late_compaction_counts(spark, folder):
+    """Compacted after the second half of the month, and again after the older days: only bins with new files are written
+    anew, and the tree holds every event once."""
+    events = sensor_events(spark, folder)
+    older = F.coalesce(F.col("event_time") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit(False))
+    inbox, root, checkpoint = (new_folder(spark, label) for label in ("inbox", "landed", "landing-state"))
+    target = new_folder(spark, "compacted")
+    for arrived in (events.where(~older), events.where(older)):
+        _as_message(arrived).write.mode("append").text(inbox)
+        land(raw.file_lines(spark, inbox), root, checkpoint, ONCE).awaitTermination()
+        compaction.compact(spark, root, target, 4 * compaction.OPEN_BYTES)
+    return compaction.read_compacted(spark, target).groupBy("date", "zone").agg(F.count("*").alias("events"))
+
+
 def typed_layer_roundtrip(spark, folder):
     root = _landed(spark, _as_message(sensor_events(spark, folder)))
     target = new_folder(spark, "typed")
@@ -546,6 +560,7 @@ REGISTERED = (
     quarantine_split,
     landing_violations,
     compacted_counts,
+    late_compaction_counts,
     typed_layer_roundtrip,
     processed_roundtrip,
     processed_tables,

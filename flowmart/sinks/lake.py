@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import copy
 from datetime import datetime, timedelta, timezone
-from zoneinfo import ZoneInfo
+from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -171,11 +171,15 @@ class LakeTarget:
 
     def _readings(self, to: datetime) -> set[datetime]:
         """The wall-clock times, in UTC, that a moment may stand for: tables with a time zone are laid out by the moment in UTC,
-        tables without one by their own clock."""
-        zone = ZoneInfo(self.spark.conf.get("spark.sql.session.timeZone"))
+        tables without one by their own clock. Where Python does not know the session's zone, all zones there are count."""
+        known = to.astimezone(timezone.utc).replace(tzinfo=None) if to.tzinfo else to
+        try:
+            zone = ZoneInfo(self.spark.conf.get("spark.sql.session.timeZone"))
+        except (ZoneInfoNotFoundError, ValueError):
+            return {known + timedelta(hours=shift) for shift in range(-18, 19)}
         if to.tzinfo:
-            return {to.astimezone(timezone.utc).replace(tzinfo=None), to.astimezone(zone).replace(tzinfo=None)}
-        return {to, to.replace(tzinfo=zone).astimezone(timezone.utc).replace(tzinfo=None)}
+            return {known, to.astimezone(zone).replace(tzinfo=None)}
+        return {known, to.replace(tzinfo=zone).astimezone(timezone.utc).replace(tzinfo=None)}
 
 
 def _by_hour(rows: DataFrame) -> DataFrame:

@@ -124,12 +124,26 @@ def read_arrivals(spark: SparkSession, root: str) -> DataFrame:
     return events.withColumn("landed_at", ev.utc_moment(F.col("landed_at")))
 
 
-def landed_stream(spark: SparkSession, root: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The same events as a stream: every landed batch is taken once."""
-    reader = spark.readStream.schema(LANDED_LAYOUT)
+def spans_from(first: int) -> str:
+    """Pattern of the span directories from a number on."""
+    digits = f"{first:09d}"
+    later = [
+        f"{digits[:k]}[{int(digits[k]) + 1}-9]{'?' * (len(digits) - k - 1)}" for k in range(len(digits)) if digits[k] != "9"
+    ]
+    return "span={" + ",".join([digits, *later]) + "}"
+
+
+def landed_stream(
+    spark: SparkSession, root: str, files_per_trigger: int | None = None, first_span: int = 0
+) -> DataFrame:
+    """The same events as a stream: every landed batch is taken once. For each batch of its own the stream lists the spans from
+    first_span on; raise it at a restart, up to a span whose batches have all been taken, and old spans are not listed
+    again."""
+    root = root.rstrip("/")
+    reader = spark.readStream.schema(LANDED_LAYOUT).option("basePath", root)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return _decoded(reader.text(root))
+    return _decoded(reader.text(f"{root}/stream=*/{spans_from(first_span)}" if first_span else root))
 
 
 def typed(events: DataFrame) -> DataFrame:

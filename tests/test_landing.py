@@ -194,6 +194,32 @@ def test_streams_of_landed_events(spark, lake, tmp_path):
     assert [row["zone"] for row in spark.table("landed_again").collect()] == ["Centre Ville"]
 
 
+def test_patterns_of_spans():
+    import fnmatch
+
+    for first in (0, 1, 9, 10, 19, 99, 12_345, 999_999_999):
+        patterns = raw.spans_from(first)[6:-1].split(",")
+        for number in {0, 1, 8, 9, 10, 11, 18, 19, 20, 98, 99, 100, 12_344, 12_345, 12_346, 13_000, 999_999_999}:
+            assert any(fnmatch.fnmatch(f"{number:09d}", x) for x in patterns) == (number >= first)
+
+
+def test_a_restarted_stream_goes_on_from_a_later_span(spark, lake, tmp_path, monkeypatch):
+    monkeypatch.setattr(raw, "SPAN", 2)
+
+    def taken(name, **options):
+        stream = raw.landed_stream(spark, lake.root, **options).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        stream.option("checkpointLocation", str(tmp_path / "again")).trigger(**ONCE).start().awaitTermination()
+        return sorted(row["sensor_id"] for row in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    for number in range(3):
+        lake.arrive(f"f{number}", event(sensor_id=f"s{number}"))
+    assert taken("one") == ["s0", "s1", "s2"]
+    lake.arrive("f3", event(sensor_id="s3"))
+    lake.arrive("f4", event(sensor_id="s4"))
+    assert taken("two", first_span=1) == ["s0", "s1", "s2", "s3", "s4"]
+    assert taken("three", first_span=2) == ["s0", "s1", "s2", "s3", "s4"]
+
+
 def _bins(target):
     """Bin directories of a compacted tree and when their files were written."""
     return {str(f.parent.relative_to(target)): f.stat().st_mtime_ns for f in Path(target).glob("date=*/zone=*/bin=*/part-*")}

@@ -145,6 +145,21 @@ def test_history_range_reads_the_days_of_the_range(spark, tmp_path, mart_tables)
     assert target.history("traffic_by_zone", end + timedelta(days=90)).isEmpty()
 
 
+@pytest.mark.parametrize("zone", ["+05:30", "America/New_York", "UTC"])
+def test_history_range_in_any_zone_of_the_session(spark, tmp_path, mart_tables, zone):
+    target = LakeTarget(spark, str(tmp_path))
+    for hours in range(0, 40, 5):
+        publish({"traffic_by_zone": mart_tables["traffic_by_zone"]}, target, RUN + timedelta(hours=hours))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        aware = target.history("traffic_by_zone", RUN + timedelta(hours=25, minutes=1))
+        assert aware.select("timestamp").distinct().count() == 2
+        wall_clock = aware.agg(F.max(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))).first()[0]
+        assert target.history("traffic_by_zone", datetime.fromisoformat(wall_clock)).select("timestamp").distinct().count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_runs_of_a_past_day_are_brought_together(spark, tmp_path, mart_tables):
     target = LakeTarget(spark, str(tmp_path))
     for minutes in (0, 1, 2, 24 * 60):
