@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 DIMENSIONS = 1024
 UNKNOWN = "und"
 MOST_LANGUAGES = 1000  # the prototypes that a task holds: 4 MB at most
+_HELD_LANGUAGES = 64  # whose sums a task holds, some 2 MB each
 _OTHERS = 37
 _SYMBOLS = 1 + 26 + _OTHERS
 _CHUNK = 1 << 19  # characters that are looked at together
@@ -110,12 +111,22 @@ def _chunks(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
 def prototypes(docs: DataFrame) -> list[tuple[str, np.ndarray]]:
     """(language, unit vector) for every language, by code point. docs: text, lang.
 
-    Tasks send the sum of run frequencies of each of their languages; sums are merged by (language, run), of which there
-    are at most MOST_LANGUAGES * _SYMBOLS^3, whatever the size of the corpus. The driver gets one vector a language.
+    Tasks send the sum of run frequencies of each of their languages, those of _HELD_LANGUAGES at a time, so that many
+    labels take no more memory; sums are merged by (language, run), of which there are at most MOST_LANGUAGES * _SYMBOLS^3, whatever the size of the corpus. The driver gets one vector a language.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, sums = Runs.made(), {}
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for language, total in sums.items():
+                codes = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([language] * len(codes), pa.string()), pa.array(codes), pa.array(total[codes])],
+                    names=["lang", "run", "share"],
+                )
+            sums.clear()
+
         for batch in batches:
             languages = batch.column("lang").to_pylist()
             for start, texts in _chunks(batch.column("text")):
@@ -127,12 +138,9 @@ def prototypes(docs: DataFrame) -> list[tuple[str, np.ndarray]]:
                     mine = own[doc] == language if len(doc) else np.zeros(0, bool)
                     sums.setdefault(language, np.zeros(_SYMBOLS**3))
                     sums[language] += np.bincount(codes[mine], share[mine], _SYMBOLS**3)
-        for language, total in sums.items():
-            codes = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([language] * len(codes), pa.string()), pa.array(codes), pa.array(total[codes])],
-                names=["lang", "run", "share"],
-            )
+                    if len(sums) >= _HELD_LANGUAGES:
+                        yield from sent()
+        yield from sent()
 
     def bundle(key: tuple, group: pa.Table) -> pa.Table:
         codes, shares = group.column("run").to_numpy(), group.column("share").to_numpy()

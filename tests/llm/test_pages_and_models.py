@@ -165,3 +165,14 @@ def test_languages_with_clashing_columns_and_empty_tables(spark):
     assert all(got[k]["lang_pred"] == ("en" if k % 2 else "de") for k in range(40))
     assert {got[k]["lang_pred"] for k in (100, 101, 102)} == {"und"}
     assert languages.language_table(docs.limit(0)).collect() == []
+
+
+def test_many_languages_take_bounded_memory(spark, monkeypatch):
+    """Sums sent in small lots give the same prototypes as sums held to the end."""
+    given = [(f"{chr(97 + k % 23) * 3} word{k % 23} text of {k % 23} " * 3, f"l{k % 23}") for k in range(92)]
+    docs = spark.createDataFrame(given, "text string, lang string").coalesce(2)
+    whole = languages.prototypes(docs)
+    monkeypatch.setattr(languages, "_HELD_LANGUAGES", 2)
+    lots = languages.prototypes(docs)
+    assert [name for name, _ in lots] == [name for name, _ in whole] and len(lots) == 23
+    assert all(np.allclose(x, y, atol=1e-6) for (_, x), (_, y) in zip(whole, lots, strict=True))
