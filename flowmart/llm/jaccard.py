@@ -45,9 +45,9 @@ FLUSH = 1 << 20  # tokens that a task gathers before it sends them
 _PER_BUCKET = 1 << 21  # tokens of a bucket of the first step
 _LEAST_BITS = 6
 _CENTRES = 32  # members of a list's slice
-_MEMBERS = 256  # members of a list that stand in one row
+_MEMBERS = 64  # members of a list that stand in one row
 _BITS = [f"b{k}" for k in range(8)]
-_MEMBER = ["set_id", "n", "c", "label", "rank"]
+_MEMBER = ["set_id", "n", "c", "label", "rank", *_BITS]
 _RANKS = 1 << 30
 
 
@@ -372,12 +372,6 @@ def _alike(x: str, y: str):
     return shared * (100 + PERCENT) >= (nx + ny) * PERCENT
 
 
-def _near(x: str, y: str):
-    """Linked sets differ in at most a ninth of their tokens, added up; parity bits show a part of the difference."""
-    apart = sum(F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in _BITS)
-    return apart * (100 + PERCENT) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - PERCENT)
-
-
 def _same_list(x: str, y: str):
     return (F.col(f"{x}.token") == F.col(f"{y}.token")) & F.col(f"{x}.second").eqNullSafe(F.col(f"{y}.second"))
 
@@ -396,7 +390,7 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
 
 def _partners(now: DataFrame, start: int, width: int) -> DataFrame:
     """(a, b): different pairs of set ids, a < b, of members of a list in different components, one of them in the slices from
-    start on, that their sizes allow to be linked. Of two members the one of lower rank looks for the other, in every list."""
+    start on, that their sizes and parity bits allow to be linked. Of two members the one of lower rank looks for the other, in every list."""
 
     def compare(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -420,8 +414,13 @@ def _partners(now: DataFrame, start: int, width: int) -> DataFrame:
                 y = {f: v[None, ends[k] : ends[k + 1]] for f, v in m.items()}
                 later = (x["rank"] < y["rank"]) | ((x["rank"] == y["rank"]) & (x["set_id"] < y["set_id"]))
                 shared = np.minimum(x["c"], y["c"])
-                alike = shared * (100 + PERCENT) >= (x["n"] + y["n"]) * PERCENT
-                i, j = np.nonzero(later & (x["label"] != y["label"]) & alike)
+                both = x["n"] + y["n"]
+                i, j = np.nonzero(later & (x["label"] != y["label"]) & (shared * (100 + PERCENT) >= both * PERCENT))
+                # Linked sets differ in at most a ninth of their tokens, added up; parity bits show a part of the difference.
+                differ = ((x[b][i, 0] ^ y[b][0, j]).view(np.uint64) for b in _BITS)
+                apart = sum(np.bitwise_count(d).astype(np.int64) for d in differ)
+                near = apart * (100 + PERCENT) <= both[i, j] * (100 - PERCENT)
+                i, j = i[near], j[near]
                 if len(i):
                     held.append((x["set_id"][i, 0], y["set_id"][0, j]))
                     total += len(i)
@@ -471,16 +470,15 @@ def joined_sets(sets: DataFrame) -> DataFrame:
         "placed",
     )
     start, width = 0, 1
-    bits = sets.select("set_id", "n", *_BITS)
+    bits = sets.select("set_id", *_BITS)
     while True:
         current = placed.where(F.col("slice") >= start).join(labels, "set_id")
         lasting = current.groupBy("list_id").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
-        now = written(current.join(lasting.select("list_id"), "list_id", "left_semi"), "open")
+        still = current.join(lasting.select("list_id"), "list_id", "left_semi")
+        now = written(still.join(bits, "set_id"), "open")
         if now.isEmpty():
             return labels
-        pairs = _partners(now, start, width).join(compared, ["a", "b"], "left_anti")
-        sides = pairs.join(bits.alias("x"), F.col("a") == F.col("x.set_id")).join(bits.alias("y"), F.col("b") == F.col("y.set_id"))
-        pairs = written(sides.where(_near("x", "y")).select("a", "b"), "pairs")
+        pairs = written(_partners(now, start, width).join(compared, ["a", "b"], "left_anti"), "pairs")
         compared = compared.unionByName(pairs)
         labels = components(linked(pairs, sets), labels)
         released(spark)

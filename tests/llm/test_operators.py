@@ -158,12 +158,17 @@ def test_jaccard_lists_of_unlinked_members(spark, monkeypatch):
 def test_jaccard_puts_a_pair_together_once(spark):
     rows = [(n, k, 100, 100, k, k % 3) for n in range(40) for k in range(6)]
     now = spark.createDataFrame(rows, "list_id bigint, set_id bigint, n bigint, c bigint, label bigint, slice bigint")
-    now = now.withColumns({"part": F.col("set_id") % 2, "rank": F.col("slice") * 10 - F.col("set_id")})
+    bits = {name: F.lit(0).cast("bigint") for name in jaccard._BITS}
+    now = now.withColumns({"part": F.col("set_id") % 2, "rank": F.col("slice") * 10 - F.col("set_id"), **bits})
     found = jaccard._partners(now, 0, 1).union(jaccard._partners(now, 1, 4))
     assert sorted(map(tuple, found.collect())) == [(a, b) for a in range(6) for b in range(a + 1, 6)]
     assert jaccard._partners(now.withColumn("label", F.lit(1)), 0, 9).count() == 0
     apart = now.withColumn("n", F.when(F.col("set_id") == 5, 300).otherwise(F.col("n")))
     assert all(5 not in (r["a"], r["b"]) for r in jaccard._partners(apart, 0, 9).collect())
+    # 200 tokens together may differ in 22: in 23 bits they differ too much.
+    for bits, met in ((22, True), (23, False)):
+        odd = now.withColumn("b3", F.when(F.col("set_id") == 5, (1 << bits) - 1).otherwise(0).cast("bigint"))
+        assert any(5 in (r["a"], r["b"]) for r in jaccard._partners(odd, 0, 9).collect()) == met
 
 
 def test_the_filter_makes_words_once(spark):
