@@ -16,8 +16,8 @@ they are in the partner's extended prefix too. That is used three times:
    among the first n / 4 + 2 shared tokens some two are neighbours in both.
 3. Verification: members of an index list are compared by their whole sets with one member (later a slice of some, dealt
    by hash), not all with all. What is linked by then is one component and needs no more comparing; lists whose members are in
-   different components go on, until every pair that shares a key is in one component or has been compared. A pair that shares many
-   keys is put together once, before it is looked at: tasks send the partners of a set packed, and they are made different there.
+   different components go on, until every pair that shares a key is in one component or has been compared. Pairs share many keys:
+   they come first from a few of the lists, and once compared they are left out where they meet again.
 
 Documents without words have an empty set and are linked with nothing. NULL texts count as empty. Rows with equal doc_id
 and text are one document and get equal rows. NULL doc_ids are documents too, but an id is reported as the smallest only
@@ -45,10 +45,9 @@ FLUSH = 1 << 20  # tokens that a task gathers before it sends them
 _PER_BUCKET = 1 << 21  # tokens of a bucket of the first step
 _LEAST_BITS = 6
 _CENTRES = 32  # members of a list's slice
-_MEMBERS = 64  # members of a list that stand in one row
 _BITS = [f"b{k}" for k in range(8)]
-_MEMBER = ["set_id", "n", "c", "label", "rank", *_BITS]
 _RANKS = 1 << 30
+_SOME = 16  # one list of so many gives the first pairs
 
 
 def required(n: np.ndarray) -> np.ndarray:
@@ -388,57 +387,24 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
     )
 
 
-def _partners(now: DataFrame, start: int, width: int) -> DataFrame:
-    """(a, b): different pairs of set ids, a < b, of members of a list in different components, one of them in the slices from
-    start on, that their sizes and parity bits allow to be linked. Of two members the one of lower rank looks for the other, in every list."""
+def _near(x: str, y: str):
+    """Linked sets differ in at most a ninth of their tokens, added up; parity bits show a part of the difference."""
+    apart = sum(F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in _BITS)
+    return apart * (100 + PERCENT) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - PERCENT)
 
-    def compare(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        total = 0
 
-        def flush() -> pa.RecordBatch:
-            pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*held, strict=True)], axis=1), axis=0)
-            first = np.flatnonzero(np.diff(pairs[:, 0], prepend=pairs[0, 0] - 1))
-            offsets = pa.array(np.append(first, len(pairs)), pa.int32())
-            lists = pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(pairs[:, 1])))
-            return pa.RecordBatch.from_arrays([pa.array(pairs[first, 0]), lists], names=["a", "b"])
-
-        for batch in given:
-            sides = []
-            for name in ("centres", "members"):
-                column = batch.column(name)
-                sides.append((column.offsets.to_numpy(), {f: column.values.field(f).to_numpy() for f in _MEMBER}))
-            (starts, c), (ends, m) = sides
-            for k in range(len(batch)):
-                x = {f: v[starts[k] : starts[k + 1], None] for f, v in c.items()}
-                y = {f: v[None, ends[k] : ends[k + 1]] for f, v in m.items()}
-                later = (x["rank"] < y["rank"]) | ((x["rank"] == y["rank"]) & (x["set_id"] < y["set_id"]))
-                shared = np.minimum(x["c"], y["c"])
-                both = x["n"] + y["n"]
-                i, j = np.nonzero(later & (x["label"] != y["label"]) & (shared * (100 + PERCENT) >= both * PERCENT))
-                # Linked sets differ in at most a ninth of their tokens, added up; parity bits show a part of the difference.
-                differ = ((x[b][i, 0] ^ y[b][0, j]).view(np.uint64) for b in _BITS)
-                apart = sum(np.bitwise_count(d).astype(np.int64) for d in differ)
-                near = apart * (100 + PERCENT) <= both[i, j] * (100 - PERCENT)
-                i, j = i[near], j[near]
-                if len(i):
-                    held.append((x["set_id"][i, 0], y["set_id"][0, j]))
-                    total += len(i)
-                if total >= FLUSH:
-                    yield flush()
-                    held, total = [], 0
-        if held:
-            yield flush()
-
-    members = F.collect_list(F.struct(*_MEMBER))
-    centres = now.where((F.col("slice") >= start) & (F.col("slice") < start + width))
-    left = centres.groupBy("list_id", "slice").agg(members.alias("centres")).select("list_id", "centres")
-    right = now.groupBy("list_id", "part").agg(members.alias("members")).select("list_id", "members")
-    packed = left.join(right, "list_id").select("centres", "members").mapInArrow(compare, "a bigint, b array<bigint>")
-    # A set meets its partners in several lists: here each of them stays once.
-    each = packed.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("b"))).alias("b"))
-    pairs = each.select("a", F.explode("b").alias("b"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+def _partners(now: DataFrame, tested: DataFrame, start: int, width: int) -> DataFrame:
+    """(a, b): different pairs of set ids of members of a list in different components, one of them in the slices from start
+    on, that their sizes and parity bits allow to be linked and that have not been tested. Of two members, a is the one of
+    lower rank, in every list."""
+    done = tested.groupBy(F.col("a").alias("set_id")).agg(F.collect_set("b").alias("done"))
+    centre = now.where((F.col("slice") >= start) & (F.col("slice") < start + width)).join(done, "set_id", "left")
+    rank = lambda x: F.struct(f"{x}.rank", f"{x}.set_id")
+    fresh = ~F.coalesce(F.array_contains("c.done", F.col("l.set_id")), F.lit(False))
+    apart = (rank("c") < rank("l")) & (F.col("c.label") != F.col("l.label"))
+    same = (F.col("c.list_id") == F.col("l.list_id")) & apart & _alike("c", "l") & _near("c", "l") & fresh
+    met = centre.alias("c").join(now.alias("l"), same)
+    return met.select(F.col("c.set_id").alias("a"), F.col("l.set_id").alias("b")).distinct()
 
 
 def joined_sets(sets: DataFrame) -> DataFrame:
@@ -455,22 +421,22 @@ def joined_sets(sets: DataFrame) -> DataFrame:
         .agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("members"))
         .where("least < most")
     )
-    # Slices of a list are compared with all its members, one after the other; parts only keep rows small. A set has the same
-    # rank in all its lists, so that those that share members choose the same ones first.
+    # Slices of a list are compared with all its members, one after the other. A set has the same rank in all its lists, so
+    # that those that share members choose the same ones first.
     rank = F.pmod(F.xxhash64("set_id"), F.lit(_RANKS))
     slice_ = F.floor(rank * F.ceil(F.col("members") / _CENTRES) / _RANKS)
-    part = F.pmod(F.xxhash64("set_id", F.lit(2)), F.ceil(F.col("members") / _MEMBERS))
     placed = written(
         lists.alias("l")
         .join(several.alias("o"), _same_list("l", "o"))
         .select(
             F.xxhash64("l.token", F.col("l.second").isNull(), "l.second").alias("list_id"),
-            "set_id", "n", "c", rank.alias("rank"), slice_.alias("slice"), part.alias("part"),
+            "set_id", "n", "c", rank.alias("rank"), slice_.alias("slice"),
         ),
         "placed",
     )
-    start, width = 0, 1
     bits = sets.select("set_id", *_BITS)
+    tested = spark.createDataFrame([], "a bigint, b bigint")
+    start, width, some = 0, 1, True
     while True:
         current = placed.where(F.col("slice") >= start).join(labels, "set_id")
         lasting = current.groupBy("list_id").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
@@ -478,11 +444,15 @@ def joined_sets(sets: DataFrame) -> DataFrame:
         now = written(still.join(bits, "set_id"), "open")
         if now.isEmpty():
             return labels
-        pairs = written(_partners(now, start, width).join(compared, ["a", "b"], "left_anti"), "pairs")
-        compared = compared.unionByName(pairs)
-        labels = components(linked(pairs, sets), labels)
+        chosen = now.where(F.col("list_id") % _SOME == 0) if some else now
+        pairs = written(_partners(chosen, tested, start, width), "pairs")
+        tested = tested.unionByName(pairs)
+        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        labels = components(linked(ordered.join(compared, ["a", "b"], "left_anti"), sets), labels)
         released(spark)
-        start, width = start + width, width * 4
+        if not some:
+            start, width = start + width, width * 4
+        some = False
 
 
 def similarity_classes(docs: DataFrame) -> DataFrame:
