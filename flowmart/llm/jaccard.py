@@ -41,8 +41,8 @@ from flowmart.workspace import written
 SHINGLE = 5
 PERCENT = 80
 RARE = 32
-FLUSH = 1 << 20  # tokens that a task gathers before it sends them
-_PER_BUCKET = 1 << 21  # tokens of a bucket of the first step
+FLUSH = 1 << 19  # tokens that a task gathers before it sends them
+_PER_BUCKET = 1 << 20  # tokens of a bucket of the first step
 _LEAST_BITS = 6
 _CENTRES = 32  # members of a list's slice
 _BITS = [f"b{k}" for k in range(8)]
