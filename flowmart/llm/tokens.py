@@ -1,25 +1,28 @@
 """Token ids of whole texts by a published word-end BPE tokenizer file, with a bounded memory of words.
 
-The tokenizer splits at white space before anything else, so the ids of a text are those of its words in order. Words
-that a task has seen come from memory; the pieces of new ones are encoded in one call for many words. What decides the
-ids is always the tokenizer itself: pieces are only cut beforehand where its own pre-tokenizer cuts.
+The tokenizer splits at white space before anything else, so the ids of a text are those of its words in order. A lot of
+texts is split into words at once, and each different word is looked up once: words that a task has seen come from
+memory, the pieces of new ones are encoded in one call for many words. What decides the ids is always the tokenizer
+itself: pieces are only cut beforehand where its own pre-tokenizer cuts.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _REMEMBERED = 400_000
-# The pre-tokenizer's own pattern, for lower-case Latin-1 text (fixed value: its letters and numbers spelled out).
+# The pre-tokenizer's own pattern, for lower-case Latin-1 text (fixed value: its letters and numbers spelled out). Words
+# are matched as lines of one text, and the ends of lines are matched too.
 _LATIN = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+"
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+|\n"
 )
 _CALL = 200  # pieces that are encoded as one text
-_GROUP = 1 << 20  # bytes of text that are split together
+_GROUP = 1 << 23  # bytes of text that are split together
 
 
 def _byte_letters() -> dict[int, str]:
@@ -30,25 +33,43 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in itself} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-class _Memory(dict):
-    """A dict of at most _REMEMBERED entries, and as many of the last generation: what is used again stays."""
+def _offsets(array: pa.LargeStringArray | pa.LargeBinaryArray) -> np.ndarray:
+    return np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]
 
-    def __init__(self):
-        super().__init__()
-        self._before: dict = {}
 
-    def __missing__(self, key):
-        value = self._before[key]
-        self[key] = value
-        return value
+def _joined(codes: pa.LargeBinaryArray, bounds: np.ndarray) -> pa.LargeBinaryArray:
+    """The codes between each bound and the next as one."""
+    cuts = pa.py_buffer(_offsets(codes)[bounds])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, cuts, codes.buffers()[2]])
 
-    def unknown(self, keys: set) -> set:
-        return {key for key in keys if key not in self and key not in self._before}
 
-    def make_room(self, entries: int) -> None:
-        if len(self) + entries > _REMEMBERED:
-            self._before = dict(self)
-            self.clear()
+def _lines(strings: pa.LargeStringArray, between: str) -> str:
+    listed = pa.ListArray.from_arrays([0, len(strings)], strings)
+    return pc.binary_join(listed, pa.scalar(between, pa.large_string()))[0].as_py()
+
+
+class _Memory:
+    """Codes of strings, learned once each. When there are more than _REMEMBERED, only those of the last call stay."""
+
+    def __init__(self, learn: Callable[[pa.LargeStringArray], pa.LargeBinaryArray]):
+        self._learn = learn
+        self._known, self._codes = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def codes(self, strings: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """The code of each string, in order."""
+        coded = strings.dictionary_encode()
+        different, known = coded.dictionary, self._known
+        places = pc.index_in(different, value_set=known)
+        new = different.filter(places.is_null())
+        learned = pa.concat_arrays([self._codes, self._learn(new)]) if len(new) else self._codes
+        at = places.fill_null(-1).to_numpy().copy()
+        at[at < 0] = np.arange(len(known), len(known) + len(new))
+        codes = learned.take(pa.array(at))
+        if len(learned) <= _REMEMBERED:
+            self._known, self._codes = pa.concat_arrays([known, new]), learned
+        else:
+            self._known, self._codes = different[:_REMEMBERED], codes[:_REMEMBERED]
+        return codes.take(coded.indices)
 
 
 class WordTokenizer:
@@ -70,55 +91,56 @@ class WordTokenizer:
         # The same model behind a plain split at blanks, for pieces that are normalised and cut already.
         self._model = Tokenizer(self._tokenizer.model)
         self._model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self._letters = _byte_letters()
+        self._letters = np.arange(256, dtype="<u4")
+        for byte, letter in _byte_letters().items():
+            self._letters[byte] = ord(letter)
+        self._letters[ord(" ")] = ord(" ")  # between pieces; no piece has one
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self._words, self._pieces = _Memory(), _Memory()
+        self._words, self._pieces = _Memory(self._word_codes), _Memory(self._piece_codes)
 
     def encoded(self, texts: pa.Array) -> Iterator[bytes]:
-        group, size = [], 0
-        for text in texts.cast(pa.binary()):
-            group.append(text.as_py() or b"")
-            size += len(group[-1])
-            if size > _GROUP:
-                yield from self._group(group)
-                group, size = [], 0
-        yield from self._group(group)
-
-    def _group(self, texts: list[bytes]) -> list[bytes]:
-        split = [text.split() for text in texts]
-        different = set().union(*split)
-        self._words.make_room(len(different))
-        self._learn(self._words.unknown(different))
-        known = self._words.__getitem__
-        return [b"".join(map(known, words)) for words in split]
-
-    def _learn(self, words: set[bytes]) -> None:
-        texts = {word: word.decode() for word in words}
-        cut = {w: _LATIN.findall(t.lower()) for w, t in texts.items() if t.isascii() or max(t) < "Ā"}
-        different = {piece for pieces in cut.values() for piece in pieces}
-        self._pieces.make_room(len(different))
-        new = list(self._pieces.unknown(different))
-        if new:
-            self._pieces.update(zip(new, self._encoded_pieces(new), strict=True))
-        known = self._pieces.__getitem__
-        self._words.update({word: b"".join(map(known, pieces)) for word, pieces in cut.items()})
-        other = [word for word in texts if word not in cut]
-        codes = self._tokenizer.encode_batch([texts[word] for word in other], add_special_tokens=False)
-        self._words.update({word: np.array(c.ids, "<u4").tobytes() for word, c in zip(other, codes, strict=True)})
-
-    def _encoded_pieces(self, pieces: list[str]) -> list[bytes]:
-        plain = [p if p.isascii() and p.isprintable() else self._lettered(p) for p in pieces]
-        calls = [" ".join(plain[k : k + _CALL]) for k in range(0, len(plain), _CALL)]
+        texts = texts.cast(pa.large_string()).fill_null("")
+        sizes = pc.binary_length(texts).to_numpy()
+        first, size = 0, 0
+        for at, more in enumerate(sizes.tolist(), 1):
+            size += more
+            if size > _GROUP or at == len(texts):
+                split = pc.ascii_split_whitespace(texts[first:at])
+                ids = _joined(self._words.codes(split.flatten()), split.offsets.to_numpy())
+                yield from ids.to_pylist()
+                first, size = at, 0
+
+    def _word_codes(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        starts = _offsets(words)
+        data = np.frombuffer(words.buffers()[2], np.uint8)[: starts[-1]]
+        other = np.zeros(len(words), bool)
+        # Characters beyond Latin-1 begin with a byte of C4 or more.
+        other[np.searchsorted(starts, np.flatnonzero(data >= 0xC4), "right") - 1] = True
+        latin = words.filter(pa.array(~other))
+        found = _LATIN.findall(_lines(latin, "\n").lower() + "\n") if len(latin) else []
+        pieces = pa.array(found, pa.large_string())
+        end = pc.equal(pieces, "\n")
+        ends = np.flatnonzero(end.to_numpy(False))
+        codes = _joined(self._pieces.codes(pieces.filter(pc.invert(end))), np.append(0, ends - np.arange(len(ends))))
+        texts = words.filter(pa.array(other)).to_pylist()
+        encoded = self._tokenizer.encode_batch(texts, add_special_tokens=False) if texts else []
+        rest = pa.array([np.array(code.ids, "<u4").tobytes() for code in encoded], pa.large_binary())
+        places = np.where(other, len(codes) + np.cumsum(other), np.cumsum(~other)) - 1
+        return pa.concat_arrays([codes, rest]).take(pa.array(places))
+
+    def _piece_codes(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        calls = [self._lettered(_lines(pieces[k : k + _CALL], " ")) for k in range(0, len(pieces), _CALL)]
         codes = self._model.encode_batch_fast(calls, add_special_tokens=False)
         ids = np.array([i for code in codes for i in code.ids], "<u4")
         # Each piece ends with a token that ends a word, so the ids of all fall apart again.
-        cuts = [0, *(np.flatnonzero(self._ends[ids]) + 1).tolist()]
+        cuts = np.append(0, np.flatnonzero(self._ends[ids]) + 1)
         if len(cuts) != len(pieces) + 1:
             raise ValueError("the tokenizer cuts words elsewhere than expected")
-        data = ids.tobytes()
-        return [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(pieces), [None, pa.py_buffer(4 * cuts), pa.py_buffer(ids)]
+        )
 
-    def _lettered(self, piece: str) -> str:
-        return piece.encode().decode("latin-1").translate(self._letters)
+    def _lettered(self, pieces: str) -> str:
+        return self._letters[np.frombuffer(pieces.encode(), np.uint8)].tobytes().decode("utf-32-le")

@@ -288,6 +288,39 @@ def test_best_fit_takes_the_fullest_bin_with_room():
     assert packing.best_fit([6, 5, 4, 3, 2], 10) == [[0, 2], [1, 3, 4]]
 
 
+def test_words_of_texts_are_no_python_objects():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    words = tokens.WordTokenizer(tokenizer_path())
+    texts = pa.array([" ".join(_passage(k, 30) for k in range(40))] * 150)
+    n_words = sum(len(t.split()) for t in texts.to_pylist())
+    next(words.encoded(texts[:1]))
+    tracemalloc.start()
+    n_ids = sum(len(ids) // 4 for ids in words.encoded(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n_words == 180_000 and peak < 8 * n_words + 4 * n_ids
+
+
+@pytest.mark.parametrize("group", [40, 1 << 23])
+@pytest.mark.parametrize("remembered", [3, 400_000])
+def test_ids_of_odd_texts_are_the_tokenizers(monkeypatch, remembered, group):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "_REMEMBERED", remembered)
+    monkeypatch.setattr(tokens, "_GROUP", group)
+    words = tokens.WordTokenizer(tokenizer_path())
+    latin = "".join(map(chr, range(256)))
+    made = [None, "", " \n\t ", "\xa0 \x85", "你好", "", "a 你好 b ́ é É", "''s's's 'sa 'll'll \"'s DON'T 're's2 '2s '' 'vé", None]
+    made += ["<|endoftext|> x<|startoftext|>y", "\x1c a\x1cb \x00 \x0bq\x0c", latin, latin[::-1], " ".join(latin), "It's " * 50]
+    want = [words._tokenizer.encode(t or "", add_special_tokens=False).ids for t in made]
+    got = list(words.encoded(pa.array(made)))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
+    assert list(words.encoded(pa.array(made)[1:4])) == got[1:4] and list(words.encoded(pa.array([], pa.string()))) == []
+
+
 def test_forgotten_words_are_encoded_again(monkeypatch):
     import pyarrow as pa
 
