@@ -6,6 +6,7 @@ import copy
 from datetime import datetime, timedelta, timezone
 from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ class LakeTarget:
         files = self._files()
         number = max([int(name.partition("-")[0]) + 1 for name in (*self._listed("commits"), *self._listed("claims"))], default=0)
         # Creating a file that is there already fails, so of two runs that see the same number one goes on to the next.
-        while not files.createNewFile(self._path(f"claims/{number:012d}")):
+        while not self._created(files, f"claims/{number:012d}"):
             number += 1
         files.createNewFile(self._path(f"commits/{number:012d}-{version}"))
         self._clean_up()
@@ -87,6 +88,20 @@ class LakeTarget:
     def _files(self):
         return self._path("commits").getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
+    def _created(self, files, name: str) -> bool:
+        """Creates an empty file; false if it is there already, also if another run created it just now."""
+        path = files.makeQualified(self._path(name))
+        if path.toUri().getScheme() == "file":
+            # Hadoop looks for a local file before it creates it, and another run may come between; here it is one step.
+            files.mkdirs(path.getParent())
+            return self.spark._jvm.java.io.File(path.toUri().getPath()).createNewFile()
+        try:
+            return files.createNewFile(path)
+        except Py4JJavaError as error:
+            if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+                raise
+            return False
+
     def _listed(self, folder: str) -> dict[str, datetime]:
         """Names in a folder and when they were last changed."""
         files, path = self._files(), self._path(folder)
