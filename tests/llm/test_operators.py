@@ -536,7 +536,8 @@ def test_empty_tables(spark, operator):
 @pytest.mark.parametrize("name", ORACLE)
 def test_query_equals_sql(spark, name):
     database = duckdb.connect()
-    database.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     result = database.execute(ORACLE[name])
     columns = [c[0] for c in result.description]
     frame = QUERIES[name](spark, SMALL)
