@@ -435,7 +435,8 @@ def joined_sets(sets: DataFrame) -> DataFrame:
         "placed",
     )
     bits = sets.select("set_id", *_BITS)
-    tested = spark.createDataFrame([], "a bigint, b bigint")
+    # Not made in Python: for rows from there each executor would start workers of another kind, which then stay.
+    tested = compared.where(F.lit(False))
     start, width, some = 0, 1, True
     while True:
         current = placed.where(F.col("slice") >= start).join(labels, "set_id")

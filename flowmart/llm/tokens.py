@@ -22,6 +22,7 @@ _LATIN = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+|\n"
 )
 _CALL = 200  # pieces that are encoded as one text
+_LOT = 1 << 14  # new words or pieces at a time of which Python or the tokenizer has objects
 _GROUP = 1 << 23  # bytes of text that are split together
 
 
@@ -101,15 +102,19 @@ class WordTokenizer:
         self._words, self._pieces = _Memory(self._word_codes), _Memory(self._piece_codes)
 
     def encoded(self, texts: pa.Array) -> Iterator[bytes]:
-        texts = texts.cast(pa.large_string()).fill_null("")
-        sizes = pc.binary_length(texts).to_numpy()
+        sizes = pc.binary_length(texts).fill_null(0).to_numpy()
         first, size = 0, 0
         for at, more in enumerate(sizes.tolist(), 1):
             size += more
             if size > _GROUP or at == len(texts):
-                split = pc.ascii_split_whitespace(texts[first:at])
+                group = texts[first:at].cast(pa.large_string()).fill_null("")
+                split = pc.ascii_split_whitespace(group)
                 ids = _joined(self._words.codes(split.flatten()), split.offsets.to_numpy())
+                del group, split
                 yield from ids.to_pylist()
+                del ids
+                # Between tasks a worker waits, and would keep what its arrays took.
+                pa.default_memory_pool().release_unused()
                 first, size = at, 0
 
     def _word_codes(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
@@ -119,8 +124,9 @@ class WordTokenizer:
         # Characters beyond Latin-1 begin with a byte of C4 or more.
         other[np.searchsorted(starts, np.flatnonzero(data >= 0xC4), "right") - 1] = True
         latin = words.filter(pa.array(~other))
-        found = _LATIN.findall(_lines(latin, "\n").lower() + "\n") if len(latin) else []
-        pieces = pa.array(found, pa.large_string())
+        lots = [_lines(latin[k : k + _LOT], "\n").lower() + "\n" for k in range(0, len(latin), _LOT)]
+        found = [pa.array(_LATIN.findall(lot), pa.large_string()) for lot in lots]
+        pieces = pa.concat_arrays(found) if found else pa.array([], pa.large_string())
         end = pc.equal(pieces, "\n")
         ends = np.flatnonzero(end.to_numpy(False))
         codes = _joined(self._pieces.codes(pieces.filter(pc.invert(end))), np.append(0, ends - np.arange(len(ends))))
@@ -131,9 +137,13 @@ class WordTokenizer:
         return pa.concat_arrays([codes, rest]).take(pa.array(places))
 
     def _piece_codes(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
-        calls = [self._lettered(_lines(pieces[k : k + _CALL], " ")) for k in range(0, len(pieces), _CALL)]
-        codes = self._model.encode_batch_fast(calls, add_special_tokens=False)
-        ids = np.array([i for code in codes for i in code.ids], "<u4")
+        lots = []
+        for start in range(0, len(pieces), _LOT):
+            lot = pieces[start : start + _LOT]
+            calls = [self._lettered(_lines(lot[k : k + _CALL], " ")) for k in range(0, len(lot), _CALL)]
+            codes = self._model.encode_batch_fast(calls, add_special_tokens=False)
+            lots.append(np.array([i for code in codes for i in code.ids], "<u4"))
+        ids = np.concatenate(lots) if lots else np.zeros(0, "<u4")
         # Each piece ends with a token that ends a word, so the ids of all fall apart again.
         cuts = np.append(0, np.flatnonzero(self._ends[ids]) + 1)
         if len(cuts) != len(pieces) + 1:

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -126,6 +128,18 @@ def test_jaccard_keeps_one_text_of_clashing_or_missing_ids(spark):
     assert [d for d, t in got if t.strip()] == [5, 7, 9, None] and [d for d, t in got if not t.strip()] == [3, None, None]
 
 
+def test_jaccard_makes_no_rows_in_python(spark, monkeypatch):
+    near = [_passage(k // 2, 40) + ("" if k % 2 else " end") for k in range(8)]
+    frame = spark.createDataFrame(list(enumerate(near)), "doc_id bigint, text string")
+
+    def refused(*given, **named):
+        raise AssertionError("rows of the driver's Python start workers of another kind on every executor")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.similarity_classes(frame).collect()}
+    assert got == {k: k - k % 2 for k in range(8)}
+
+
 def test_jaccard_links_of_frequent_tokens(spark, monkeypatch):
     """With every token frequent, combinations alone have to find the links."""
     monkeypatch.setattr(jaccard, "RARE", 0)
@@ -331,6 +345,48 @@ def test_forgotten_words_are_encoded_again(monkeypatch):
     assert list(words.encoded(text)) == want == list(words.encoded(text))
 
 
+def test_new_words_reach_the_tokenizer_in_lots():
+    import pyarrow as pa
+
+    words = tokens.WordTokenizer(tokenizer_path())
+    model, most = words._model, []
+
+    class Watched:
+        def encode_batch_fast(self, calls, **given):
+            most.append(sum(len(call.split(" ")) for call in calls))
+            return model.encode_batch_fast(calls, **given)
+
+    words._model = Watched()
+    names = ["".join(chr(97 + k // 26**i % 26) for i in range(4)) for k in range(40_000)]
+    text = " ".join(names)
+    ids = np.frombuffer(next(words.encoded(pa.array([text]))), "<u4").tolist()
+    assert ids == words._tokenizer.encode(text, add_special_tokens=False).ids
+    assert sum(most) == 40_000 and max(most) <= 1 << 14
+
+
+def test_a_waiting_tokenizer_keeps_little_memory():
+    made = """if True:
+        import random, re
+        import pyarrow as pa
+        from flowmart.llm.queries import tokenizer_path
+        from flowmart.llm.tokens import WordTokenizer
+
+        def held():
+            return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+
+        words, pick = WordTokenizer(tokenizer_path()), random.Random(5)
+        names = ["".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(100_000)]
+        texts = pa.array([" ".join(pick.choices(names, k=300)) for _ in range(8_000)])
+        before = held()
+        n = sum(len(ids) for ids in words.encoded(texts))
+        print(n, held() - before)
+    """
+    root = Path(__file__).resolve().parents[2]
+    done = subprocess.run([sys.executable, "-c", made], cwd=root, capture_output=True, text=True, check=True)
+    n, more = done.stdout.split()
+    assert int(n) > 4 * 2_400_000 and float(more) < 90
+
+
 def test_mixing(docs, texts):
     got = {r["doc_id"]: r for r in mixing.mixed(docs).collect()}
     assert got.keys() == texts.keys()
